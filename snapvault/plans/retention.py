@@ -80,9 +80,9 @@ def delete_list(plan: DataFrame) -> DataFrame:
     return plan.where(F.col("action") == "delete").orderBy("ts", "name")
 
 
-def keep_list(plan: DataFrame, newest: int = 10) -> DataFrame:
-    """The newest retained snapshots."""
-    return plan.where(F.col("action") == "retain").orderBy(F.col("ts").desc(), "name").limit(newest)
+def keep_list(plan: DataFrame, newest: int = 10, ties: str = "name") -> DataFrame:
+    """The newest retained snapshots; ``ties`` orders those of the same second."""
+    return plan.where(F.col("action") == "retain").orderBy(F.col("ts").desc(), ties).limit(newest)
 
 
 def newest_as_of(snapshots: DataFrame, as_of: datetime) -> DataFrame:
