@@ -54,27 +54,20 @@ def format_size(size: Column) -> Column:
     rounding decides the last digit.
     """
     size = size.cast("bigint")
-    text = None
-    for power, unit in reversed(list(enumerate(SIZE_UNITS))):
-        if power == 0:
-            part = F.concat(size.cast("string"), F.lit(".00 B"))
-        else:
-            bits = 10 * power
-            whole = F.shiftright(size, bits)
-            scaled = size.bitwiseAND(F.lit((1 << bits) - 1)) * F.lit(100)
-            cents = F.shiftright(scaled, bits)
-            rest = scaled.bitwiseAND(F.lit((1 << bits) - 1))
-            half = F.lit(1 << (bits - 1))
-            up = (rest > half) | ((rest == half) & (cents % 2 == 1))
-            total = whole * F.lit(100) + cents + up.cast("bigint")
-            part = F.concat(
-                F.floor(total / 100).cast("string"),
-                F.lit("."),
-                F.lpad((total % 100).cast("string"), 2, "0"),
-                F.lit(f" {unit}"),
-            )
-        text = part if text is None else F.when(size < F.lit(1 << (10 * (power + 1))), part).otherwise(text)
-    return text
+    shift = lambda value, bits: F.call_function("shiftright", value, bits)
+    power = F.lit(len(SIZE_UNITS) - 1)
+    for smaller in reversed(range(len(SIZE_UNITS) - 1)):
+        power = F.when(size < (1 << (10 * (smaller + 1))), smaller).otherwise(power)
+    bits = power * 10
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+    scaled = size.bitwiseAND(one - 1) * 100
+    cents, rest, half = shift(scaled, bits), scaled.bitwiseAND(one - 1), shift(one, F.lit(1))
+    up = (rest > half) | ((rest == half) & (cents % 2 == 1))
+    cents = cents + up.cast("bigint")
+    whole = shift(size, bits) + (cents == 100).cast("bigint")
+    digits = F.substring((cents % 100 + 100).cast("string"), 2, 2)
+    unit = F.get(F.array(*[F.lit(u) for u in SIZE_UNITS]), power)
+    return F.concat(whole.cast("string"), F.lit("."), digits, F.lit(" "), unit)
 
 
 def _char_class(body: str) -> str:

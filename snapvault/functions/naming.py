@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARKER = "_backup_"
-_STAMP = r"\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}"
+STAMP = r"\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}"
+STAMP_LENGTH = len("yyyy-MM-dd_HH-mm-ss")
 
 
 def _short(name: Column, prefix: str, suffix: str) -> Column:
@@ -16,7 +17,8 @@ def _short(name: Column, prefix: str, suffix: str) -> Column:
 
 
 def stamp(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd_HH-mm-ss")
+    """``yyyy-MM-dd_HH-mm-ss``; for a TIMESTAMP_NTZ whatever the time zone of the session."""
+    return F.translate(F.substring(at.cast("string"), 1, STAMP_LENGTH), " :", "_-")
 
 
 def snapshot_name(lakehouse: Column, workspace: Column, at: Column) -> Column:
@@ -35,10 +37,13 @@ def snapshot_time(name: Column, strict: bool = False) -> Column:
 
     ``strict`` also asks for the ``_backup_`` marker in front of the time.
     """
+    tail = F.substring(name, -STAMP_LENGTH, STAMP_LENGTH)
+    digits = lambda start: F.substring(tail, start, 2)
+    iso = F.concat(F.substring(tail, 1, 10), F.lit(" "), digits(12), F.lit(":"), digits(15), F.lit(":"), digits(18))
     lead = MARKER if strict else ""
-    text = F.regexp_extract(name, f"{lead}({_STAMP})$", 1)
-    iso = F.regexp_replace(text, r"_(\d{2})-(\d{2})-(\d{2})$", " $1:$2:$3")
-    return F.when(~text.startswith("0000"), iso.try_cast("timestamp_ntz"))
+    end = F.substring(name, -len(lead) - STAMP_LENGTH, len(lead) + STAMP_LENGTH)
+    valid = end.rlike(f"^{lead}{STAMP}$") & ~tail.startswith("0000")
+    return F.when(valid, iso.try_cast("timestamp_ntz"))
 
 
 def snapshot_source(name: Column) -> Column:

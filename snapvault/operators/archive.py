@@ -190,7 +190,7 @@ def restore_tables(
             return failed_table(name, error, target_path=target, **record)
         return store_table(spark, name, df, target, fmt, overwrite=overwrite, **record)
 
-    return records + in_parallel(one, sorted(wanted), width)
+    return records + in_parallel(spark, one, sorted(wanted), width)
 
 
 def restore_files(

@@ -71,7 +71,7 @@ def sidecars(items: DataFrame) -> DataFrame:
     return items.where("kind = 'table'").withColumn("metadata_json", document)
 
 
-def in_parallel(function: Callable, arguments: list, width: int) -> list:
+def in_parallel(spark: SparkSession, function: Callable, arguments: list, width: int) -> list:
     """Run one Spark job per argument from a thread pool, in order of the arguments.
 
     With FAIR scheduling the jobs share the executors, so many small tables do not queue behind a
@@ -80,4 +80,5 @@ def in_parallel(function: Callable, arguments: list, width: int) -> list:
     if not arguments:
         return []
     with ThreadPoolExecutor(max_workers=max(1, min(width, len(arguments)))) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(function), a) for a in arguments]]
+        jobs = [pool.submit(inheritable_thread_target(spark)(function), a) for a in arguments]
+        return [job.result() for job in jobs]

@@ -46,7 +46,7 @@ def profile_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parqu
         except Exception as error:
             return (name, None, None, None, None, message(error))
 
-    return spark.createDataFrame(in_parallel(one, list(paths.items()), width), PROFILE)
+    return spark.createDataFrame(in_parallel(spark, one, list(paths.items()), width), PROFILE)
 
 
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -134,4 +134,4 @@ def copy_tables(
 ) -> list[dict]:
     """Copy every table to ``<target_root>/<name>``; one failure does not stop the rest."""
     one = lambda pair: copy_table(spark, pair[0], pair[1], f"{target_root}/{pair[0]}", source_fmt, fmt, overwrite)
-    return in_parallel(one, list(paths.items()), width)
+    return in_parallel(spark, one, list(paths.items()), width)

@@ -49,7 +49,7 @@ def verify_content(
         except Exception as error:
             return (name, False, False, None, None, None, None, message(error))
 
-    return spark.createDataFrame(in_parallel(one, list(pairs.items()), width), CONTENT)
+    return spark.createDataFrame(in_parallel(spark, one, list(pairs.items()), width), CONTENT)
 
 
 def verify_tables(
@@ -79,7 +79,7 @@ def verify_tables(
         except Exception as error:
             return (row["name"], False, False, row["row_count"], None, message(error))
 
-    return spark.createDataFrame(in_parallel(one, rows, width), TABLES)
+    return spark.createDataFrame(in_parallel(spark, one, rows, width), TABLES)
 
 
 def verify_copied_files(spark: SparkSession, items: DataFrame, root: str, rows_table: DataFrame | None = None) -> DataFrame:

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapvault.functions.naming import snapshot_source, snapshot_time
 
-DAY = 86_400_000_000  # microseconds
-
-
 def _ntz(at: datetime) -> Column:
     return F.lit(at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def age_days(at: Column, as_of: datetime) -> Column:
-    """Whole days between a time and ``as_of``, rounded down (negative for future times)."""
-    micros = F.timestamp_diff("MICROSECOND", at, _ntz(as_of))
-    return ((micros - F.pmod(micros, F.lit(DAY))) / F.lit(DAY)).cast("bigint")
+    """Whole days between a TIMESTAMP_NTZ and ``as_of``, rounded down (negative for future times).
+
+    Days between the dates, less one when the time of day is later than that of ``as_of``: wall
+    clock arithmetic that no time zone of the session can shift.
+    """
+    days = F.datediff(F.lit(as_of.date()), at.cast("date"))
+    time_of_day = F.substring(at.cast("string"), 12, 15)
+    return (days - F.when(time_of_day > as_of.time().isoformat(), 1).otherwise(0)).cast("bigint")
 
 
 def matches_name(name: Column, pattern: str) -> Column:
@@ -33,19 +35,26 @@ def with_age(
     """Adds ``ts``, ``age_days``, ``is_expired`` and ``matches_pattern``."""
     if retention_days < 1:
         raise ValueError("retention_days must be at least 1")
+    # Older than N whole days is N + 1 days or more: one comparison with a constant.
+    try:
+        expired = F.col("ts") <= _ntz(as_of - timedelta(days=retention_days + 1))
+    except OverflowError:  # a limit before the year 1
+        expired = F.lit(False)
     return (
         snapshots.withColumn("ts", snapshot_time(F.col("name"), strict))
         .withColumn("age_days", age_days(F.col("ts"), as_of))
-        .withColumn("is_expired", F.coalesce(F.col("age_days") > retention_days, F.lit(False)))
+        .withColumn("is_expired", F.coalesce(expired, F.lit(False)))
         .withColumn("matches_pattern", matches_name(F.col("name"), pattern))
     )
 
 
 def with_action(aged: DataFrame) -> DataFrame:
     """Adds ``action``: ``invalid`` without a time, ``delete`` when it matches and expired, else ``retain``."""
+    # Snapshots without a time are never expired, so the order of the first two does not matter;
+    # this one lets a filter on "delete" shrink to the two conditions.
     action = (
-        F.when(F.col("ts").isNull(), F.lit("invalid"))
-        .when(F.col("matches_pattern") & F.col("is_expired"), F.lit("delete"))
+        F.when(F.col("matches_pattern") & F.col("is_expired"), F.lit("delete"))
+        .when(F.col("ts").isNull(), F.lit("invalid"))
         .otherwise(F.lit("retain"))
     )
     return aged.withColumn("action", action)
