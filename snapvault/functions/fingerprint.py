@@ -29,6 +29,8 @@ def _parts(value: Column, dtype: T.DataType) -> list[Column]:
         return [value.isNull(), F.array_size(entry), F.array_sort(entry)]
     if isinstance(dtype, T.VariantType):
         return [value.isNull(), F.to_json(value)]
+    if isinstance(dtype, T.StringType) and not dtype.isUTF8BinaryCollation():
+        value = F.collate(value, "UTF8_BINARY")  # values that only a collation holds equal differ
     return [value.isNull(), value]
 
 

@@ -242,17 +242,16 @@ def restore_files(
         file_rows(rows, at or now()).write.mode("append").parquet(table)
         written = spark.read.parquet(table).select(F.col("original_path").alias("relative_path")).distinct()
         kept = written.withColumn("kept", F.lit(True))
-    good = F.col("status") == "success"
-    records = done
-    method = F.when(good, F.lit("archive_entry"))
+    copied = F.when(F.col("status") == "success", F.lit("archive_entry"))
+    records = done.withColumn("method", copied)
     if kept is not None:
-        records = done.join(kept, "relative_path", "left")
-        rescued = ~good & F.coalesce("kept", F.lit(False))
-        method = F.when(rescued, F.lit("table_copy")).otherwise(method)
-        records = records.withColumn("status", F.when(rescued, F.lit("success")).otherwise(F.col("status")))
-        records = records.withColumn("m", method)
-        method = F.col("m")
-    result = shaped(records, status=F.col("status"), method=method, error=F.col("error"), finished_at=F.lit(now()))
+        rescued = F.col("method").isNull() & F.coalesce("kept", F.lit(False))
+        records = (
+            records.join(kept, "relative_path", "left")
+            .withColumn("status", F.when(rescued, F.lit("success")).otherwise(F.col("status")))
+            .withColumn("method", F.when(rescued, F.lit("table_copy")).otherwise(F.col("method")))
+        )
+    result = shaped(records, status=F.col("status"), method=F.col("method"), error=F.col("error"), finished_at=F.lit(now()))
     return result if skipped is None else result.unionByName(skipped)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapvault.functions.fingerprint import checksum_aggregates, row_hash
 from snapvault.operators.items import in_parallel, item, now
@@ -21,19 +20,6 @@ def message(error: BaseException) -> str:
     return f"{type(error).__name__}: {lines[0] if lines else ''}"
 
 
-def _storable(dtype: T.DataType, where: str) -> None:
-    if isinstance(dtype, (T.NullType, T.CalendarIntervalType)):
-        raise TypeError(f"column {where} has type {dtype.simpleString()}, which cannot be stored")
-    if isinstance(dtype, T.StructType):
-        for field in dtype.fields:
-            _storable(field.dataType, f"{where}.{field.name}")
-    elif isinstance(dtype, T.ArrayType):
-        _storable(dtype.elementType, where)
-    elif isinstance(dtype, T.MapType):
-        _storable(dtype.keyType, where)
-        _storable(dtype.valueType, where)
-
-
 def profile_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", width: int = 8) -> DataFrame:
     """Row count, columns and schema per table; a table that cannot be read gives a row with ``error``."""
 
@@ -41,7 +27,6 @@ def profile_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parqu
         name, path = pair
         try:
             df, _ = scan_exact(spark, path, fmt)
-            _storable(df.schema, name)
             return (name, df.count(), len(df.columns), df.columns, df.schema.json(), None)
         except Exception as error:
             return (name, None, None, None, None, message(error))
@@ -70,7 +55,6 @@ def store_table(
     started, folders = now(), Folders(spark)
     existed = folders.exists(target_path)
     try:
-        _storable(df.schema, name)
         passing, seen = observed(df)
         if overwrite:
             replace_table(spark, passing, target_path, fmt, partition_by)

@@ -69,14 +69,26 @@ def verdict(tables: DataFrame, files: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _holds_variant(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_holds_variant(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _holds_variant(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _holds_variant(dtype.valueType)
+    return isinstance(dtype, T.VariantType)
+
+
 def _comparable(df: DataFrame) -> list[Column]:
-    """Columns by name; a variant cannot be grouped and is compared as its JSON text."""
+    """Columns by name, as they can be grouped: variants as JSON text, strings by their bytes."""
     out = []
     for field in sorted(df.schema.fields, key=lambda f: f.name):
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.VariantType):
-            column = F.to_json(column).alias(field.name)
-        out.append(column)
+        if _holds_variant(field.dataType):
+            column = F.to_json(F.struct(column))
+        elif isinstance(field.dataType, T.StringType) and not field.dataType.isUTF8BinaryCollation():
+            column = F.collate(column, "UTF8_BINARY")
+        out.append(column.alias(field.name))
     return out
 
 

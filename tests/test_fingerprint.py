@@ -73,3 +73,13 @@ def test_observed_equals_checksum_and_empty(spark, tmp_path):
         passing.write.parquet(str(tmp_path / name))
         assert seen.get == checksum(data).head().asDict()
         assert _sum(spark.read.parquet(str(tmp_path / name))) == _sum(data)
+
+
+def test_collated_and_variant_values(spark):
+    from snapvault.plans.verify import compare_rows
+
+    one = spark.sql("SELECT 'a' COLLATE UTF8_LCASE c, struct(parse_json('1')) v, parse_json('2') w, NULL n")
+    two = spark.sql("SELECT 'A' COLLATE UTF8_LCASE c, struct(parse_json('1')) v, parse_json('2') w, NULL n")
+    three = spark.sql("SELECT 'a' COLLATE UTF8_LCASE c, struct(parse_json('9')) v, parse_json('2') w, NULL n")
+    assert len({_sum(one), _sum(two), _sum(three)}) == 3
+    assert [tuple(compare_rows(one, x).head()) for x in (one, two, three)] == [(0, 0), (1, 1), (1, 1)]
