@@ -14,7 +14,7 @@ from snapvault.operators.filecopy import file_rows, spread_by_size, write_files
 from snapvault.operators.items import conform, in_parallel, item, items_frame, now
 from snapvault.operators.tables import failed_table, store_table
 from snapvault.plans.restore import archive_format, files_to_restore, restore_plan, select_files, select_names
-from snapvault.session import scratch_dir
+from snapvault.session import scratch_dir, settled
 from snapvault.sources.archives import RAW, archive_entries, entry_contents
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
@@ -52,9 +52,7 @@ def store_binary_archives(spark: SparkSession, archives: DataFrame) -> tuple[str
 
 def scan_archives(spark: SparkSession, root: str, archives: DataFrame) -> DataFrame:
     """Entries, written once, since several steps use them."""
-    out = scratch_dir(spark, "entries")
-    archive_entries(spark, root, archives).write.parquet(out)
-    return spark.read.parquet(out)
+    return settled(archive_entries(spark, root, archives), "entries")
 
 
 def table_formats(entries: DataFrame, preference: str = "auto") -> DataFrame:
@@ -226,11 +224,9 @@ def restore_files(
         todo, skipped = found, None
     else:
         present = only_files(walk(spark, target_files, include_hidden=True)).select("relative_path")
-        todo = files_to_restore(found, present, overwrite=False)
+        todo = settled(files_to_restore(found, present, overwrite=False), "todo")
         skipped = shaped(found.join(present, "relative_path", "left_semi"), status=F.lit("skipped"), error=F.lit("exists"))
-        out = scratch_dir(spark, "skipped")
-        skipped.write.parquet(out)
-        skipped = spark.read.schema(skipped.schema).parquet(out)
+        skipped = settled(skipped, "skipped")
     done = _unpack(spark, todo, root, target_files)
     failed = done.where("status = 'failed'").select("archive", "entry", "relative_path", "error")
     kept = None

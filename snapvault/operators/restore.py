@@ -23,7 +23,7 @@ from snapvault.plans.restore import (
     snapshot_tables,
 )
 from snapvault.plans.verify import verdict
-from snapvault.session import configure, scratch_dir
+from snapvault.session import configure, settled
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
 from snapvault.sources.tables import scan_table
@@ -99,16 +99,14 @@ def _restore_files(spark, snapshot, target, patterns, overwrite, dry_run, starte
     todo = files_to_restore(files, present, overwrite)
     if dry_run:
         return todo.select(*conform(spark, values | {"status": F.lit("dry_run")}))
-    # Which files are left alone is settled before the copy makes them all present.
-    out = scratch_dir(spark, "restore")
-    skipped = files.join(present, "relative_path", "left_semi") if not overwrite else files.where("false")
     unread = listing.where("error IS NOT NULL")
-    aside = skipped.select(*conform(spark, values | {"status": F.lit("skipped"), "error": F.lit("exists")})).unionByName(
-        unread.select(*conform(spark, values | {"status": F.lit("failed"), "error": F.col("error")}))
-    )
-    aside.write.parquet(out)
+    aside = unread.select(*conform(spark, values | {"status": F.lit("failed"), "error": F.col("error")}))
+    if not overwrite:
+        skipped = files.join(present, "relative_path", "left_semi")
+        skipped = skipped.select(*conform(spark, values | {"status": F.lit("skipped"), "error": F.lit("exists")}))
+        aside, todo = settled(aside.unionByName(skipped), "aside"), settled(todo, "todo")
     status = copy_files(spark, todo, source, target)
-    return file_items(status, source, target, "file_copy", started).unionByName(spark.read.schema(ITEMS).parquet(out))
+    return file_items(status, source, target, "file_copy", started).unionByName(aside)
 
 
 def restore(

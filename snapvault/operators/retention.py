@@ -13,9 +13,9 @@ from snapvault.operators.audit import RunLog, write_cleanup_log
 from snapvault.operators.filecopy import delete_paths
 from snapvault.operators.items import now
 from snapvault.plans.retention import retention_plan, retention_result, retention_summary
-from snapvault.session import scratch_dir
+from snapvault.session import settled
 from snapvault.sources.inventory import child_directories, folder_sizes, only_files, walk
-from snapvault.sources.workers import OBJECT_STORES, resolve
+from snapvault.sources.workers import resolve
 
 
 @dataclass(frozen=True)
@@ -45,18 +45,16 @@ def snapshot_catalogue(spark: SparkSession, root: str, sizes: bool = True) -> Da
 def delete_snapshots(spark: SparkSession, root: str, plan: DataFrame, by_file: bool | None = None) -> DataFrame:
     """Delete the folders whose ``action`` is ``delete``; ``name``, ``status``, ``size_bytes``, ``error``.
 
-    Only direct children of ``root`` whose name carries a time are ever touched. Object stores
-    delete file by file, so there the files of all snapshots are first spread over the cluster;
-    elsewhere removing a folder is one call.
+    Only direct children of ``root`` whose name carries a time are ever touched. Where removing a
+    folder means removing file by file, the files of all snapshots are first spread over the
+    cluster, since one snapshot may hold most of them; on HDFS a folder is one call.
     """
     doomed = plan.where((F.col("action") == "delete") & F.col("ts").isNotNull() & ~F.col("name").contains("/"))
     doomed = doomed.select("name", "size_bytes")
-    out = scratch_dir(spark, "doomed")
-    doomed.write.parquet(out)
-    doomed = spark.read.schema("name string, size_bytes bigint").parquet(out)
+    doomed = settled(doomed, "doomed")
     starts = doomed.select(F.col("name").alias("relative_path"))
     if by_file is None:
-        by_file = resolve(root)[0].type_name in OBJECT_STORES
+        by_file = resolve(root)[0].type_name != "hdfs"
     failures = None
     if by_file:
         files = only_files(walk(spark, root, include_hidden=True, starts=starts)).where("error IS NULL")
@@ -86,9 +84,7 @@ def retain(
     """Apply the retention policy; nothing is deleted unless ``dry_run`` is False."""
     started, log = now(), RunLog()
     catalogue = snapshot_catalogue(spark, root)
-    out = scratch_dir(spark, "plan")
-    retention_plan(catalogue, as_of or started, retention_days, pattern, strict).write.parquet(out)
-    plan = spark.read.parquet(out)
+    plan = settled(retention_plan(catalogue, as_of or started, retention_days, pattern, strict), "plan")
     deletions = None if dry_run else delete_snapshots(spark, root, plan)
     result = retention_result(plan, deletions)
     if write_log:

@@ -42,8 +42,7 @@ def verify_content(
                 return (name, True, False, expected.count(), actual.count(), None, None, "columns differ")
             if exact:
                 row = compare_rows(expected, actual).head()
-                matches = not row["missing_rows"] and not row["extra_rows"]
-                return (name, True, matches, expected.count(), actual.count(), row["missing_rows"], row["extra_rows"], None)
+                return (name, True, not row["missing_rows"] and not row["extra_rows"], *row, None)
             row = compare_checksums(expected, actual).head()
             return (name, True, row["content_matches"], row["expected_rows"], row["actual_rows"], None, None, None)
         except Exception as error:

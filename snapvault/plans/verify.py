@@ -98,26 +98,38 @@ def same_columns(expected: DataFrame, actual: DataFrame) -> bool:
     return shape(expected) == shape(actual)
 
 
+def _copies(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Every distinct row of both sides with the number of its copies on each.
+
+    One shuffle serves both directions. Copies of a row meet in the map-side aggregation first, so
+    a row repeated a billion times is one record per task.
+    """
+    side = lambda df, e, a: df.select(*_comparable(df), F.lit(e).alias("__expected"), F.lit(a).alias("__actual"))
+    rows = side(expected, 1, 0).unionByName(side(actual, 0, 1))
+    keys = [f"`{c}`" for c in rows.columns if c not in ("__expected", "__actual")]
+    return rows.groupBy(*keys).agg(F.sum("__expected").alias("__expected"), F.sum("__actual").alias("__actual"))
+
+
 def row_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Exact difference: every distinct row whose number of copies differs, with ``surplus``.
+    """Exact difference: the rows whose number of copies differs, with ``surplus``.
 
-    ``surplus`` is positive for copies missing from ``actual``, negative for copies too many. Both
-    directions come out of one shuffle; copies of the same row meet in the map-side aggregation
-    first, so a row repeated a billion times is one record per task.
+    ``surplus`` is positive for copies missing from ``actual``, negative for copies too many.
     """
-    rows = expected.select(*_comparable(expected), F.lit(1).alias("__side")).unionByName(
-        actual.select(*_comparable(actual), F.lit(-1).alias("__side"))
-    )
-    keys = [f"`{c}`" for c in rows.columns if c != "__side"]
-    return rows.groupBy(*keys).agg(F.sum("__side").alias("surplus")).where("surplus <> 0")
+    surplus = (F.col("__expected") - F.col("__actual")).alias("surplus")
+    rows = _copies(expected, actual)
+    kept = [f"`{c}`" for c in rows.columns if c not in ("__expected", "__actual")]
+    return rows.where("__expected <> __actual").select(*kept, surplus)
 
 
 def compare_rows(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row: ``missing_rows`` and ``extra_rows``, counted exactly."""
-    surplus = F.col("surplus")
-    return row_differences(expected, actual).agg(
-        F.coalesce(F.sum(F.when(surplus > 0, surplus)), F.lit(0)).alias("missing_rows"),
-        F.coalesce(F.sum(F.when(surplus < 0, -surplus)), F.lit(0)).alias("extra_rows"),
+    """One row: the size of both sides, ``missing_rows`` and ``extra_rows``, counted exactly."""
+    e, a = F.col("__expected"), F.col("__actual")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return _copies(expected, actual).agg(
+        total(e).alias("expected_rows"),
+        total(a).alias("actual_rows"),
+        total(F.greatest(e - a, F.lit(0))).alias("missing_rows"),
+        total(F.greatest(a - e, F.lit(0))).alias("extra_rows"),
     )
 
 

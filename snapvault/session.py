@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Dates before 1582 and timestamps before 1900 are stored as they are, never shifted.
 _REBASE_KEYS = (
@@ -33,3 +33,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="snapvault-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/snapvault/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back.
+
+    For a plan that decides what is copied or deleted: it is computed once, before the work changes
+    what it was computed from, and a lost executor cannot change it afterwards.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ def classify_entries(raw: DataFrame) -> DataFrame:
     """Adds ``kind`` (table, file, metadata, other) and the names that go with it.
 
     ``tables/<table>/<file>``, ``files/<relative path>`` and ``_backup_info/...``; entries that
-    stand for a directory are dropped. When an archive holds a name twice, the last one counts.
+    stand for a directory are dropped.
     """
     path, parts = F.col("entry"), F.split("entry", "/")
     kind = (
@@ -45,26 +45,20 @@ def classify_entries(raw: DataFrame) -> DataFrame:
     return named.where(path.isNull() | ~path.endswith("/"))
 
 
-def _last_of_each_name(raw: DataFrame) -> DataFrame:
-    rest = [c for c in raw.columns if c not in ("archive", "entry")]
-    last = F.max_by(F.struct(*rest), F.coalesce("offset", F.lit(-1)))
-    return raw.groupBy("archive", "entry").agg(last.alias("last")).select("archive", "entry", "last.*")
-
-
 def archive_entries(spark: SparkSession, root: str, archives: DataFrame) -> DataFrame:
     """Entries of the archives named in ``archives.relative_path``; only central directories are read.
 
-    An archive that cannot be read gives one row with ``error``.
+    When an archive holds a name twice, the last one counts. An archive that cannot be read gives
+    one row with ``error``.
     """
     tasks = spark.sparkContext.defaultParallelism * 4
     todo = archives.select("relative_path").repartition(tasks, "relative_path")
-    return classify_entries(_last_of_each_name(todo.mapInArrow(file_entry_lister(root), ENTRIES)))
+    return classify_entries(todo.mapInArrow(file_entry_lister(root), ENTRIES))
 
 
 def archive_entries_binary(archives: DataFrame) -> DataFrame:
     """Entries of archives held in a table: every row of ``archive``, ``zip_binary``."""
-    raw = archives.select("archive", "zip_binary").mapInArrow(binary_entry_lister(), ENTRIES)
-    return classify_entries(_last_of_each_name(raw))
+    return classify_entries(archives.select("archive", "zip_binary").mapInArrow(binary_entry_lister(), ENTRIES))
 
 
 RAW = ["archive", "entry", "size", "compressed_size", "crc", "method", "flags", "offset"]

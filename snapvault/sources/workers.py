@@ -323,7 +323,8 @@ ENTRIES = pa.schema(
 def _central_directory(archive: str, handle):
     try:
         with zipfile.ZipFile(handle) as zipped:
-            for info in zipped.infolist():
+            # A name that stands twice in an archive means its last entry.
+            for info in {info.filename: info for info in zipped.infolist()}.values():
                 yield (
                     archive,
                     info.filename,

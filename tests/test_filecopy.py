@@ -100,3 +100,14 @@ def test_write_files_needs_a_path_below_the_root(spark, tmp_path, text):
     rows = spark.createDataFrame([("../out", bytearray(text.encode())), ("/abs", bytearray(b"x"))], "relative_path string, content binary")
     assert {r["status"] for r in write_files(spark, rows, str(tmp_path / "r")).collect()} == {"failed"}
     assert not os.path.exists(tmp_path / "out")
+
+
+def test_row_differences_on_a_hot_row(spark):
+    from snapvault.plans.verify import compare_rows, row_differences
+
+    base = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("v"))
+    less = base.where("v <> 2000").unionAll(spark.createDataFrame([(-1,), (-1,), (-5,)], "v bigint"))
+    assert {tuple(r) for r in row_differences(base, less).collect()} == {(2000, 1), (-1, -2), (-5, -1)}
+    assert tuple(compare_rows(base, less).head()) == (3000, 3002, 1, 3)
+    plan = compare_rows(base, less)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "Cartesian" not in plan and "BroadcastNestedLoop" not in plan

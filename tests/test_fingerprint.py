@@ -2,7 +2,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from snapvault.functions.fingerprint import checksum
+from snapvault.functions.fingerprint import checksum, row_hash
 from snapvault.operators.tables import observed
 
 
@@ -11,9 +11,10 @@ def _sum(df):
 
 
 def _differ(spark, ddl, rows):
-    """All the given single rows have different checksums."""
-    sums = [_sum(spark.createDataFrame([r], ddl)) for r in rows]
-    return len(set(sums)) == len(sums)
+    """All the given rows have different hashes."""
+    df = spark.createDataFrame(rows, ddl)
+    hashes = df.select(row_hash(df.schema)).collect()
+    return len(set(hashes)) == len(rows)
 
 
 def test_values_that_plain_hashing_confuses(spark):
@@ -56,8 +57,6 @@ def test_negative_zero_and_nan(spark):
 
 
 def test_sum_is_exact(spark):
-    from snapvault.functions.fingerprint import row_hash
-
     df = spark.range(5000).selectExpr("id", "cast(id as string) s")
     hashes = [r[0] for r in df.select(row_hash(df.schema)).collect()]
     xor = 0
@@ -82,4 +81,4 @@ def test_collated_and_variant_values(spark):
     two = spark.sql("SELECT 'A' COLLATE UTF8_LCASE c, struct(parse_json('1')) v, parse_json('2') w, NULL n")
     three = spark.sql("SELECT 'a' COLLATE UTF8_LCASE c, struct(parse_json('9')) v, parse_json('2') w, NULL n")
     assert len({_sum(one), _sum(two), _sum(three)}) == 3
-    assert [tuple(compare_rows(one, x).head()) for x in (one, two, three)] == [(0, 0), (1, 1), (1, 1)]
+    assert [tuple(compare_rows(one, x).head())[2:] for x in (one, two, three)] == [(0, 0), (1, 1), (1, 1)]
