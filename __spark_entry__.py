@@ -27,10 +27,9 @@ from snapvault.operators.audit import (
     read_cleanup_logs,
     read_logs,
     read_manifests,
-    restore_manifest,
 )
 from snapvault.operators.filecopy import copy_files, files_as_table, write_files
-from snapvault.operators.items import items_frame, now, sidecars
+from snapvault.operators.items import items_frame, sidecars
 from snapvault.operators.restore import restore
 from snapvault.operators.retention import retain, snapshot_catalogue
 from snapvault.operators.snapshot import Source, snapshot, snapshot_many
@@ -57,12 +56,17 @@ EXTENSIONS = [".jpg", ".PDF", ".txt", ".xlsx", ".csv", ".json", ".zip", ".py", "
 PATTERNS = ["src1*.csv", "*/doc_?.txt", "src[2-4]/*.[!jpPz]*"]
 
 
+def _session(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return configure(spark)
+
+
 def _path(sf_dir: str, table: str) -> str:
     return f"{sf_dir}/{table}.parquet"
 
 
 def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return scan_table(configure(spark), _path(sf_dir, table))
+    return scan_table(_session(spark), _path(sf_dir, table))
 
 
 # --- derived inputs -------------------------------------------------------------------------------
@@ -154,7 +158,7 @@ LAKE_TABLES = ("customer", "orders", "lineitem")
 
 def _lake(spark, sf_dir) -> Lakehouse:
     def build():
-        lake = Lakehouse(scratch_dir(configure(spark), "lake"))
+        lake = Lakehouse(scratch_dir(_session(spark), "lake"))
         copy_tables(spark, {t: _path(sf_dir, t) for t in LAKE_TABLES}, lake.tables)
         _write_documents(spark, sf_dir, lake.files, F.col("relative_path"))
         return lake
@@ -183,7 +187,7 @@ def _restored(spark, sf_dir):
 
 def _backup_root(spark, sf_dir):
     """Real snapshot folders written from the documents, with hidden content that counts."""
-    root = scratch_dir(configure(spark), "backup_root")
+    root = scratch_dir(_session(spark), "backup_root")
     day = F.date_format(F.date_add(F.lit("2025-01-01").cast("date"), (F.col("doc_id") % 60).cast("int")), "yyyy-MM-dd")
     name = F.concat("source", F.lit("_backup_"), day, F.lit("_06-00-00"))
     inside = F.when(F.col("lang") == "en", F.lit("_manifest")).otherwise(F.lit("files"))
@@ -213,13 +217,13 @@ def _archive_entries(spark, sf_dir):
 
 
 def q_table_snapshot(spark, sf_dir):
-    out = scratch_dir(configure(spark), "snapshot")
+    out = scratch_dir(_session(spark), "snapshot")
     copy_table(spark, "lineitem", _path(sf_dir, "lineitem"), out)
     return scan_table(spark, out)
 
 
 def _through_restore(spark, sf_dir, table):
-    base = scratch_dir(configure(spark), "roundtrip")
+    base = scratch_dir(_session(spark), "roundtrip")
     source = Source(Lakehouse(f"{base}/lake"), "lh_silver1", "wsp_transform_dev")
     taken = snapshot(spark, source, f"{base}/backups", TAKEN_AT, table_paths={table: _path(sf_dir, table)})
     target = Lakehouse(f"{base}/target")
@@ -242,13 +246,13 @@ def q_table_discovery(spark, sf_dir):
 
 
 def q_table_profile(spark, sf_dir):
-    profiles = profile_tables(configure(spark), {t: _path(sf_dir, t) for t in TABLES})
+    profiles = profile_tables(_session(spark), {t: _path(sf_dir, t) for t in TABLES})
     return profiles.select("name", "row_count", "column_count")
 
 
 def q_snapshot_status(spark, sf_dir):
     paths = {t: _path(sf_dir, t) for t in ("customer", "lineitem", "orders", "no_such_table")}
-    records = copy_tables(configure(spark), paths, scratch_dir(spark, "status"))
+    records = copy_tables(_session(spark), paths, scratch_dir(spark, "status"))
     return items_frame(spark, records).select("name", "status", "row_count")
 
 
@@ -280,9 +284,7 @@ def q_run_summary(spark, sf_dir):
 
 
 def q_manifest(spark, sf_dir):
-    counts = summary.snapshot_counts(_items(spark, sf_dir), "run")
-    profiled = F.size("tables_info").cast("bigint").alias("tables_profiled")
-    return counts.drop("tables_info").join(counts.select("run", profiled), "run")
+    return summary.snapshot_counts(_items(spark, sf_dir), "run")
 
 
 def q_manifest_catalogue(spark, sf_dir):
@@ -306,7 +308,7 @@ def q_restore_plan(spark, sf_dir):
 
 
 def q_restore_selective(spark, sf_dir):
-    target = Lakehouse(scratch_dir(configure(spark), "selective"))
+    target = Lakehouse(scratch_dir(_session(spark), "selective"))
     names = ["orders", "customer", "not_there"]
     run = restore(spark, _lake_snapshot(spark, sf_dir).path, target, files=False, table_names=names)
     return run.items.select("name", "row_count")
@@ -352,7 +354,7 @@ def _damaged(spark, sf_dir):
     """A copy of lineitem in which every returned line has another tax."""
 
     def build():
-        out = scratch_dir(configure(spark), "damaged")
+        out = scratch_dir(_session(spark), "damaged")
         tax = F.when(F.col("l_returnflag") == "R", F.col("l_tax") + 1).otherwise(F.col("l_tax"))
         _table(spark, sf_dir, "lineitem").withColumn("l_tax", tax).write.parquet(out)
         return out
@@ -573,7 +575,7 @@ def q_archive_file_restore(spark, sf_dir):
 def entry(spark: SparkSession) -> DataFrame:
     """Snapshot ``lineitem``, restore it, and check the restored rows against the source."""
     sf_dir = "/root/testdata/sf0.001"
-    base = scratch_dir(configure(spark), "entry")
+    base = scratch_dir(_session(spark), "entry")
     source = Source(Lakehouse(f"{base}/lake"), "lh_silver1", "wsp_transform_dev")
     taken = snapshot(spark, source, f"{base}/backups", TAKEN_AT, table_paths={"lineitem": _path(sf_dir, "lineitem")})
     target = Lakehouse(f"{base}/target")
@@ -704,7 +706,7 @@ SELECT run, count(*) FILTER (WHERE kind = 'table') AS tables_discovered, count(*
   CAST(coalesce(sum(size_bytes) FILTER (WHERE kind = 'file'), 0) AS BIGINT) AS total_size FROM item GROUP BY run)
 SELECT *, CASE WHEN tables_backed_up + files_backed_up = 0 AND tables_failed + files_failed = 0 THEN 'empty'
   WHEN tables_failed + files_failed = 0 THEN 'success' WHEN tables_backed_up + files_backed_up = 0 THEN 'failed'
-  ELSE 'partial' END AS status, tables_discovered AS tables_profiled FROM c""",
+  ELSE 'partial' END AS status FROM c""",
         "manifest_catalogue": f"""WITH {_FILES}, {_LAKE_COUNTS}
 SELECT 'silver1_transform_dev_backup_2025-11-10_14-30-15' AS backup_folder_name, CAST(3 AS BIGINT) AS tables_backed_up,
   count(*) AS files_backed_up, CAST(0 AS BIGINT) AS files_failed,
@@ -750,7 +752,7 @@ UNION ALL SELECT DISTINCT source, source, true, 0, 'directory' FROM ffile
 UNION ALL SELECT DISTINCT lang, source || '/' || lang, true, 0, 'directory' FROM ffile""",
         "binary_file_scan": f"WITH {_FILES} SELECT name, relative_path, bytes AS size, type FROM ffile WHERE bytes > 0",
         "files_as_table": f"""WITH {_FILES} SELECT relative_path AS original_path, name AS file_name, type AS file_type,
-  bytes AS size_bytes, md5(text) AS content_md5 FROM ffile WHERE bytes > 0""",
+  bytes AS size_bytes, md5(text) AS content_md5 FROM ffile""",
         "file_copy_status": f"""WITH {_FILES} SELECT relative_path, 'success' AS status, bytes AS written_bytes FROM ffile""",
         "file_type": f"WITH {_FILES} SELECT relative_path, type FROM ffile",
         "file_totals": f"WITH {_FILES} SELECT count(*) AS total_files, CAST(sum(size) AS BIGINT) AS total_size FROM ffile",
@@ -808,5 +810,5 @@ UNION ALL SELECT cleanup_timestamp, CAST(user_id AS INTEGER), event_type = 'view
         "archive_table_restore": "SELECT * FROM orders",
         "archive_table_restore_csv": "SELECT * FROM customer",
         "archive_file_restore": f"""WITH {_FILES} SELECT relative_path AS name, 'success' AS status, bytes AS size_bytes,
-  CASE WHEN bytes > 0 THEN md5(text) END AS content_md5 FROM ffile WHERE starts_with(relative_path, 'src1')""",
+  md5(text) AS content_md5 FROM ffile WHERE starts_with(relative_path, 'src1')""",
     }

@@ -1,7 +1,7 @@
 """Snapshots of data lakes with Spark: take, verify, restore, expire."""
 
 from snapvault.lakehouse import Lakehouse
-from snapvault.operators.restore import RestoreRun, restore
+from snapvault.operators.restore import RestoreRun, newest_snapshot, restore
 from snapvault.operators.retention import RetentionRun, retain, snapshot_catalogue
 from snapvault.operators.snapshot import SnapshotRun, Source, snapshot, snapshot_many
 from snapvault.operators.verify import verify_content, verify_snapshot
@@ -14,6 +14,7 @@ __all__ = [
     "SnapshotRun",
     "Source",
     "configure",
+    "newest_snapshot",
     "restore",
     "retain",
     "snapshot",

@@ -18,13 +18,12 @@ from snapvault.session import scratch_dir, settled
 from snapvault.sources.archives import RAW, archive_entries, entry_contents
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
-from snapvault.sources.workers import extractor
+from snapvault.sources.workers import ROW_LIMIT, extractor
 
 EXTRACTED = (
     "archive string, entry string, relative_path string, size bigint, status string, written_bytes bigint, "
     "quoted_newline boolean, error string"
 )
-ROW_LIMIT = (2 << 30) - (64 << 20)  # bytes that fit into one binary value
 FALLBACK_TABLE = "_restored_files"
 
 # Dtype names that old schema documents use, and the Spark type of each.
@@ -235,7 +234,7 @@ def restore_files(
         contents = entry_contents(retry.where(F.col("size") <= ROW_LIMIT), root).where("content IS NOT NULL")
         rows = contents.join(failed.select("archive", "entry", "relative_path"), ["archive", "entry"])
         table = f"{target_files}/{FALLBACK_TABLE}"
-        file_rows(rows, at or now()).write.mode("append").parquet(table)
+        file_rows(rows, at or now()).drop("error").write.mode("append").parquet(table)
         written = spark.read.parquet(table).select(F.col("original_path").alias("relative_path")).distinct()
         kept = written.withColumn("kept", F.lit(True))
     copied = F.when(F.col("status") == "success", F.lit("archive_entry"))

@@ -54,14 +54,14 @@ class RunLog:
 
 def read_logs(spark: SparkSession, root: str, folder: str = "_logs") -> DataFrame:
     """The log lines of every run below ``root``."""
-    run = F.element_at(F.split(F.input_file_name(), "/"), -3)
-    return spark.read.schema(LOG).parquet(f"{root}/*/{folder}").withColumn("run", run)
+    run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
+    return spark.read.schema(LOG).parquet(f"{root}/*/{folder}").select("*", run.alias("run"))
 
 
 def log_table(events: DataFrame, timestamp: Column, level: Column, text: Column) -> DataFrame:
     """Any event stream in the shape of the run log; DEBUG lines are dropped."""
     rows = events.select(
-        F.date_format(timestamp, "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.substring(timestamp.cast("string"), 1, 19).alias("timestamp"),
         level.alias("level"),
         text.alias("message"),
     )
@@ -95,7 +95,7 @@ def manifest(items: DataFrame, started: datetime, **about) -> DataFrame:
         **_times(started),
         **about,
     }
-    return _typed(snapshot_counts(items), values, MANIFEST)
+    return _typed(snapshot_counts(items, profiles=True), values, MANIFEST)
 
 
 def restore_manifest(items: DataFrame, started: datetime, **about) -> DataFrame:

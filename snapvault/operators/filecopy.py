@@ -8,12 +8,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapvault.functions.files import base_name, below, file_type
+from snapvault.functions.files import base_name, file_type
 from snapvault.session import scratch_dir
 from snapvault.sources.hadoop import Folders
-from snapvault.sources.workers import copier, deleter, writer
+from snapvault.sources.inventory import walk
+from snapvault.sources.workers import copier, deleter, reader, writer
 
 STATUS = "relative_path string, size bigint, status string, written_bytes bigint, error string"
+CONTENTS = "relative_path string, size bigint, content binary, error string"
 DELETED = "relative_path string, status string, error string"
 
 TASK_BYTES = 512 << 20
@@ -93,15 +95,18 @@ def delete_paths(spark: SparkSession, paths: DataFrame, root: str, directories:
 
 
 def files_as_rows(spark: SparkSession, root: str, at: datetime) -> DataFrame:
-    """Each file below ``root`` (a folder called ``Files``) as a row with its bytes; up to 2 GB each."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    marker = f"/{root.rstrip('/').rsplit('/', 1)[-1]}/"
-    relative = below(F.col("path"), marker)
-    return file_rows(files.select(relative.alias("relative_path"), "content"), at)
+    """Each file below ``root`` as a row with its bytes.
+
+    A file that cannot be read, or is too large for a row (2 GB), has no content and says why.
+    """
+    files = walk(spark, root).where("NOT is_directory AND error IS NULL").select("relative_path", "size")
+    contents = spread_by_size(files, F.col("relative_path")).mapInArrow(reader(root), CONTENTS)
+    rows = file_rows(contents, at)
+    return rows.withColumn("restoration_note", F.coalesce("error", "restoration_note")).drop("error")
 
 
 def file_rows(files: DataFrame, at: datetime) -> DataFrame:
-    """``relative_path`` and ``content`` in the shape of files kept in a table."""
+    """``relative_path``, ``content`` and ``error`` in the shape of files kept in a table."""
     name = base_name(F.col("relative_path"))
     return files.select(
         F.col("relative_path").alias("original_path"),
@@ -111,6 +116,7 @@ def file_rows(files: DataFrame, at: datetime) -> DataFrame:
         F.octet_length("content").cast("bigint").alias("size_bytes"),
         F.lit(at.isoformat()).alias("restored_timestamp"),
         F.lit(NOTE).alias("restoration_note"),
+        "error",
     )
 
 

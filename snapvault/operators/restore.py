@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.lakehouse import Lakehouse
 from snapvault.operators.archive import FALLBACK_TABLE, restore_from_archives, store_binary_archives
-from snapvault.operators.audit import RESTORE_MANIFEST, RunLog, read_items, restore_manifest
+from snapvault.operators.audit import RESTORE_MANIFEST, RunLog, read_items, read_manifests, restore_manifest
 from snapvault.operators.filecopy import copy_files
 from snapvault.operators.items import ITEMS, conform, file_items, item, items_frame, now
 from snapvault.operators.tables import copy_tables
@@ -22,6 +23,7 @@ from snapvault.plans.restore import (
     select_names,
     snapshot_tables,
 )
+from snapvault.plans.retention import newest_as_of
 from snapvault.plans.verify import verdict
 from snapvault.session import configure, settled
 from snapvault.sources.hadoop import Folders
@@ -54,6 +56,16 @@ def layout_of(spark: SparkSession, snapshot: str) -> str:
     return "unknown"
 
 
+def newest_snapshot(spark: SparkSession, root: str, source: str, as_of: datetime) -> str | None:
+    """Path of the newest finished snapshot of a source that is not later than ``as_of``.
+
+    ``source`` is what the snapshot names start with, e.g. ``silver1_transform_dev``.
+    """
+    finished = read_manifests(spark, root).select(F.col("backup_folder_name").alias("name"))
+    row = newest_as_of(finished, as_of).where(F.col("source") == source).head()
+    return f"{root.rstrip('/')}/{row['name']}" if row else None
+
+
 def _archives(spark: SparkSession, snapshot: str) -> DataFrame:
     listing = walk(spark, snapshot, include_hidden=True, recursive=False)
     return listing.where("NOT is_directory AND endswith(name, '.zip')").select("relative_path")

@@ -36,11 +36,15 @@ def run_status(succeeded, failed):
     )
 
 
-def snapshot_counts(items: DataFrame, *by: str) -> DataFrame:
-    """The counting part of a run manifest: one row per run."""
+def snapshot_counts(items: DataFrame, *by: str, profiles: bool = False) -> DataFrame:
+    """The counting part of a run manifest: one row per run.
+
+    ``profiles`` adds the list of tables, for the manifest of a single run: each of them was a Spark
+    job of its own, so the list is short.
+    """
     table, file = F.col("kind") == "table", F.col("kind") == "file"
     done, failed = F.col("status") == "success", F.col("status") == "failed"
-    profile = F.struct("name", "row_count", "column_count")
+    listed = F.sort_array(F.collect_list(F.when(table, F.struct("name", "row_count", "column_count"))))
     counts = items.groupBy(*by).agg(
         F.count_if(table).alias("tables_discovered"),
         F.count_if(file).alias("files_discovered"),
@@ -50,7 +54,7 @@ def snapshot_counts(items: DataFrame, *by: str) -> DataFrame:
         F.count_if(file & failed).alias("files_failed"),
         F.coalesce(F.sum(F.when(table & done, F.col("row_count"))), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.when(file, F.col("size_bytes"))), F.lit(0)).alias("total_size"),
-        F.sort_array(F.collect_list(F.when(table, profile))).alias("tables_info"),
+        *([listed.alias("tables_info")] if profiles else []),
     )
     ok = F.col("tables_backed_up") + F.col("files_backed_up")
     bad = F.col("tables_failed") + F.col("files_failed")

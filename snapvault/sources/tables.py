@@ -16,12 +16,8 @@ FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
 
 def discover_tables(inventory: DataFrame, marker: str = "/Tables/") -> DataFrame:
     """Distinct table names from the paths of files inside table folders (``.../Tables/<name>/...``)."""
-    name = F.regexp_extract("path", f"{marker}([^/]+)/", 1)
-    return (
-        inventory.select(name.alias("name"))
-        .where((F.col("name") != "") & ~F.col("name").startswith("_"))
-        .distinct()
-    )
+    name = F.regexp_extract("path", f"{marker}([^/_][^/]*)/", 1)
+    return inventory.select(name.alias("name")).where("name <> ''").distinct()
 
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:

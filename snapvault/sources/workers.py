@@ -253,6 +253,42 @@ def copier(source_root: str, target_root: str, staging: str):
     return run
 
 
+CONTENTS = pa.schema(
+    [("relative_path", pa.string()), ("size", pa.int64()), ("content", pa.binary()), ("error", pa.string())]
+)
+ROW_LIMIT = (2 << 30) - (64 << 20)  # bytes that fit into one binary value
+BATCH_BYTES = 64 << 20
+
+
+def reader(root: str):
+    """The bytes of each file named in ``relative_path``; a batch holds one large or many small files."""
+
+    def one(fs, base, relative, size):
+        try:
+            if size is not None and size > ROW_LIMIT:
+                raise ValueError(f"{size} bytes do not fit into a row")
+            with fs.open_input_stream(posixpath.join(base, relative), compression=None) as source:
+                return (relative, size, source.read(), None)
+        except Exception as error:
+            return (relative, size, None, _text(error))
+
+    def run(batches):
+        fs, base = resolve(root)
+        held, weight = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                size = row["size"] or 0
+                if held and (weight + size > BATCH_BYTES or len(held) >= BATCH_ROWS):
+                    yield _emit(CONTENTS, held)
+                    held, weight = [], 0
+                held.append(one(fs, base, row["relative_path"], row["size"]))
+                weight += size
+        if held:
+            yield _emit(CONTENTS, held)
+
+    return run
+
+
 def writer(target_root: str, staging: str):
     """Write each row's ``content`` to a file at ``relative_path``."""
 

@@ -2,11 +2,9 @@ import io
 import json
 import os
 import zipfile
-from datetime import datetime
 
 import pytest
 from conftest import tree_of, write_tree
-from pyspark.sql import functions as F
 
 from snapvault import Lakehouse, restore
 from snapvault.operators import archive as ops

@@ -52,7 +52,7 @@ def test_rows_to_files_and_back(spark, tmp_path):
     assert tree_of(root) == {n: bytes(c) for n, c in rows}
     table = files_as_table(spark, root, str(tmp_path / "table"), datetime(2025, 1, 1))
     got = {r["original_path"]: bytes(r["content"]) for r in table.collect()}
-    assert got == {n: bytes(c) for n, c in rows if c}
+    assert got == {n: bytes(c) for n, c in rows}
     assert table.columns == ["original_path", "file_name", "file_type", "content", "size_bytes", "restored_timestamp", "restoration_note"]
 
 
@@ -61,12 +61,8 @@ def test_spread_by_size_balances_bytes(spark):
     sizes = [10_000_000_000] + [100_000_000] * 100 + [1_000] * 20_000
     df = spark.createDataFrame([(f"f{i}", s) for i, s in enumerate(sizes)], "relative_path string, size bigint")
     spread = spread_by_size(df, F.col("relative_path"), task_bytes=500_000_000)
-    load = spread.groupBy(F.spark_partition_id().alias("p")).agg(
-        F.sum(F.col("size") + FILE_COST).alias("w"), F.count(F.lit(1)).alias("n"), F.min("p").alias("first")
-    ) if False else spread.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
-        F.sum(F.col("size") + FILE_COST).alias("w"), F.count(F.lit(1)).alias("n")
-    )
-    rows = load.collect()
+    load = spread.withColumn("p", F.spark_partition_id()).groupBy("p")
+    rows = load.agg(F.sum(F.col("size") + FILE_COST).alias("w"), F.count(F.lit(1)).alias("n")).collect()
     assert sum(r["n"] for r in rows) == len(sizes)
     biggest = max(rows, key=lambda r: r["w"])
     assert biggest["n"] == 1 and biggest["p"] == 0  # the giant is alone and starts first
@@ -111,3 +107,18 @@ def test_row_differences_on_a_hot_row(spark):
     assert tuple(compare_rows(base, less).head()) == (3000, 3002, 1, 3)
     plan = compare_rows(base, less)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_files_as_rows_in_small_batches_and_unreadable_ones(spark, tmp_path, monkeypatch):
+    from snapvault.sources import workers
+
+    import pyarrow as pa
+
+    root = write_tree(tmp_path / "s", FILES)
+    batch = pa.RecordBatch.from_pydict({"relative_path": [*FILES, "gone"], "size": [len(c) for c in FILES.values()] + [workers.ROW_LIMIT + 1]})
+    out = list(workers.reader(root)(iter([batch])))
+    rows = {r["relative_path"]: r for b in out for r in b.to_pylist()}
+    assert rows.pop("gone")["error"].endswith("do not fit into a row")
+    assert {n: r["content"] for n, r in rows.items()} == tree_of(root)
+    monkeypatch.setattr(workers, "BATCH_BYTES", 1)
+    assert len(list(workers.reader(root)(iter([batch])))) > len(out)

@@ -207,3 +207,32 @@ def test_started_and_finished_are_utc(spark, lake, tmp_path):
     row = read_items(spark, run.path).where("name = 'plain'").head()
     assert row["started_at"] <= row["finished_at"]
     assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - row["finished_at"]).total_seconds()) < 600
+
+
+def test_newest_finished_snapshot(spark, lake, tmp_path):
+    import shutil
+    from datetime import timedelta
+
+    from snapvault import newest_snapshot
+
+    root = str(tmp_path / "b")
+    options = {"tables": False, "verify": None}
+    paths = [snapshot(spark, source(lake.root), root, AT + timedelta(days=d), **options).path for d in range(3)]
+    find = lambda at: newest_snapshot(spark, root, "silver1_transform_dev", at)
+    assert find(AT + timedelta(days=9)) == paths[2] and find(AT + timedelta(days=1)) == paths[1]
+    assert find(AT - timedelta(days=1)) is None
+    shutil.rmtree(f"{paths[1]}/_manifest")
+    assert find(AT + timedelta(days=1)) == paths[0]
+
+
+def test_log_table_of_all_runs_by_day(spark, tmp_path):
+    from snapvault.operators.audit import append_logs
+    from snapvault.plans.summary import log_rollup
+
+    rows = [("2025-01-01 00:00:00", "INFO", "a"), ("2025-01-01 23:59:59", "DEBUG", "b"), ("2025-01-02 00:00:00", "ERROR", "c")]
+    logs = spark.createDataFrame(rows, "timestamp string, level string, message string")
+    for _ in range(2):
+        append_logs(logs, str(tmp_path / "log"))
+    back = spark.read.parquet(str(tmp_path / "log"))
+    assert {(str(r["day"]), r["level"], r["n"]) for r in log_rollup(back).collect()} == {("2025-01-01", "INFO", 2), ("2025-01-02", "ERROR", 2)}
+    assert sorted(n for n in os.listdir(tmp_path / "log") if n[0] == "d") == ["day=2025-01-01", "day=2025-01-02"]
