@@ -39,7 +39,7 @@ from snapvault.plans import restore as restore_plans
 from snapvault.plans import retention as retention_plans
 from snapvault.plans import summary
 from snapvault.plans import verify as verify_plans
-from snapvault.session import configure, scratch_dir
+from snapvault.session import configure, scratch_dir, settled
 from snapvault.sources import archives as archive_sources
 from snapvault.sources.inventory import binary_file_inventory, file_inventory, folder_sizes, only_files, walk
 from snapvault.sources.tables import discover_tables, scan_table
@@ -82,7 +82,9 @@ def _snapshots(spark, sf_dir):
         .otherwise(F.concat(F.lit("silver1_transform_dev_backup_"), stamp))
     )
     size = F.floor("o_totalprice").cast("bigint") * 1024 + key
-    return _table(spark, sf_dir, "orders").select(key.alias("snap_no"), name.alias("name"), size.alias("size_bytes"))
+    columns = (key.alias("snap_no"), name.alias("name"), size.alias("size_bytes"))
+    build = lambda: settled(_table(spark, sf_dir, "orders").select(*columns), "snapshots")
+    return _once(spark, sf_dir, "snapshots", build)
 
 
 def _plan(spark, sf_dir):

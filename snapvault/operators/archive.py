@@ -139,7 +139,7 @@ def restore_tables(
     else:
         there = spark.createDataFrame([], "name string")
     plan = restore_plan(select_names(table_formats(entries, preference), names), there, overwrite)
-    rows = plan.orderBy("name").collect()  # one small row per table
+    rows = sorted(plan.collect(), key=lambda r: r["name"])  # one small row per table
     records = []
     for row in rows:
         target = f"{target_tables}/{row['name']}"
@@ -216,7 +216,7 @@ def restore_files(
         "source_path": F.concat("archive", F.lit("!/"), "entry"),
         "target_path": F.concat(F.lit(target_files + "/"), "relative_path"),
     }
-    shaped = lambda df, **more: df.select(*conform(spark, values | more))
+    shaped = lambda df, **more: df.select(*conform(values | more))
     if dry_run:
         return shaped(found, status=F.lit("dry_run"))
     if overwrite or not Folders(spark).exists(target_files):
@@ -278,7 +278,7 @@ def restore_from_archives(
         "source_path": F.concat(F.lit(root + "/"), "archive"),
         "error": F.col("error"),
     }
-    items = items_frame(spark, records).unionByName(broken.select(*conform(spark, values)))
+    items = items_frame(spark, records).unionByName(broken.select(*conform(values)))
     if target_files:
         items = items.unionByName(restore_files(spark, entries, root, target_files, patterns, overwrite, dry_run))
     return items

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapvault.operators.items import ITEMS, now
+from snapvault.operators.items import ITEMS, fields_of, now
 from snapvault.plans.summary import restore_counts, snapshot_counts, without_debug
 
 LOG = "timestamp string, level string, message string"
@@ -76,9 +76,8 @@ def append_logs(logs: DataFrame, path: str) -> None:
 
 def _typed(df: DataFrame, values: dict, schema: str) -> DataFrame:
     """``df`` plus literal columns, in the order and types of ``schema``."""
-    fields = df.sparkSession.createDataFrame([], schema).schema
     pick = lambda f: F.lit(values[f.name]) if f.name in values else F.col(f.name)
-    return df.select(*[pick(f).cast(f.dataType).alias(f.name) for f in fields])
+    return df.select(*[pick(f).cast(f.dataType).alias(f.name) for f in fields_of(schema)])
 
 
 def _times(started: datetime) -> dict:

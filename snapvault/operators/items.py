@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import lru_cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ITEMS = (
     "kind string, name string, status string, row_count bigint, column_count int, columns array<string>, "
@@ -19,6 +21,11 @@ ITEMS = (
 COLUMNS = [part.split()[0] for part in ITEMS.replace("decimal(38,0)", "decimal").split(", ")]
 
 
+@lru_cache
+def fields_of(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -46,13 +53,12 @@ def file_items(status: DataFrame, source_root: str, target_root: str, method: st
         "finished_at": F.lit(now()),
         "error": F.col("error"),
     }
-    return status.select(*conform(status.sparkSession, values))
+    return status.select(*conform(values))
 
 
-def conform(spark: SparkSession, values: dict[str, Column]) -> list[Column]:
+def conform(values: dict[str, Column]) -> list[Column]:
     """The item columns in order and type; those not given are null."""
-    types = {f.name: f.dataType for f in spark.createDataFrame([], ITEMS).schema}
-    return [values.get(c, F.lit(None)).cast(types[c]).alias(c) for c in COLUMNS]
+    return [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields_of(ITEMS)]
 
 
 def sidecars(items: DataFrame) -> DataFrame:

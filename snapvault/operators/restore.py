@@ -43,11 +43,9 @@ def layout_of(spark: SparkSession, snapshot: str) -> str:
     folders = Folders(spark)
     if not folders.exists(snapshot):
         raise FileNotFoundError(snapshot)
-    if folders.exists(f"{snapshot}/tables"):
-        names = child_directories(spark, f"{snapshot}/tables", include_hidden=True)
-        if not names.where("NOT startswith(name, '_')").isEmpty():
-            return "direct_copy"
-    if folders.exists(f"{snapshot}/_items"):  # a snapshot of files alone
+    if folders.exists(f"{snapshot}/_items"):  # one of ours, perhaps of files alone
+        return "direct_copy"
+    if folders.exists(f"{snapshot}/tables") and folders.first_child(f"{snapshot}/tables", ("_",)):
         return "direct_copy"
     if not _archives(spark, snapshot).isEmpty():
         return "zip_file"
@@ -84,7 +82,7 @@ def _restore_tables(spark, snapshot, target, names, overwrite, dry_run, source_f
     else:
         kept = snapshot_tables(_existing(spark, f"{snapshot}/tables").select("name"))
     plan = restore_plan(select_names(kept, names), _existing(spark, target), overwrite)
-    rows = plan.orderBy("name").collect()  # one small row per table
+    rows = sorted(plan.collect(), key=lambda r: r["name"])  # one small row per table
     if dry_run:
         status = {"skip": "skipped", "restore": "dry_run"}
         return [item("table", r["name"], status[r["action"]], target_path=f"{target}/{r['name']}") for r in rows]
@@ -110,12 +108,12 @@ def _restore_files(spark, snapshot, target, patterns, overwrite, dry_run, starte
     values = {"kind": F.lit("file"), "name": F.col("relative_path"), "size_bytes": F.col("size")}
     todo = files_to_restore(files, present, overwrite)
     if dry_run:
-        return todo.select(*conform(spark, values | {"status": F.lit("dry_run")}))
+        return todo.select(*conform(values | {"status": F.lit("dry_run")}))
     unread = listing.where("error IS NOT NULL")
-    aside = unread.select(*conform(spark, values | {"status": F.lit("failed"), "error": F.col("error")}))
+    aside = unread.select(*conform(values | {"status": F.lit("failed"), "error": F.col("error")}))
     if not overwrite:
         skipped = files.join(present, "relative_path", "left_semi")
-        skipped = skipped.select(*conform(spark, values | {"status": F.lit("skipped"), "error": F.lit("exists")}))
+        skipped = skipped.select(*conform(values | {"status": F.lit("skipped"), "error": F.lit("exists")}))
         aside, todo = settled(aside.unionByName(skipped), "aside"), settled(todo, "todo")
     status = copy_files(spark, todo, source, target)
     return file_items(status, source, target, "file_copy", started).unionByName(aside)

@@ -35,13 +35,13 @@ class Folders:
         if not fs.rename(path, self._path(target)):
             raise OSError(f"cannot rename {source} to {target}")
 
-    def first_data_child(self, uri: str) -> tuple[str, bool] | None:
+    def first_child(self, uri: str, hidden: tuple[str, ...] = ("_", ".")) -> tuple[str, bool] | None:
         """Name and kind of the first child that is not hidden; stops reading the folder there."""
         fs, path = self._open(uri)
         children = fs.listStatusIterator(path)
         while children.hasNext():
             child = children.next()
             name = child.getPath().getName()
-            if name[:1] not in ("_", "."):
+            if not name.startswith(hidden):
                 return name, child.isDirectory()
         return None

@@ -27,11 +27,11 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Names from the first ``column=value`` folders on the way down to a data file."""
     folders, names = Folders(spark), []
-    child = folders.first_data_child(path)
+    child = folders.first_child(path)
     while child and child[1] and "=" in child[0]:
         names.append(child[0].split("=", 1)[0])
         path = f"{path}/{child[0]}"
-        child = folders.first_data_child(path)
+        child = folders.first_child(path)
     return names
 
 
