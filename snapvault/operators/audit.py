@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,9 @@ class RunLog:
         self.rows.append((now().strftime("%Y-%m-%d %H:%M:%S"), level, text))
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return without_debug(spark.createDataFrame(self.rows, LOG))
+        columns = list(zip(*self.rows)) or [(), (), ()]
+        names = ("timestamp", "level", "message")
+        return without_debug(spark.createDataFrame(pa.table({n: pa.array(c, pa.string()) for n, c in zip(names, columns)})))
 
     def write(self, spark: SparkSession, path: str) -> None:
         self.frame(spark).coalesce(1).write.parquet(path)

@@ -115,10 +115,28 @@ def test_files_as_rows_in_small_batches_and_unreadable_ones(spark, tmp_path, mon
     import pyarrow as pa
 
     root = write_tree(tmp_path / "s", FILES)
-    batch = pa.RecordBatch.from_pydict({"relative_path": [*FILES, "gone"], "size": [len(c) for c in FILES.values()] + [workers.ROW_LIMIT + 1]})
+    sizes = [len(c) for c in FILES.values()] + [workers.ROW_LIMIT + 1]
+    batch = pa.RecordBatch.from_pydict({"relative_path": [*FILES, "gone"], "size": sizes})
     out = list(workers.reader(root)(iter([batch])))
     rows = {r["relative_path"]: r for b in out for r in b.to_pylist()}
     assert rows.pop("gone")["error"].endswith("do not fit into a row")
     assert {n: r["content"] for n, r in rows.items()} == tree_of(root)
     monkeypatch.setattr(workers, "BATCH_BYTES", 1)
     assert len(list(workers.reader(root)(iter([batch])))) > len(out)
+
+
+def test_tasks_can_run_again(tmp_path):
+    """What a lost executor had already done does not disturb the second attempt."""
+    from snapvault.sources import workers
+
+    import pyarrow as pa
+
+    source, target = write_tree(tmp_path / "s", FILES), str(tmp_path / "t")
+    batch = pa.RecordBatch.from_pydict({"relative_path": list(FILES), "size": [0] * len(FILES)})
+    statuses = lambda run: {s for b in run(iter([batch])) for s in b.column("status").to_pylist()}
+    for _ in range(2):
+        assert statuses(workers.copier(source, target, ".staging-x")) == {"success"}
+    assert {k: v for k, v in tree_of(target).items() if not k.startswith(".staging")} == tree_of(source)
+    for _ in range(2):
+        assert statuses(workers.deleter(target, False)) == {"success"}
+    assert tree_of(target) == {}

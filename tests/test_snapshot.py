@@ -234,5 +234,6 @@ def test_log_table_of_all_runs_by_day(spark, tmp_path):
     for _ in range(2):
         append_logs(logs, str(tmp_path / "log"))
     back = spark.read.parquet(str(tmp_path / "log"))
-    assert {(str(r["day"]), r["level"], r["n"]) for r in log_rollup(back).collect()} == {("2025-01-01", "INFO", 2), ("2025-01-02", "ERROR", 2)}
+    got = {(str(r["day"]), r["level"], r["n"]) for r in log_rollup(back).collect()}
+    assert got == {("2025-01-01", "INFO", 2), ("2025-01-02", "ERROR", 2)}
     assert sorted(n for n in os.listdir(tmp_path / "log") if n[0] == "d") == ["day=2025-01-01", "day=2025-01-02"]
