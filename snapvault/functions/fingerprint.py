@@ -34,11 +34,16 @@ def _parts(value: Column, dtype: T.DataType) -> list[Column]:
     return [value.isNull(), value]
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def row_hash(schema: T.StructType) -> Column:
     """64-bit hash of a row; columns are taken in name order."""
     parts = [F.lit(0)]
     for field in sorted(schema.fields, key=lambda f: f.name):
-        parts += _parts(F.col(f"`{field.name}`"), field.dataType)
+        parts += _parts(named(field.name), field.dataType)
     return F.xxhash64(*parts)
 
 

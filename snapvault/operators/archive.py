@@ -46,7 +46,10 @@ def store_binary_archives(spark: SparkSession, archives: DataFrame) -> tuple[str
     root = scratch_dir(spark, "archives")
     rows = archives.select(F.col("archive").alias("relative_path"), F.col("zip_binary").alias("content"))
     status = write_files(spark, rows, root)
-    return root, status.where("status = 'success'").select("relative_path")
+    failed = status.where("status <> 'success'").head()
+    if failed:
+        raise OSError(f"archive {failed['relative_path']} could not be stored: {failed['error']}")
+    return root, status.select("relative_path")
 
 
 def scan_archives(spark: SparkSession, root: str, archives: DataFrame) -> DataFrame:
@@ -55,18 +58,29 @@ def scan_archives(spark: SparkSession, root: str, archives: DataFrame) -> DataFr
 
 
 def table_formats(entries: DataFrame, preference: str = "auto") -> DataFrame:
-    """Per table: what the archives hold of it and the format to restore from."""
+    """Per table: what the archives hold of it and the format to restore from.
+
+    A table may be spread over several archives. It has a format when each of those that hold any of
+    its rows has it, so that no part is left out.
+    """
     name = F.col("file_name")
-    found = (
+    parts = (
         entries.where("kind = 'table'")
-        .groupBy(F.col("table_name").alias("name"))
+        .groupBy("archive", F.col("table_name").alias("name"))
         .agg(
-            F.bool_or(name.endswith(".parquet")).alias("has_parquet"),
-            F.bool_or(name.endswith(".csv")).alias("has_csv"),
-            F.bool_or(name == "schema.json").alias("has_schema"),
-            F.bool_or(name == "metadata.json").alias("has_metadata"),
+            F.bool_or(name.endswith(".parquet")).alias("p"),
+            F.bool_or(name.endswith(".csv")).alias("c"),
+            F.bool_or(name == "schema.json").alias("s"),
+            F.bool_or(name == "metadata.json").alias("m"),
         )
     )
+    whole = lambda flag: F.bool_or(flag) & F.bool_and(F.col(flag) | ~(F.col("p") | F.col("c")))
+    found = parts.groupBy("name").agg(
+        whole("p").alias("has_parquet"),
+        whole("c").alias("has_csv"),
+        F.bool_or("s").alias("has_schema"),
+        F.bool_or("m").alias("has_metadata"),
+    )
     return found.withColumn("format", archive_format(preference, F.col("has_parquet"), F.col("has_csv")))
 
 
@@ -90,9 +104,7 @@ def _chosen_entries(entries: DataFrame, plan: DataFrame) -> DataFrame:
     main = F.col("file_name") == F.concat("table_name", F.lit("."), F.col("format"))
     has_main = data.groupBy("archive", "table_name").agg(F.bool_or(main).alias("has_main"))
     base = F.substring_index("entry", "/", -1)
-    staged = F.concat(
-        "table_name", F.lit("/"), F.hex(F.xxhash64("archive")), F.lit("-"), F.hex(F.xxhash64("entry")), F.lit("-"), base
-    )
+    staged = F.concat("table_name", F.lit("/"), F.md5(F.concat_ws("!/", "archive", "entry")), F.lit("-"), base)
     return (
         data.join(has_main, ["archive", "table_name"])
         .where((main | ~F.col("has_main")) & ~is_hidden(base))
@@ -116,7 +128,8 @@ def _stored_schema(text: str) -> T.StructType | None:
 def _read_staged(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
     if fmt == "parquet":
         return spark.read.option("mergeSchema", True).parquet(path)
-    reader = spark.read.options(header=True, quote='"', escape='"', mode="FAILFAST", multiLine=multi_line)
+    strict = {"mode": "FAILFAST", "enforceSchema": False}  # a value or header that does not fit is an error
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, **strict)
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 

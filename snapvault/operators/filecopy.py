@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.files import base_name, file_type
-from snapvault.session import scratch_dir
+from snapvault.session import scratch_dir, settled
 from snapvault.sources.hadoop import Folders
-from snapvault.sources.inventory import walk
+from snapvault.sources.inventory import spread, walk
+from snapvault.sources.tables import replace_table
 from snapvault.sources.workers import copier, deleter, reader, writer
 
 STATUS = "relative_path string, size bigint, status string, written_bytes bigint, error string"
@@ -83,15 +84,8 @@ def write_files(spark: SparkSession, rows: DataFrame, target_root: str, status_p
 
 def delete_paths(spark: SparkSession, paths: DataFrame, root: str, directories: bool) -> DataFrame:
     """Delete files (or whole directories) named in ``relative_path``; one status row each."""
-    out = scratch_dir(spark, "delete")
-    tasks = spark.sparkContext.defaultParallelism * 4
-    (
-        paths.select("relative_path")
-        .repartition(tasks, "relative_path")
-        .mapInArrow(deleter(root, directories), DELETED)
-        .write.parquet(out)
-    )
-    return spark.read.schema(DELETED).parquet(out)
+    todo = spread(paths.select("relative_path"), paths.count())
+    return settled(todo.mapInArrow(deleter(root, directories), DELETED), "delete")
 
 
 def files_as_rows(spark: SparkSession, root: str, at: datetime) -> DataFrame:
@@ -121,5 +115,5 @@ def file_rows(files: DataFrame, at: datetime) -> DataFrame:
 
 
 def files_as_table(spark: SparkSession, root: str, table_path: str, at: datetime, fmt: str = "parquet") -> DataFrame:
-    files_as_rows(spark, root, at).write.format(fmt).mode("overwrite").save(table_path)
+    replace_table(spark, files_as_rows(spark, root, at), table_path, fmt)
     return spark.read.format(fmt).load(table_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -81,10 +82,16 @@ def in_parallel(spark: SparkSession, function: Callable, arguments: list, width:
     """Run one Spark job per argument from a thread pool, in order of the arguments.
 
     With FAIR scheduling the jobs share the executors, so many small tables do not queue behind a
-    large one.
+    large one: jobs share fairly between scheduler pools only, so each thread has its own.
     """
     if not arguments:
         return []
-    with ThreadPoolExecutor(max_workers=max(1, min(width, len(arguments)))) as pool:
-        jobs = [pool.submit(inheritable_thread_target(spark)(function), a) for a in arguments]
+
+    def in_own_pool(argument):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", threading.current_thread().name)
+        return function(argument)
+
+    width = max(1, min(width, len(arguments)))
+    with ThreadPoolExecutor(max_workers=width, thread_name_prefix="snapvault") as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(in_own_pool), a) for a in arguments]
         return [job.result() for job in jobs]

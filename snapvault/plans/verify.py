@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapvault.functions.fingerprint import checksum
+from snapvault.functions.fingerprint import checksum, named
 
 
 def verify_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -26,6 +26,26 @@ def verify_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def verify_against_record(items: DataFrame, recorded: DataFrame) -> DataFrame:
+    """Tables just written against the records of an earlier run: same count and same checksum.
+
+    Both were taken while rows passed by, so this finds a snapshot that has changed since it was
+    taken without reading anything again.
+    """
+    ours = items.where("kind = 'table' AND status = 'success'")
+    before = recorded.where("kind = 'table' AND status = 'success'").select(
+        "name", F.struct("row_count", "hash_sum", "hash_xor").alias("record")
+    )
+    now = F.struct("row_count", "hash_sum", "hash_xor")
+    return ours.join(before, "name").select(
+        "name",
+        F.lit(True).alias("verified"),
+        (now == F.col("record")).alias("data_matches"),
+        F.col("record.row_count").alias("expected_rows"),
+        F.col("row_count").alias("actual_rows"),
+    )
+
+
 def verify_files(source: DataFrame, target: DataFrame, kept_as_rows: DataFrame | None = None) -> DataFrame:
     """Per source file: is it at the target (as a file, or as a row of the fallback table), same size?"""
     found = target.select("relative_path", F.col("size").alias("target_size"), F.lit("file_copy").alias("restore_method"))
@@ -83,7 +103,7 @@ def _comparable(df: DataFrame) -> list[Column]:
     """Columns by name, as they can be grouped: variants as JSON text, strings by their bytes."""
     out = []
     for field in sorted(df.schema.fields, key=lambda f: f.name):
-        column = F.col(f"`{field.name}`")
+        column = named(field.name)
         if _holds_variant(field.dataType):
             column = F.to_json(F.struct(column))
         elif isinstance(field.dataType, T.StringType) and not field.dataType.isUTF8BinaryCollation():
@@ -106,7 +126,7 @@ def _copies(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """
     side = lambda df, e, a: df.select(*_comparable(df), F.lit(e).alias("__expected"), F.lit(a).alias("__actual"))
     rows = side(expected, 1, 0).unionByName(side(actual, 0, 1))
-    keys = [f"`{c}`" for c in rows.columns if c not in ("__expected", "__actual")]
+    keys = [named(c) for c in rows.columns if c not in ("__expected", "__actual")]
     return rows.groupBy(*keys).agg(F.sum("__expected").alias("__expected"), F.sum("__actual").alias("__actual"))
 
 
@@ -117,7 +137,7 @@ def row_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """
     surplus = (F.col("__expected") - F.col("__actual")).alias("surplus")
     rows = _copies(expected, actual)
-    kept = [f"`{c}`" for c in rows.columns if c not in ("__expected", "__actual")]
+    kept = [named(c) for c in rows.columns if c not in ("__expected", "__actual")]
     return rows.where("__expected <> __actual").select(*kept, surplus)
 
 

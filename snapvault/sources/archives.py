@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.files import base_name, file_type
+from snapvault.sources.inventory import spread
 from snapvault.sources.workers import binary_entry_lister, content_reader, file_entry_lister
 
 ENTRIES = (
@@ -51,8 +52,7 @@ def archive_entries(spark: SparkSession, root: str, archives: DataFrame) -> Data
     When an archive holds a name twice, the last one counts. An archive that cannot be read gives
     one row with ``error``.
     """
-    tasks = spark.sparkContext.defaultParallelism * 4
-    todo = archives.select("relative_path").repartition(tasks, "relative_path")
+    todo = spread(archives.select("relative_path"), archives.count())
     return classify_entries(todo.mapInArrow(file_entry_lister(root), ENTRIES))
 
 

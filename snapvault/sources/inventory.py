@@ -20,6 +20,12 @@ DIRECTORY_BUDGET = 200
 ENTRY_BUDGET = 50_000
 
 
+def spread(paths: DataFrame, count: int) -> DataFrame:
+    """Repartition ``count`` rows with a ``relative_path`` for work that is the same for each."""
+    most = paths.sparkSession.sparkContext.defaultParallelism * 4
+    return paths.repartition(max(1, min(count, most)), "relative_path")
+
+
 def walk(
     spark: SparkSession,
     root: str,
@@ -40,21 +46,20 @@ def walk(
         raise FileNotFoundError(root)
     out = scratch_dir(spark, "walk")
     run = lister(root, include_hidden, directory_budget if recursive else 0, entry_budget)
-    most = spark.sparkContext.defaultParallelism * 4
     frontier = starts.select("relative_path") if starts is not None else spark.sql("SELECT '' AS relative_path")
-    tasks = 1 if starts is None else most
+    count = 1 if starts is None else frontier.count()
     rounds = []
     while True:
         level, pending = f"{out}/round={len(rounds)}", Observation()
         (
-            frontier.repartition(tasks, "relative_path")
+            spread(frontier, count)
             .mapInArrow(run, LISTING)
             .observe(pending, F.count_if("pending").alias("n"))
             .write.parquet(level)
         )
         rounds.append(level)
-        tasks = min(pending.get["n"], most)
-        if not tasks:
+        count = pending.get["n"]
+        if not count:
             break
         frontier = spark.read.schema(LISTING).parquet(level).where("pending").select("relative_path")
     return spark.read.schema(LISTING).parquet(*rounds).where("NOT pending").drop("pending")

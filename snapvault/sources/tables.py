@@ -39,21 +39,21 @@ def scan_exact(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[Da
     """A table for copying or checking, with its partition columns.
 
     Partition values stay the strings they are in the path (``month=01`` is not turned into 1), and
-    columns that only some files have are not lost.
+    columns that only some files have are not lost. Damaged or vanished files are errors, whatever
+    the session is set to.
     """
     if fmt not in FILE_FORMATS:
         df = spark.read.format(fmt).load(path)
         details = spark.sql(f"DESCRIBE DETAIL {fmt}.`{path}`") if fmt == "delta" else None
         return df, list(details.head()["partitionColumns"]) if details is not None else []
-    reader = spark.read.format(fmt)
-    if fmt in ("parquet", "orc"):
-        reader = reader.option("mergeSchema", True)
-    df = reader.load(path)
+    options = {"ignoreCorruptFiles": False, "ignoreMissingFiles": False}
+    merge = {"mergeSchema": True} if fmt in ("parquet", "orc") else {}
+    df = spark.read.format(fmt).options(**options, **merge).load(path)
     parts = [c for c in partition_columns(spark, path) if c in df.columns]
     if not parts:
         return df, parts
     exact = T.StructType([T.StructField(f.name, T.StringType()) if f.name in parts else f for f in df.schema])
-    return spark.read.format(fmt).schema(exact).load(path), parts
+    return spark.read.format(fmt).schema(exact).options(**options).load(path), parts
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", partition_by=()) -> None:

@@ -234,3 +234,28 @@ def test_quote_watch_over_block_borders():
     for size in (1, 2, 3, 7, 1000):
         assert seen(b'a,"b\nc",d\n', size) and seen(b'a\n"x""y\n"\n', size)
         assert not seen(b'a,"b c",d\n"e"\n', size) and not seen(b'a\n"x""y"\n""\n', size)
+
+
+def test_table_in_volumes_of_different_formats(spark, tmp_path):
+    p = parquet(spark, tmp_path, spark.range(3))
+    root = write_tree(
+        tmp_path / "s",
+        {
+            "1.zip": zipped([("tables/both/both.parquet", p), ("tables/both/both.csv", "id\n9\n"), ("tables/mixed/mixed.parquet", p)]),
+            "2.zip": zipped([("tables/both/both.csv", "id\n8\n"), ("tables/mixed/mixed.csv", "id\n8\n"), ("tables/both/schema.json", "{}")]),
+            "3.zip": zipped([("tables/both/schema.json", "{}")]),
+        },
+    )
+    records = {r["name"]: r for r in ops.restore_tables(spark, scan(spark, root), root, str(tmp_path / "t"))}
+    # Only CSV is there in all volumes; no single format holds all of the other table.
+    assert (records["both"]["method"], records["both"]["row_count"]) == ("archive_csv", 2)
+    assert records["mixed"]["status"] == "failed"
+
+
+def test_csv_volumes_with_other_columns_fail(spark, tmp_path):
+    root = write_tree(
+        tmp_path / "s",
+        {"1.zip": zipped([("tables/c/c.csv", "a,b\n1,2\n")]), "2.zip": zipped([("tables/c/c.csv", "b,a\n1,2\n")])},
+    )
+    (record,) = ops.restore_tables(spark, scan(spark, root), root, str(tmp_path / "t"))
+    assert record["status"] == "failed"

@@ -82,3 +82,14 @@ def test_collated_and_variant_values(spark):
     three = spark.sql("SELECT 'a' COLLATE UTF8_LCASE c, struct(parse_json('9')) v, parse_json('2') w, NULL n")
     assert len({_sum(one), _sum(two), _sum(three)}) == 3
     assert [tuple(compare_rows(one, x).head())[2:] for x in (one, two, three)] == [(0, 0), (1, 1), (1, 1)]
+
+
+def test_odd_column_names(spark, tmp_path):
+    from snapvault.plans.verify import compare_rows
+
+    df = spark.range(3).select(F.col("id").alias("a.b"), F.lit(1).alias("x`y"), F.lit(2).alias("sp ace"))
+    passing, seen = observed(df)
+    passing.write.parquet(str(tmp_path / "odd"))
+    back = spark.read.parquet(str(tmp_path / "odd"))
+    assert seen.get["row_count"] == 3 and _sum(back) == _sum(df)
+    assert tuple(compare_rows(df, back).head()) == (3, 3, 0, 0)

@@ -139,3 +139,11 @@ def test_archive_format(one, preference, expected):
     assert [g[0] for g in got] == expected
     with pytest.raises(ValueError):
         archive_format("xml", F.col("p"), F.col("c"))
+
+
+def test_snapshot_that_changed_since_it_was_taken_is_noticed(spark, taken, tmp_path):
+    moved = copy_of(taken, tmp_path)
+    assert restore(spark, moved, Lakehouse(str(tmp_path / "t"))).manifest.head()["verification_passed"]
+    spark.range(7, 9).write.mode("overwrite").parquet(f"{moved}/tables/two")  # as many rows, other values
+    run = restore(spark, moved, Lakehouse(str(tmp_path / "t")))
+    assert run.manifest.head()["verification_passed"] is False
