@@ -5,7 +5,7 @@ from snapvault.operators.restore import RestoreRun, newest_snapshot, restore
 from snapvault.operators.retention import RetentionRun, retain, snapshot_catalogue
 from snapvault.operators.snapshot import SnapshotRun, Source, snapshot, snapshot_many
 from snapvault.operators.verify import verify_content, verify_snapshot
-from snapvault.session import configure
+from snapvault.session import clean_scratch, configure
 
 __all__ = [
     "Lakehouse",
@@ -13,6 +13,7 @@ __all__ = [
     "RetentionRun",
     "SnapshotRun",
     "Source",
+    "clean_scratch",
     "configure",
     "newest_snapshot",
     "restore",

@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapvault import Lakehouse, Source, restore, retain, snapshot, verify_snapshot
+from snapvault import Lakehouse, Source, clean_scratch, restore, retain, snapshot, verify_snapshot
 from snapvault.plans.verify import verdict
 
 
@@ -129,7 +129,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("snapvault").getOrCreate()
-    result = args.function(spark, args)
+    try:
+        result = args.function(spark, args)
+    finally:
+        clean_scratch(spark)
     print(json.dumps(result, default=str))
     return 0 if result.get("status") in ("success", "empty") else 1
 

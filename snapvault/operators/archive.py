@@ -200,7 +200,10 @@ def restore_tables(
             return failed_table(name, error, target_path=target, **record)
         return store_table(spark, name, df, target, fmt, overwrite=overwrite, **record)
 
-    return records + in_parallel(spark, one, sorted(wanted), width)
+    try:
+        return records + in_parallel(spark, one, sorted(wanted), width)
+    finally:
+        folders.delete(staging)
 
 
 def restore_files(

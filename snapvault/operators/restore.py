@@ -161,6 +161,7 @@ def restore(
             rows = _restore_files(spark, snapshot, target.files, file_patterns, overwrite, dry_run, started)
             items = items if rows is None else items.unionByName(rows)
     else:
+        unpacked = None
         if layout == "zip_file":
             root, archives = snapshot, _archives(spark, snapshot)
         else:
@@ -168,6 +169,7 @@ def restore(
             held = scan_table(spark, table, source_fmt)
             number = F.concat(F.hex(F.xxhash64("zip_binary")), F.lit("-"), F.md5("zip_binary"), F.lit(".zip"))
             root, archives = store_binary_archives(spark, held.select(number.alias("archive"), "zip_binary"))
+            unpacked = root
         items = restore_from_archives(
             spark,
             root,
@@ -182,6 +184,9 @@ def restore(
             fmt,
             width,
         )
+        if unpacked:
+            items = settled(items, "items")
+            folders.delete(unpacked)
     if dry_run:
         return RestoreRun(layout, items, None)
 

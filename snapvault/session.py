@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapvault.sources.hadoop import Folders
+
 # Dates before 1582 and timestamps before 1900 are stored as they are, never shifted.
 _REBASE_KEYS = (
     "spark.sql.parquet.datetimeRebaseModeInWrite",
@@ -24,15 +26,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+_local: dict[str, str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="snapvault-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return f"{base.rstrip('/')}/snapvault/{label}-{uuid.uuid4().hex}"
+        base = _local.get(context.applicationId)
+        if not base:
+            base = _local[context.applicationId] = tempfile.mkdtemp(prefix="snapvault-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{base.rstrip('/')}/snapvault/{context.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder name under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the scratch folder; its listings and plans end here."""
+    Folders(spark).delete(_scratch_root(spark))
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:

@@ -31,3 +31,14 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert (result["dry_run"], result["expired_backups"], result["deleted_backups"]) == (True, 1, 0)
     code, result = run("cleanup", "--backup-root", backups, "--as-of", "2025-03-01", "--delete")
     assert code == 0 and result["deleted_backups"] == 1 and not os.path.exists(path)
+
+
+def test_scratch_is_cleaned(spark):
+    from snapvault.session import clean_scratch, scratch_dir, settled
+
+    df = settled(spark.range(3), "x")
+    assert df.count() == 3
+    root = os.path.dirname(scratch_dir(spark, "y"))
+    assert os.listdir(root)
+    clean_scratch(spark)
+    assert not os.path.exists(root)
