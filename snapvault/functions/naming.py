@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,15 @@ STAMP = r"\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}"
 STAMP_LENGTH = len("yyyy-MM-dd_HH-mm-ss")
 
 
+def wall_clock(at: datetime) -> datetime:
+    """The UTC wall clock of a time; one without a zone is UTC already."""
+    return at.astimezone(timezone.utc).replace(tzinfo=None) if at.tzinfo else at
+
+
+def wall_clock_lit(at: datetime) -> Column:
+    return F.lit(wall_clock(at).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _short(name: Column, prefix: str, suffix: str) -> Column:
     # The two words are removed wherever they stand, not only at the ends.
     without_prefix = F.replace(F.lower(name), F.lit(prefix), F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from snapvault.operators.items import ITEMS, fields_of, now
 from snapvault.plans.summary import restore_counts, snapshot_counts, without_debug
+from snapvault.sources.tables import literal
 
 LOG = "timestamp string, level string, message string"
 
@@ -58,7 +59,7 @@ class RunLog:
 def read_logs(spark: SparkSession, root: str, folder: str = "_logs") -> DataFrame:
     """The log lines of every run below ``root``."""
     run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
-    return spark.read.schema(LOG).parquet(f"{root}/*/{folder}").select("*", run.alias("run"))
+    return spark.read.schema(LOG).parquet(f"{literal(root)}/*/{folder}").select("*", run.alias("run"))
 
 
 def log_table(events: DataFrame, timestamp: Column, level: Column, text: Column) -> DataFrame:
@@ -108,11 +109,11 @@ def restore_manifest(items: DataFrame, started: datetime, **about) -> DataFrame:
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """The manifests of all snapshots below ``root``; columns an old one lacks are null."""
-    return spark.read.schema(MANIFEST).parquet(f"{root}/*/_manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{literal(root)}/*/_manifest")
 
 
 def read_items(spark: SparkSession, snapshot: str) -> DataFrame:
-    return spark.read.schema(ITEMS).parquet(f"{snapshot}/_items")
+    return spark.read.schema(ITEMS).parquet(f"{literal(snapshot)}/_items")
 
 
 def cleanup_documents(runs: DataFrame) -> DataFrame:

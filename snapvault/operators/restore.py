@@ -28,7 +28,7 @@ from snapvault.plans.verify import verdict, verify_against_record
 from snapvault.session import configure, settled
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
-from snapvault.sources.tables import scan_table
+from snapvault.sources.tables import literal, scan_table
 
 
 @dataclass(frozen=True)
@@ -193,7 +193,7 @@ def restore(
     stamp = started.strftime("%Y-%m-%d_%H-%M-%S")
     path = f"{target.files}/_restore_items_{stamp}"
     items.write.parquet(path)
-    items = spark.read.schema(ITEMS).parquet(path)
+    items = spark.read.schema(ITEMS).parquet(literal(path))
     passed = None
     if verify:
         rows_table = f"{target.files}/{FALLBACK_TABLE}"
@@ -219,4 +219,4 @@ def restore(
     }
     manifest_path = f"{target.files}/_restore_manifest_{stamp}"
     restore_manifest(items, started, **about).write.parquet(manifest_path)
-    return RestoreRun(layout, items, spark.read.schema(RESTORE_MANIFEST).parquet(manifest_path))
+    return RestoreRun(layout, items, spark.read.schema(RESTORE_MANIFEST).parquet(literal(manifest_path)))

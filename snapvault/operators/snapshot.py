@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapvault.functions.naming import snapshot_name
+from snapvault.functions.naming import snapshot_name, wall_clock, wall_clock_lit
 from snapvault.lakehouse import Lakehouse
 from snapvault.operators.audit import MANIFEST, RunLog, manifest, read_items
 from snapvault.operators.filecopy import copy_files
@@ -19,6 +19,7 @@ from snapvault.plans.verify import verdict
 from snapvault.session import configure
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, walk
+from snapvault.sources.tables import literal
 
 
 @dataclass(frozen=True)
@@ -41,8 +42,10 @@ def name_of(spark: SparkSession, source: Source, at: datetime) -> str:
     for value in (source.lakehouse_name, source.workspace_name):
         if not value or not value.strip():
             raise ValueError("lakehouse_name and workspace_name are required")
-    when = F.lit(at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
-    name = snapshot_name(F.lit(source.lakehouse_name.strip()), F.lit(source.workspace_name.strip()), when)
+        if "/" in value:
+            raise ValueError(f"a name must not contain a slash: {value}")
+    names = F.lit(source.lakehouse_name.strip()), F.lit(source.workspace_name.strip())
+    name = snapshot_name(*names, wall_clock_lit(at))
     return spark.sql("SELECT 1").select(name).head()[0]
 
 
@@ -120,14 +123,14 @@ def snapshot(
     log.write(spark, f"{path}/_logs")
     about = {
         "backup_folder_name": name,
-        "backup_timestamp": at,
+        "backup_timestamp": wall_clock(at).replace(tzinfo=timezone.utc),
         "source_lakehouse_name": source.lakehouse_name,
         "source_workspace_name": source.workspace_name,
         "backup_root": backup_root,
         "verification_passed": passed,
     }
     manifest(read_items(spark, path), started, **about).write.parquet(f"{path}/_manifest")
-    return SnapshotRun(path, read_items(spark, path), spark.read.schema(MANIFEST).parquet(f"{path}/_manifest"))
+    return SnapshotRun(path, read_items(spark, path), spark.read.schema(MANIFEST).parquet(f"{literal(path)}/_manifest"))
 
 
 def snapshot_many(spark: SparkSession, sources: list[Source], backup_root: str, **options) -> DataFrame:

@@ -7,11 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.functions.naming import snapshot_source, snapshot_time
-
-def _ntz(at: datetime) -> Column:
-    return F.lit(at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
-
+from snapvault.functions.naming import snapshot_source, snapshot_time, wall_clock, wall_clock_lit
 
 def age_days(at: Column, as_of: datetime) -> Column:
     """Whole days between a TIMESTAMP_NTZ and ``as_of``, rounded down (negative for future times).
@@ -19,6 +15,7 @@ def age_days(at: Column, as_of: datetime) -> Column:
     Days between the dates, less one when the time of day is later than that of ``as_of``: wall
     clock arithmetic that no time zone of the session can shift.
     """
+    as_of = wall_clock(as_of)
     days = F.datediff(F.lit(as_of.date()), at.cast("date"))
     time_of_day = F.substring(at.cast("string"), 12, 15)
     return (days - F.when(time_of_day > as_of.time().isoformat(), 1).otherwise(0)).cast("bigint")
@@ -37,7 +34,7 @@ def with_age(
         raise ValueError("retention_days must be at least 1")
     # Older than N whole days is N + 1 days or more: one comparison with a constant.
     try:
-        expired = F.col("ts") <= _ntz(as_of - timedelta(days=retention_days + 1))
+        expired = F.col("ts") <= wall_clock_lit(as_of - timedelta(days=retention_days + 1))
     except OverflowError:  # a limit before the year 1
         expired = F.lit(False)
     return (
@@ -99,7 +96,7 @@ def newest_as_of(snapshots: DataFrame, as_of: datetime) -> DataFrame:
     timed = snapshots.select("name", snapshot_time(F.col("name")).alias("ts"))
     newest = F.max(F.struct("ts", "name"))
     return (
-        timed.where(F.col("ts") <= _ntz(as_of))
+        timed.where(F.col("ts") <= wall_clock_lit(as_of))
         .groupBy(snapshot_source(F.col("name")).alias("source"))
         .agg(newest.alias("newest"))
         .select("source", F.col("newest.name").alias("name"), F.col("newest.ts").alias("ts"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,13 @@ def discover_tables(inventory: DataFrame, marker: str = "/Tables/") -> DataFrame
     return inventory.select(name.alias("name")).where("name <> ''").distinct()
 
 
+def literal(path: str) -> str:
+    """A path for ``load`` in which no character is a wildcard."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    return spark.read.format(fmt).options(**options).load(path)
+    return spark.read.format(fmt).options(**options).load(literal(path))
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -48,12 +54,12 @@ def scan_exact(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[Da
         return df, list(details.head()["partitionColumns"]) if details is not None else []
     options = {"ignoreCorruptFiles": False, "ignoreMissingFiles": False}
     merge = {"mergeSchema": True} if fmt in ("parquet", "orc") else {}
-    df = spark.read.format(fmt).options(**options, **merge).load(path)
+    df = spark.read.format(fmt).options(**options, **merge).load(literal(path))
     parts = [c for c in partition_columns(spark, path) if c in df.columns]
     if not parts:
         return df, parts
     exact = T.StructType([T.StructField(f.name, T.StringType()) if f.name in parts else f for f in df.schema])
-    return spark.read.format(fmt).schema(exact).options(**options).load(path), parts
+    return spark.read.format(fmt).schema(exact).options(**options).load(literal(path)), parts
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", partition_by=()) -> None:

@@ -122,3 +122,10 @@ def test_result_with_failures(spark):
     row = retention_result(plan, done((OLD, "success", 1), (OTHER, "failed", 2))).head()
     assert tuple(row) == ("partial", False, 3, 2, 1, 1, 1)
     assert retention_result(plan, done((OLD, "failed", 1), (OTHER, "failed", 2))).head()["status"] == "failed"
+
+
+def test_empty_and_missing_root(spark, tmp_path):
+    run = retain(spark, write_tree(tmp_path / "b", {"_cleanup_logs/x": "x"}), AS_OF, dry_run=False)
+    assert (run.result.head()["status"], run.result.head()["total_backups"], run.deletions.count()) == ("success", 0, 0)
+    with pytest.raises(FileNotFoundError):
+        retain(spark, str(tmp_path / "missing"), AS_OF)

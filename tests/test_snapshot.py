@@ -237,3 +237,28 @@ def test_log_table_of_all_runs_by_day(spark, tmp_path):
     got = {(str(r["day"]), r["level"], r["n"]) for r in log_rollup(back).collect()}
     assert got == {("2025-01-01", "INFO", 2), ("2025-01-02", "ERROR", 2)}
     assert sorted(n for n in os.listdir(tmp_path / "log") if n[0] == "d") == ["day=2025-01-01", "day=2025-01-02"]
+
+
+def test_names_that_look_like_wildcards_or_codes(spark, tmp_path):
+    lake, target = Lakehouse(str(tmp_path / "la[k]e {1}")), Lakehouse(str(tmp_path / "t*?"))
+    names = ["a[1]*", "b c%20", "x{y,z}", "ü"]
+    for n, name in enumerate(names):
+        spark.range(n + 1).selectExpr("id", "id % 2 p").write.partitionBy("p").parquet(f"{lake.tables}/{name}")
+    write_tree(lake.files, {f"{n}/{n}.txt": n for n in names})
+    run = snapshot(spark, Source(lake, "l[x]*", "w"), str(tmp_path / "b{1}"), AT, verify="content")
+    assert run.manifest.head()["status"] == "success" and run.manifest.head()["verification_passed"]
+    back = restore(spark, run.path, target, verify="content").manifest.head()
+    assert back["status"] == "success" and back["verification_passed"]
+    assert {n: scan_table(spark, f"{target.tables}/{n}").count() for n in names} == {n: i + 1 for i, n in enumerate(names)}
+    assert {k: v for k, v in tree_of(target.files).items() if k[0] != "_"} == {f"{n}/{n}.txt": n.encode() for n in names}
+
+
+def test_times_are_utc_wherever_the_driver_is(spark, lake, tmp_path):
+    from datetime import timedelta
+
+    zone = timezone(timedelta(hours=5))
+    run = snapshot(spark, source(lake.root), str(tmp_path / "b"), AT.replace(tzinfo=zone), tables=False, verify=None)
+    assert run.path.endswith("_backup_2025-11-10_09-30-15")
+    assert run.manifest.selectExpr("string(backup_timestamp)").head()[0] == "2025-11-10 09:30:15"
+    with pytest.raises(ValueError):
+        snapshot(spark, Source(lake, "a/b", "w"), str(tmp_path / "b"), AT)
