@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapvault.functions.files import is_hidden
-from snapvault.operators.filecopy import file_rows, spread_by_size, write_files
+from snapvault.operators.filecopy import file_rows, write_files
 from snapvault.operators.items import conform, in_parallel, item, items_frame, now
 from snapvault.operators.tables import failed_table, store_table
 from snapvault.plans.restore import archive_format, files_to_restore, restore_plan, select_files, select_names
@@ -18,6 +18,7 @@ from snapvault.session import scratch_dir, settled
 from snapvault.sources.archives import RAW, archive_entries, entry_contents
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
+from snapvault.sources.spreading import spread_by_size
 from snapvault.sources.workers import ROW_LIMIT, extractor
 
 EXTRACTED = (
@@ -87,11 +88,12 @@ def table_formats(entries: DataFrame, preference: str = "auto") -> DataFrame:
 def _unpack(spark: SparkSession, entries: DataFrame, root: str, target_root: str) -> DataFrame:
     """Unpack entries to their ``relative_path``; each is its own unit of work."""
     staging, out = f".staging-{now().strftime('%Y%m%d%H%M%S%f')}", scratch_dir(spark, "unpack")
+    folders = Folders(spark)
     todo = spread_by_size(entries.select(*RAW, "relative_path"), F.concat("archive", "entry"))
     try:
-        todo.mapInArrow(extractor(root, target_root, staging), EXTRACTED).write.parquet(out)
+        todo.mapInArrow(extractor(*map(folders.qualified, (root, target_root)), staging), EXTRACTED).write.parquet(out)
     finally:
-        Folders(spark).delete(f"{target_root}/{staging}")
+        folders.delete(f"{target_root}/{staging}")
     return spark.read.schema(EXTRACTED).parquet(out)
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.files import base_name, file_type
 from snapvault.session import scratch_dir, settled
 from snapvault.sources.hadoop import Folders
-from snapvault.sources.inventory import spread, walk
+from snapvault.sources.inventory import walk
+from snapvault.sources.spreading import spread, spread_by_size
 from snapvault.sources.tables import replace_table
 from snapvault.sources.workers import copier, deleter, reader, writer
 
@@ -19,35 +20,9 @@ STATUS = "relative_path string, size bigint, status string, written_bytes bigint
 CONTENTS = "relative_path string, size bigint, content binary, error string"
 DELETED = "relative_path string, status string, error string"
 
-TASK_BYTES = 512 << 20
-FILE_COST = 2 << 20  # opening and closing a file, expressed in bytes
-MAX_TASKS = 50_000
-
 NOTE = "File content preserved in binary format within a table"
 
 
-def spread_by_size(files: DataFrame, key: Column, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """Repartition rows with a ``size`` so that tasks get about the same number of bytes.
-
-    Sizes are grouped by powers of two (at most 64 groups come to the driver). Every group gets its
-    own range of tasks, large files first, and rows fall into that range by hash: within a group
-    sizes differ by a factor of two at most, so equal counts are near-equal bytes.
-    """
-    weight = F.coalesce(F.col("size"), F.lit(0)) + F.lit(FILE_COST)
-    group = F.floor(F.log2(weight)).cast("int")
-    rows = files.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w")).collect()
-    if not rows:
-        return files
-    target = max(task_bytes, sum(r["w"] for r in rows) // MAX_TASKS)
-    slot, first = F.lit(0), 0
-    for row in sorted(rows, key=lambda r: -r["g"]):
-        tasks = min(row["n"], -(-row["w"] // target))
-        within = F.pmod(F.xxhash64(key), F.lit(tasks)).cast("int") + F.lit(first)
-        slot = F.when(group == row["g"], within).otherwise(slot)
-        first += tasks
-    return files.repartitionById(first, slot)
-
-
 def copy_files(
     spark: SparkSession,
     files: DataFrame,
@@ -60,32 +35,32 @@ def copy_files(
     The bytes are streamed by the tasks; the status rows are written once to ``status_path`` and
     read back, so using the result again does not copy again. A file that fails is a row.
     """
-    staging = f".staging-{uuid.uuid4().hex}"
+    staging, folders = f".staging-{uuid.uuid4().hex}", Folders(spark)
     out = status_path or scratch_dir(spark, "copy")
     todo = spread_by_size(files.select("relative_path", "size"), F.col("relative_path"))
     try:
-        todo.mapInArrow(copier(source_root, target_root, staging), STATUS).write.parquet(out)
+        todo.mapInArrow(copier(*map(folders.qualified, (source_root, target_root)), staging), STATUS).write.parquet(out)
     finally:
-        Folders(spark).delete(f"{target_root}/{staging}")
+        folders.delete(f"{target_root}/{staging}")
     return spark.read.schema(STATUS).parquet(out)
 
 
 def write_files(spark: SparkSession, rows: DataFrame, target_root: str, status_path: str | None = None) -> DataFrame:
     """Turn rows with ``relative_path`` and binary ``content`` back into files."""
-    staging = f".staging-{uuid.uuid4().hex}"
+    staging, folders = f".staging-{uuid.uuid4().hex}", Folders(spark)
     out = status_path or scratch_dir(spark, "write")
     try:
         todo = rows.select("relative_path", "content")
-        todo.mapInArrow(writer(target_root, staging), STATUS).write.parquet(out)
+        todo.mapInArrow(writer(folders.qualified(target_root), staging), STATUS).write.parquet(out)
     finally:
-        Folders(spark).delete(f"{target_root}/{staging}")
+        folders.delete(f"{target_root}/{staging}")
     return spark.read.schema(STATUS).parquet(out)
 
 
 def delete_paths(spark: SparkSession, paths: DataFrame, root: str, directories: bool) -> DataFrame:
     """Delete files (or whole directories) named in ``relative_path``; one status row each."""
     todo = spread(paths.select("relative_path"), paths.count())
-    return settled(todo.mapInArrow(deleter(root, directories), DELETED), "delete")
+    return settled(todo.mapInArrow(deleter(Folders(spark).qualified(root), directories), DELETED), "delete")
 
 
 def files_as_rows(spark: SparkSession, root: str, at: datetime) -> DataFrame:
@@ -94,7 +69,7 @@ def files_as_rows(spark: SparkSession, root: str, at: datetime) -> DataFrame:
     A file that cannot be read, or is too large for a row (2 GB), has no content and says why.
     """
     files = walk(spark, root).where("NOT is_directory AND error IS NULL").select("relative_path", "size")
-    contents = spread_by_size(files, F.col("relative_path")).mapInArrow(reader(root), CONTENTS)
+    contents = spread_by_size(files, F.col("relative_path")).mapInArrow(reader(Folders(spark).qualified(root)), CONTENTS)
     rows = file_rows(contents, at)
     return rows.withColumn("restoration_note", F.coalesce("error", "restoration_note")).drop("error")
 

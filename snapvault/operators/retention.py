@@ -14,6 +14,7 @@ from snapvault.operators.filecopy import delete_paths
 from snapvault.operators.items import now
 from snapvault.plans.retention import retention_plan, retention_result, retention_summary
 from snapvault.session import settled
+from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, folder_sizes, only_files, walk
 from snapvault.sources.workers import resolve
 
@@ -54,7 +55,7 @@ def delete_snapshots(spark: SparkSession, root: str, plan: DataFrame, by_file: b
     doomed = settled(doomed, "doomed")
     starts = doomed.select(F.col("name").alias("relative_path"))
     if by_file is None:
-        by_file = resolve(root)[0].type_name != "hdfs"
+        by_file = resolve(Folders(spark).qualified(root))[0].type_name != "hdfs"
     failures = None
     if by_file:
         files = only_files(walk(spark, root, include_hidden=True, starts=starts)).where("error IS NULL")

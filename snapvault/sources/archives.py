@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.files import base_name, file_type
-from snapvault.sources.inventory import spread
+from snapvault.sources.hadoop import Folders
+from snapvault.sources.spreading import spread, spread_by_size
 from snapvault.sources.workers import binary_entry_lister, content_reader, file_entry_lister
 
 ENTRIES = (
@@ -53,7 +54,7 @@ def archive_entries(spark: SparkSession, root: str, archives: DataFrame) -> Data
     one row with ``error``.
     """
     todo = spread(archives.select("relative_path"), archives.count())
-    return classify_entries(todo.mapInArrow(file_entry_lister(root), ENTRIES))
+    return classify_entries(todo.mapInArrow(file_entry_lister(Folders(spark).qualified(root)), ENTRIES))
 
 
 def archive_entries_binary(archives: DataFrame) -> DataFrame:
@@ -66,7 +67,9 @@ RAW = ["archive", "entry", "size", "compressed_size", "crc", "method", "flags",
 
 def entry_contents(entries: DataFrame, root: str) -> DataFrame:
     """The bytes of each entry (up to 2 GB each), for small documents."""
-    return entries.select(*RAW).mapInArrow(content_reader(root), CONTENT)
+    root = Folders(entries.sparkSession).qualified(root)
+    todo = spread_by_size(entries.select(*RAW), F.concat("archive", "entry"))
+    return todo.mapInArrow(content_reader(root), CONTENT)
 
 
 def archive_metadata(entries: DataFrame, root: str, schema: str = METADATA) -> DataFrame:

@@ -15,6 +15,7 @@ class Folders:
         return path.getFileSystem(self._conf), path
 
     def qualified(self, uri: str) -> str:
+        """The URI with scheme and host, so that a task resolves it as Spark does."""
         fs, path = self._open(uri)
         return fs.makeQualified(path).toString()
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snapvault.functions.files import base_name, below, file_type
 from snapvault.session import scratch_dir
 from snapvault.sources.hadoop import Folders
+from snapvault.sources.spreading import spread
 from snapvault.sources.workers import lister
 
 LISTING = (
@@ -20,12 +21,6 @@ DIRECTORY_BUDGET = 200
 ENTRY_BUDGET = 50_000
 
 
-def spread(paths: DataFrame, count: int) -> DataFrame:
-    """Repartition ``count`` rows with a ``relative_path`` for work that is the same for each."""
-    most = paths.sparkSession.sparkContext.defaultParallelism * 4
-    return paths.repartition(max(1, min(count, most)), "relative_path")
-
-
 def walk(
     spark: SparkSession,
     root: str,
@@ -42,10 +37,11 @@ def walk(
     anew every round and a lost executor repeats one round at most. Directories that cannot be
     read give a row with ``error``.
     """
-    if not Folders(spark).exists(root):
+    folders = Folders(spark)
+    if not folders.exists(root):
         raise FileNotFoundError(root)
     out = scratch_dir(spark, "walk")
-    run = lister(root, include_hidden, directory_budget if recursive else 0, entry_budget)
+    run = lister(folders.qualified(root), include_hidden, directory_budget if recursive else 0, entry_budget)
     frontier = starts.select("relative_path") if starts is not None else spark.sql("SELECT '' AS relative_path")
     count = 1 if starts is None else frontier.count()
     rounds = []

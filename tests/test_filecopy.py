@@ -5,9 +5,10 @@ import pytest
 from conftest import tree_of, write_tree
 from pyspark.sql import functions as F
 
-from snapvault.operators.filecopy import FILE_COST, copy_files, files_as_table, spread_by_size, write_files
+from snapvault.operators.filecopy import copy_files, files_as_table, write_files
 from snapvault.plans.verify import verdict, verify_counts, verify_files
 from snapvault.sources.inventory import only_files, walk
+from snapvault.sources.spreading import FILE_COST, spread_by_size
 
 FILES = {"a.txt": "a", "empty": "", "d/x y%.bin": b"\x00" * 10_000_000, "d/e/f": "f", "ü": "u"}
 
