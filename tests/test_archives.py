@@ -242,7 +242,7 @@ def test_table_in_volumes_of_different_formats(spark, tmp_path):
         tmp_path / "s",
         {
             "1.zip": zipped([("tables/both/both.parquet", p), ("tables/both/both.csv", "id\n9\n"), ("tables/mixed/mixed.parquet", p)]),
-            "2.zip": zipped([("tables/both/both.csv", "id\n8\n"), ("tables/mixed/mixed.csv", "id\n8\n"), ("tables/both/schema.json", "{}")]),
+            "2.zip": zipped([("tables/both/both.csv", "id\n8\n"), ("tables/mixed/mixed.csv", "id\n8\n")]),
             "3.zip": zipped([("tables/both/schema.json", "{}")]),
         },
     )

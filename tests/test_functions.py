@@ -1,11 +1,11 @@
 import fnmatch
 import random
-import re
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from snapvault.functions.files import FILE_CLASSES, below, file_type, format_size, matches_any
+from snapvault.functions.files import FILE_CLASSES, SIZE_UNITS, below, file_type, format_size, matches_any
 from snapvault.functions.naming import snapshot_name, snapshot_source, snapshot_time, stamp
 from snapvault.plans.retention import age_days, matches_name
 
@@ -22,11 +22,13 @@ def test_snapshot_name(one):
 
 
 def _time(name):
-    found = re.search(r"(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})$", name)
+    end = name[-len("yyyy-MM-dd_HH-mm-ss") :]
     try:
-        return datetime.strptime(found.group(1), "%Y-%m-%d_%H-%M-%S") if found else None
+        date, time = end.split("_")
+        at = datetime.fromisoformat(f"{date} {time.replace('-', ':')}")
     except ValueError:
         return None
+    return at if at.isoformat(sep="_").replace(":", "-") == end else None
 
 
 NAMES = [
@@ -108,12 +110,9 @@ def test_file_type(one):
 
 
 def _size(n):
-    x = n
-    for unit in ["B", "KB", "MB", "GB", "TB"]:
-        if x < 1024.0:
-            return f"{x:.2f} {unit}"
-        x /= 1024.0
-    return f"{x:.2f} PB"
+    power = min(max(n.bit_length() - 1, 0) // 10, 5)
+    cents = round(Fraction(100 * n, 1024**power))  # ties to even
+    return f"{cents // 100}.{cents % 100:02d} {SIZE_UNITS[power]}"
 
 
 def test_format_size(one):
