@@ -587,9 +587,26 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | _training_text()[0]
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
 
 
+def _training_text() -> tuple[dict, dict]:
+    """Queries and SQL of the operators for training text, if they are there."""
+    try:
+        import corpus_pipeline
+        from snapvault.llm import queries as llm
+    except ImportError as error:
+        if error.name not in ("corpus_pipeline", "snapvault.llm"):
+            raise
+        return {}, {}
+    sql = llm.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
 # --- the same in SQL ------------------------------------------------------------------------------
 
 _SNAP = """snap AS (
@@ -672,6 +689,10 @@ UNION ALL SELECT '{0}_backup_2025-11-10_14-30-15', 'file', count(*), 0, 0 FROM d
 
 
 def oracle_sql() -> dict[str, str]:
+    return core_sql() | _training_text()[1]
+
+
+def core_sql() -> dict[str, str]:
     profile = " UNION ALL ".join(
         f"SELECT '{t}' AS name, count(*) AS row_count, (SELECT count(*) FROM (DESCRIBE {t})) AS column_count FROM {t}"
         for t in TABLES

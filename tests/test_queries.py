@@ -18,13 +18,13 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.core_queries()))
 def test_query_equals_sql(spark, connection, name):
-    assert compare(spark, connection, SF_DIR, entry.queries()[name], entry.oracle_sql().get(name)) == ""
+    assert compare(spark, connection, SF_DIR, entry.core_queries()[name], entry.core_sql().get(name)) == ""
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.core_queries()) == set(entry.core_sql())
 
 
 def test_entry(spark):
