@@ -1,0 +1,109 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import SCHEMA, SF, awkward_rows, lower, spaced_words, table
+
+from snapvault.llm import simhash
+
+
+def brute_fingerprint(text):
+    words = spaced_words(lower(text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps, radius=4):
+    """Component by index, over all pairs."""
+    parent = list(range(len(fps)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= radius:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return [find(i) for i in range(len(fps))]
+
+
+def expected(rows):
+    fps = [brute_fingerprint(t) for _, t in rows]
+    comps = brute_components(fps)
+    least = defaultdict(list)
+    for (doc, _), c in zip(rows, comps):
+        least[c].append(doc)
+    return sorted((repr(d), f"{f:016x}", repr(min((x for x in least[c] if x is not None), default=None))) for (d, _), f, c in zip(rows, fps, comps))
+
+
+def test_all_documents(spark):
+    rows = [(r["doc_id"], r["text"]) for r in table("documents")]
+    got = sorted((repr(r[0]), r[1], repr(r[2])) for r in simhash.query(spark, SF).collect())
+    assert got == expected(rows)
+
+
+def test_awkward_texts(spark):
+    rows = awkward_rows()
+    docs = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("source", "fingerprint")
+    got = sorted((repr(r[0]), r[1], repr(r[2])) for r in simhash.near_duplicates(docs).collect())
+    assert got == expected([r[:2] for r in rows])
+    assert simhash.near_duplicates(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("chunk", [4096, 16])
+def test_links_of_close_fingerprints(spark, chunk, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    fps = set(base)
+    for b in base:  # chains and clouds around each base, some beyond the radius
+        at = b
+        for _ in range(60):
+            at ^= sum(1 << k for k in rng.sample(range(64), rng.choice([1, 2, 4, 5])))
+            fps.add(at)
+            fps.add(b ^ sum(1 << k for k in rng.sample(range(64), 3)))
+    fps = sorted(fps)
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()
+    number = {f: i for i, f in enumerate(signed)}
+    for a, b in links:
+        assert a != b
+    adjacency = {frozenset((number[a], number[b])) for a, b in links}
+    want = brute_components(fps)
+    parent = list(range(len(fps)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for pair in adjacency:
+        a, b = sorted(find(i) for i in pair)
+        parent[b] = a
+    assert [find(i) for i in range(len(fps))] == want
+    assert len(links) < 15 * len(fps)
+
+
+def test_every_radius_against_all_pairs():
+    rng = np.random.default_rng(3)
+    centre = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+    flips = (rng.random((150, 64)) < 0.05).astype(np.uint8)
+    fps = centre ^ np.packbits(flips, axis=1, bitorder="little").view(np.uint64).ravel()
+    groups = np.repeat([0, 1, 2], [3, 97, 50])
+    for radius in range(8):
+        a, b = simhash.compare_sorted(groups, np.ascontiguousarray(fps), radius)
+        root = np.arange(150)
+        root[a] = b
+        want = []
+        for g in range(3):
+            own = np.flatnonzero(groups == g)
+            want += [int(own[c]) for c in brute_components([int(f) for f in fps[own]], radius)]
+        assert root.tolist() == want

@@ -1,0 +1,95 @@
+from urllib.parse import urlsplit
+
+import pytest
+from helpers import SF, table
+
+from snapvault.llm import urls
+
+
+def split(url):
+    head, found, rest = (url or "").partition("://")
+    if not found:
+        return "", ""
+    ends = [rest.find(c) for c in "/?#" if c in rest]
+    host, rest = rest[: min(ends, default=len(rest))], rest[min(ends, default=len(rest)) :]
+    ends = [rest.find(c) for c in "?#" if c in rest]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), rest[: min(ends, default=len(rest))]
+
+
+def ruled(host, path, rules=urls.RULES):
+    fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits, default=(0, None, None))[1:]
+
+
+def test_all_pages(spark):
+    rows = {r["page_id"]: r for r in table("pages")}
+    got = urls.query(spark, SF).collect()
+    assert sorted(r.page_id for r in got) == sorted(rows)
+    for r in got:
+        host, path = split(rows[r.page_id]["url"])
+        rule, verdict = ruled(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == verdict if verdict else r.verdict in ("allow", "block")
+
+
+AWKWARD = [
+    None, "", "no scheme", "://", "http://", "HTTP://Example.NET/en/x?q#f", "http://example.net", "http://example.net/en", "http://a.example.net/en/",
+    "http://notexample.net/en/", "http://x.org/fr/a", "http://org/fr/", "http://x.org?u=/fr/", "http://x.com#/de/", "http://u@x.net:80/a", "a://b://c/d",
+    "http://example.com/de/1", "http://ÄB.net/Ä?x", "http://a.net\n/b",
+]
+
+
+def judged(spark, rows, rules=urls.RULES, **options):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, rule string")
+    return urls.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), **options)
+
+
+def test_awkward_urls(spark):
+    rows = [(i, u, None, "x", "y") for i, u in enumerate(AWKWARD)] + [(5, AWKWARD[5], "", None, None), (None, "http://a.org/", None, None, None)]
+    got = sorted(((r.page_id, r.host, r.path, r.rule) for r in judged(spark, rows).collect()), key=repr)
+    want = []
+    for i, u, *_ in rows:
+        host, path = split(u)
+        want.append((i, host, path, ruled(host, path)[0]))
+    assert got == sorted(want, key=repr)
+    assert judged(spark, rows[:0]).collect() == []
+    assert {r.rule for r in judged(spark, rows, [(None, "/", "block")]).collect()} == {None}
+
+
+def scores(edges, seeds, n, damping=0.85):
+    state = dict(seeds)
+    out = {}
+    for (a, _), w in edges.items():
+        out[a] = out.get(a, 0) + w
+    for _ in range(n):
+        new = {h: (1 - damping) * s for h, s in seeds.items()}
+        for (a, b), w in edges.items():
+            new[b] = new.get(b, 0) + damping * state.get(a, 0) * w / out[a]
+        state = new
+    return state
+
+
+def test_trust_and_distrust_flow_over_links(spark):
+    good, bad = "http://good.org/fr/", "http://spam.net/x"
+    rows = [
+        (1, good, '<a href="http://friend.edu/a">x</a> <a HREF=\'//friend.edu/b\'>', None, None),
+        (2, "http://friend.edu/", "<a href='https://second.edu'>", None, None),
+        (3, "http://second.edu/", None, None, None),
+        (4, bad, None, None, None),
+        (5, "http://linker.edu/", f'<a href="{bad}"><a href="/own"><a href="http://linker.edu/self">', None, None),
+        (6, "http://lonely.edu/", "", None, None),
+    ]
+    got = {r.page_id: r for r in judged(spark, rows, [("org", "/fr/", "allow"), ("net", "/", "block")], iterations=6).collect()}
+    assert [got[i].verdict for i in range(1, 7)] == ["allow", "allow", "allow", "block", "block", "allow"]
+    # good.org and its like have no parent domain of two labels, so only links count
+    links = {("good.org", "friend.edu"): 2.0, ("friend.edu", "second.edu"): 1.0, ("linker.edu", "spam.net"): 1.0}
+    trust = scores(links, {"good.org": 1.0}, 6)
+    distrust = scores({(b, a): w for (a, b), w in links.items()}, {"spam.net": 1.0}, 6)
+    for r in got.values():
+        assert r.trust == pytest.approx(trust.get(r.host, 0.0)) and r.distrust == pytest.approx(distrust.get(r.host, 0.0))
+
+
+def test_subdomains_inherit_through_their_parent(spark):
+    rows = [(1, "http://a.site.net/en/", None, None, None), (2, "http://b.site.net/x", None, None, None)]
+    got = {r.page_id: r for r in judged(spark, rows, [("site.net", "/en/", "block")]).collect()}
+    assert got[2].verdict == "block" and got[2].distrust > 0
