@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from snapvault.llm import chat, decontam, langid, licenses, packing, quality, secrets, simhash, urls
+from snapvault.llm import chat, decontam, langid, licenses, packing, quality, secrets, simhash, substrings, urls
 
 QUERIES = {
+    "op1_suffix_dedup": substrings.query,
     "op2_chat_formatting": chat.query,
     "op3_secret_scans": secrets.query,
     "op4_language_id": langid.query,
