@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +23,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local: dict[str, str] = {}
-
-
 def _scratch_root(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local.get(context.applicationId)
-        if not base:
-            base = _local[context.applicationId] = tempfile.mkdtemp(prefix="snapvault-")
-            atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return f"{base.rstrip('/')}/snapvault/{context.applicationId}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/_snapvault/{spark.sparkContext.applicationId}"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+    """A new folder name under the shared folder named in ``spark.checkpoint.dir``, else under the warehouse, which all
+    executors share as well."""
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
