@@ -13,14 +13,15 @@ from snapvault.session import scratch_dir, settled
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import walk
 from snapvault.sources.spreading import spread, spread_by_size
-from snapvault.sources.tables import replace_table
+from snapvault.sources.tables import replace_table, scan_table
 from snapvault.sources.workers import copier, deleter, reader, writer
 
 STATUS = "relative_path string, size bigint, status string, written_bytes bigint, error string"
-CONTENTS = "relative_path string, size bigint, content binary, error string"
+CONTENTS = "relative_path string, part int, offset bigint, size bigint, content binary, error string"
 DELETED = "relative_path string, status string, error string"
 
-NOTE = "File content preserved in binary format within a table"
+PART_BYTES = 64 << 20
+NOTE = "bytes of the file, in the order of their parts"
 
 
 def copy_files(
@@ -63,24 +64,32 @@ def delete_paths(spark: SparkSession, paths: DataFrame, root: str, directories:
     return settled(todo.mapInArrow(deleter(Folders(spark).qualified(root), directories), DELETED), "delete")
 
 
-def files_as_rows(spark: SparkSession, root: str, at: datetime) -> DataFrame:
-    """Each file below ``root`` as a row with its bytes.
+def files_as_rows(spark: SparkSession, root: str, at: datetime, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Each file below ``root`` as rows with its bytes, one row for every ``part_bytes`` of it.
 
-    A file that cannot be read, or is too large for a row (2 GB), has no content and says why.
+    Parts are read on their own, so a large file is the work of many tasks. An empty file is one empty part. A part that
+    cannot be read has no content and says why.
     """
     files = walk(spark, root).where("NOT is_directory AND error IS NULL").select("relative_path", "size")
-    contents = spread_by_size(files, F.col("relative_path")).mapInArrow(reader(Folders(spark).qualified(root)), CONTENTS)
+    last = F.greatest(F.lit(0), F.ceil(F.col("size") / part_bytes) - 1).cast("int")
+    parts = files.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+    offset = F.col("part").cast("bigint") * part_bytes
+    parts = parts.select("relative_path", "part", offset.alias("offset"), F.least(F.lit(part_bytes), F.col("size") - offset).alias("size"))
+    key = F.concat_ws("/", "relative_path", "part")
+    contents = spread_by_size(parts, key).mapInArrow(reader(Folders(spark).qualified(root)), CONTENTS)
     rows = file_rows(contents, at)
     return rows.withColumn("restoration_note", F.coalesce("error", "restoration_note")).drop("error")
 
 
 def file_rows(files: DataFrame, at: datetime) -> DataFrame:
-    """``relative_path``, ``content`` and ``error`` in the shape of files kept in a table."""
+    """``relative_path``, ``part``, ``offset``, ``content`` and ``error`` in the shape of files kept in a table."""
     name = base_name(F.col("relative_path"))
     return files.select(
         F.col("relative_path").alias("original_path"),
         name.alias("file_name"),
         file_type(name).alias("file_type"),
+        "part",
+        "offset",
         "content",
         F.octet_length("content").cast("bigint").alias("size_bytes"),
         F.lit(at.isoformat()).alias("restored_timestamp"),
@@ -89,6 +98,15 @@ def file_rows(files: DataFrame, at: datetime) -> DataFrame:
     )
 
 
-def files_as_table(spark: SparkSession, root: str, table_path: str, at: datetime, fmt: str = "parquet") -> DataFrame:
-    replace_table(spark, files_as_rows(spark, root, at), table_path, fmt)
-    return spark.read.format(fmt).load(table_path)
+def kept_files(rows: DataFrame) -> DataFrame:
+    """Files kept as rows, one row each: ``original_path`` and ``size_bytes`` over all parts; null if a part is missing."""
+    whole = F.bool_and(F.col("content").isNotNull()) & (F.max("part") + 1 == F.count_distinct("part"))
+    sizes = rows.groupBy("original_path").agg(F.when(whole, F.sum("size_bytes")).alias("size_bytes"))
+    return sizes.select("original_path", "size_bytes")
+
+
+def files_as_table(
+    spark: SparkSession, root: str, table_path: str, at: datetime, fmt: str = "parquet", part_bytes: int = PART_BYTES
+) -> DataFrame:
+    replace_table(spark, files_as_rows(spark, root, at, part_bytes), table_path, fmt)
+    return scan_table(spark, table_path, fmt)

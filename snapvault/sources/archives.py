@@ -14,7 +14,8 @@ ENTRIES = (
     "archive string, entry string, size bigint, compressed_size bigint, crc bigint, method int, flags int, "
     "offset bigint, error string"
 )
-CONTENT = "archive string, entry string, content binary, error string"
+CONTENT = "archive string, entry string, part int, offset bigint, content binary, error string"
+PART_BYTES = 64 << 20
 
 METADATA = (
     "backup_type string, created_at string, source_lakehouse_name string, source_workspace_name string, "
@@ -65,16 +66,26 @@ def archive_entries_binary(archives: DataFrame) -> DataFrame:
 RAW = ["archive", "entry", "size", "compressed_size", "crc", "method", "flags", "offset"]
 
 
-def entry_contents(entries: DataFrame, root: str) -> DataFrame:
-    """The bytes of each entry (up to 2 GB each), for small documents."""
+def entry_contents(entries: DataFrame, root: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The bytes of each entry in parts, one row for every ``part_bytes``."""
     root = Folders(entries.sparkSession).qualified(root)
     todo = spread_by_size(entries.select(*RAW), F.concat("archive", "entry"))
-    return todo.mapInArrow(content_reader(root), CONTENT)
+    return todo.mapInArrow(content_reader(root, part_bytes), CONTENT)
+
+
+def entry_documents(entries: DataFrame, root: str) -> DataFrame:
+    """The text of each small document (``text``), or its ``error``; one of several parts is no small document."""
+    rows = entry_contents(entries, root).groupBy("archive", "entry").agg(
+        F.max("part").alias("last"), F.min_by("content", "part").alias("content"), F.max("error").alias("error")
+    )
+    large = F.when(F.col("last") > 0, F.lit("document too large"))
+    error = F.coalesce("error", large)
+    text = F.when(error.isNull(), F.decode("content", "UTF-8"))
+    return rows.select("archive", "entry", text.alias("text"), error.alias("error"))
 
 
 def archive_metadata(entries: DataFrame, root: str, schema: str = METADATA) -> DataFrame:
     """The metadata document of each archive, parsed."""
     documents = entries.where((F.col("kind") == "metadata") & F.col("entry").endswith("metadata.json"))
-    text = F.decode("content", "UTF-8")
-    parsed = entry_contents(documents, root).withColumn("d", F.from_json(text, schema))
+    parsed = entry_documents(documents, root).withColumn("d", F.from_json("text", schema))
     return parsed.select("archive", "entry", "d.*", "error")

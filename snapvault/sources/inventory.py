@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from snapvault.functions.files import base_name, below, file_type
+from snapvault.functions.files import file_type
 from snapvault.session import scratch_dir
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.spreading import spread
@@ -81,29 +81,23 @@ def file_inventory(spark: SparkSession, root: str, include_hidden: bool = False)
     return described(walk(spark, root, include_hidden), root)
 
 
-def child_directories(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
-    """``name`` and ``path`` of the directories directly below ``root``."""
+def top_level(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
+    """The entries directly below ``root``. A root that cannot be listed is an error, not an empty folder."""
     listing = walk(spark, root, include_hidden, recursive=False)
-    return described(listing, root).where("is_directory AND error IS NULL").select("name", "path")
+    fault = listing.where("relative_path = '' AND error IS NOT NULL").head()
+    if fault:
+        raise OSError(f"{root} cannot be listed: {fault['error']}")
+    return listing
 
 
-def binary_file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Quick inventory through Spark's own file index; the bytes are never read.
+def child_directories(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
+    """``name``, ``path`` and ``error`` of the directories directly below ``root``; linked ones have an error."""
+    return described(top_level(spark, root, include_hidden), root).where("is_directory").select("name", "path", "error")
 
-    The index lives on the driver and leaves out empty files: for small trees only. ``root`` ends
-    in a folder called ``Files``.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    relative = below(F.col("path"), "/Files/")
-    return files.select("path", "length", "modificationTime").select(
-        base_name(relative).alias("name"),
-        "path",
-        relative.alias("relative_path"),
-        F.lit(False).alias("is_directory"),
-        F.col("length").alias("size"),
-        file_type(base_name(relative)).alias("type"),
-        F.col("modificationTime").alias("modification_time"),
-    )
+
+def binary_file_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """The files below ``root``, empty ones too; their bytes are not read (:func:`files_as_rows` does that)."""
+    return only_files(file_inventory(spark, root)).drop("error")
 
 
 def only_files(inventory: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,14 @@ from snapvault.sources.hadoop import Folders
 FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
 
 
-def discover_tables(inventory: DataFrame, marker: str = "/Tables/") -> DataFrame:
-    """Distinct table names from the paths of files inside table folders (``.../Tables/<name>/...``)."""
-    name = F.regexp_extract("path", f"{marker}([^/_][^/]*)/", 1)
+def discover_tables(inventory: DataFrame, root: str) -> DataFrame:
+    """Distinct names of the tables below ``root``, from paths inside them or of their folders with a slash at the end.
+
+    Folders that begin with ``_`` or ``.`` are no tables, nor are loose files.
+    """
+    inside = F.startswith("path", F.lit(root.rstrip("/") + "/"))
+    below = F.substr("path", F.lit(len(root.rstrip("/")) + 2))
+    name = F.regexp_extract(F.when(inside, below), r"\A([^/_.][^/]*)/", 1)
     return inventory.select(name.alias("name")).where("name <> ''").distinct()
 
 
@@ -41,18 +47,24 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
-def scan_exact(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
+def scan_exact(
+    spark: SparkSession, path: str, fmt: str = "parquet", known: tuple[T.StructType, list[str]] | None = None
+) -> tuple[DataFrame, list[str]]:
     """A table for copying or checking, with its partition columns.
 
+    ``known`` is the schema and the partition columns of a table that this package wrote; nothing is inferred then.
+
     Partition values stay the strings they are in the path (``month=01`` is not turned into 1), and
     columns that only some files have are not lost. Damaged or vanished files are errors, whatever
     the session is set to.
     """
     if fmt not in FILE_FORMATS:
-        df = spark.read.format(fmt).load(path)
+        df = scan_table(spark, path, fmt)
         details = spark.sql(f"DESCRIBE DETAIL {fmt}.`{path}`") if fmt == "delta" else None
         return df, list(details.head()["partitionColumns"]) if details is not None else []
     options = {"ignoreCorruptFiles": False, "ignoreMissingFiles": False}
+    if known is not None:
+        return spark.read.format(fmt).schema(known[0]).options(**options).load(literal(path)), known[1]
     merge = {"mergeSchema": True} if fmt in ("parquet", "orc") else {}
     df = spark.read.format(fmt).options(**options, **merge).load(literal(path))
     parts = [c for c in partition_columns(spark, path) if c in df.columns]
@@ -69,24 +81,26 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     writer.save(path)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) -> None:
-    """Overwrite a table; the old one stays in place until the new one is complete.
+def replace_table(
+    spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet", partition_by=(), check: Callable[[], None] | None = None
+) -> None:
+    """Overwrite a table; the old one stays in place until the new one is complete and ``check`` has not raised.
 
-    Formats with a table log swap atomically by themselves. File formats are written to a hidden
+    Formats with a table log swap atomically by themselves, before the check. File formats are written to a hidden
     folder next to the target and renamed.
     """
     folders = Folders(spark)
-    if fmt not in FILE_FORMATS:
-        write_table(df, path, fmt, "overwrite", partition_by)
-        return
-    if not folders.exists(path):
-        write_table(df, path, fmt, "errorifexists", partition_by)
+    check = check or (lambda: None)
+    if fmt not in FILE_FORMATS or not folders.exists(path):
+        write_table(df, path, fmt, "errorifexists" if fmt in FILE_FORMATS else "overwrite", partition_by)
+        check()
         return
     parent, name = path.rstrip("/").rsplit("/", 1)
     run = uuid.uuid4().hex
     staged, old = f"{parent}/.staging-{run}/{name}", f"{parent}/.replaced-{run}/{name}"
     try:
         write_table(df, staged, fmt, "errorifexists", partition_by)
+        check()
         folders.make(f"{parent}/.replaced-{run}")
         folders.rename(path, old)
         try:

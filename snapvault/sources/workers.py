@@ -31,7 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK = 4 << 20
 BATCH_ROWS = 5_000
 OBJECT_STORES = ("s3", "gcs", "abfs")
-STORE_COPY_LIMIT = 5 << 30  # largest object that stores copy in one request
+# Fixed value: the largest object that S3-like stores copy in one request. A larger one passes through its task in blocks.
+STORE_COPY_LIMIT = 5 << 30
 
 _SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(.*)$", re.S)
 
@@ -84,7 +85,10 @@ LISTING = pa.schema(
 
 
 def _directory_entries(fs: pafs.FileSystem, path: str):
-    """(name, is directory, size, time) of each child; local folders are read as a stream."""
+    """(name, is directory, size, time, error) of each child; local folders are read as a stream.
+
+    A linked folder is not followed, since links can form a ring; it is an entry with an error.
+    """
     if isinstance(fs, pafs.LocalFileSystem):
         with os.scandir(path) as entries:
             for entry in entries:
@@ -93,14 +97,13 @@ def _directory_entries(fs: pafs.FileSystem, path: str):
                 except FileNotFoundError:  # gone since the listing, or a link to nothing
                     continue
                 is_dir = stat.S_ISDIR(info.st_mode)
-                if is_dir and entry.is_symlink():
-                    continue
+                linked = "linked folder, not followed" if is_dir and entry.is_symlink() else None
                 when = datetime.fromtimestamp(info.st_mtime, timezone.utc)
-                yield entry.name, is_dir, 0 if is_dir else info.st_size, when
+                yield entry.name, is_dir, 0 if is_dir else info.st_size, when, linked
         return
     for info in fs.get_file_info(pafs.FileSelector(path, recursive=False)):
         is_dir = info.type == pafs.FileType.Directory
-        yield info.base_name, is_dir, 0 if is_dir else info.size, info.mtime
+        yield info.base_name, is_dir, 0 if is_dir else info.size, info.mtime, None
 
 
 def lister(root: str, include_hidden: bool, directory_budget: int, entry_budget: int):
@@ -119,13 +122,13 @@ def lister(root: str, include_hidden: bool, directory_budget: int, entry_budget:
                 continue
             listed += 1
             try:
-                for name, is_dir, size, when in _directory_entries(fs, posixpath.join(base, here) if here else base):
+                for name, is_dir, size, when, fault in _directory_entries(fs, posixpath.join(base, here) if here else base):
                     if not include_hidden and name[:1] in ("_", "."):
                         continue
                     seen += 1
                     path = f"{here}/{name}" if here else name
-                    yield (path, name, is_dir, size, when, None, False)
-                    if is_dir and directory_budget:
+                    yield (path, name, is_dir, size, when, fault, False)
+                    if is_dir and directory_budget and not fault:
                         if listed + len(queue) < directory_budget:
                             queue.append(path)
                         else:
@@ -221,7 +224,14 @@ class Target:
         draft = posixpath.join(self.staging, uuid.uuid4().hex)
         written = action(draft)
         self.folder(posixpath.dirname(final))
-        self.fs.move(draft, final)
+        try:
+            self.fs.move(draft, final)
+        except OSError:
+            # Some file systems never move onto a file. The draft is complete, so the old one can go first.
+            if self.fs.get_file_info(final).type != pafs.FileType.File:
+                raise
+            self.fs.delete_file(final)
+            self.fs.move(draft, final)
         return written
 
 
@@ -254,23 +264,31 @@ def copier(source_root: str, target_root: str, staging: str):
 
 
 CONTENTS = pa.schema(
-    [("relative_path", pa.string()), ("size", pa.int64()), ("content", pa.binary()), ("error", pa.string())]
+    [
+        ("relative_path", pa.string()),
+        ("part", pa.int32()),
+        ("offset", pa.int64()),
+        ("size", pa.int64()),
+        ("content", pa.binary()),
+        ("error", pa.string()),
+    ]
 )
-ROW_LIMIT = (2 << 30) - (64 << 20)  # bytes that fit into one binary value
 BATCH_BYTES = 64 << 20
 
 
 def reader(root: str):
-    """The bytes of each file named in ``relative_path``; a batch holds one large or many small files."""
+    """The bytes of each part (``offset``, ``size``) of a file; a batch holds one large or many small parts."""
 
-    def one(fs, base, relative, size):
+    def one(fs, base, row):
+        key = (row["relative_path"], row["part"], row["offset"], row["size"])
         try:
-            if size is not None and size > ROW_LIMIT:
-                raise ValueError(f"{size} bytes do not fit into a row")
-            with fs.open_input_stream(posixpath.join(base, relative), compression=None) as source:
-                return (relative, size, source.read(), None)
+            with fs.open_input_file(posixpath.join(base, row["relative_path"])) as source:
+                content = source.read_at(row["size"], row["offset"]) if row["size"] else b""
+            if len(content) != row["size"]:
+                raise OSError(f"{len(content)} bytes where {row['size']} were listed")
+            return (*key, content, None)
         except Exception as error:
-            return (relative, size, None, _text(error))
+            return (*key, None, _text(error))
 
     def run(batches):
         fs, base = resolve(root)
@@ -281,7 +299,7 @@ def reader(root: str):
                 if held and (weight + size > BATCH_BYTES or len(held) >= BATCH_ROWS):
                     yield _emit(CONTENTS, held)
                     held, weight = [], 0
-                held.append(one(fs, base, row["relative_path"], row["size"]))
+                held.append(one(fs, base, row))
                 weight += size
         if held:
             yield _emit(CONTENTS, held)
@@ -293,10 +311,13 @@ def writer(target_root: str, staging: str):
     """Write each row's ``content`` to a file at ``relative_path``."""
 
     def one(target, relative, content):
+        size = None if content is None else len(content)
         try:
-            return (relative, len(content), "success", target.put(io.BytesIO(content), relative), None)
+            if relative is None or content is None:
+                raise ValueError("no path" if relative is None else "no content")
+            return (relative, size, "success", target.put(io.BytesIO(content), relative), None)
         except Exception as error:
-            return (relative, len(content), "failed", None, _text(error))
+            return (relative, size, "failed", None, _text(error))
 
     def run(batches):
         target = Target(target_root, staging)
@@ -404,15 +425,17 @@ def file_entry_lister(root: str):
 def binary_entry_lister():
     """One row per entry of each archive held in the binary column ``zip_binary``."""
 
+    def entries(archive, value):
+        if not value.is_valid:
+            return [(archive, None, None, None, None, None, None, None, "archive without content")]
+        return _central_directory(archive, pa.BufferReader(value.as_buffer()))
+
     def run(batches):
         rows = (
             row
             for batch in batches
             for i in range(batch.num_rows)
-            for row in _central_directory(
-                batch.column("archive")[i].as_py(),
-                pa.BufferReader(batch.column("zip_binary")[i].as_buffer()),
-            )
+            for row in entries(batch.column("archive")[i].as_py(), batch.column("zip_binary")[i])
         )
         yield from _in_batches(ENTRIES, rows)
 
@@ -503,24 +526,36 @@ CONTENT = pa.schema(
     [
         ("archive", pa.string()),
         ("entry", pa.string()),
+        ("part", pa.int32()),
+        ("offset", pa.int64()),
         ("content", pa.binary()),
         ("error", pa.string()),
     ]
 )
 
 
-def content_reader(archive_root: str):
-    """The bytes of one entry per row; one row per batch, since a row may be large."""
+def content_reader(archive_root: str, part_bytes: int):
+    """The bytes of each entry in parts, one row a part and a batch; an entry that fails has a last row with ``error``."""
+
+    def parts(archives, row):
+        part = offset = 0
+        try:
+            with archives.entry(row) as source:
+                while True:
+                    content = source.read(part_bytes)
+                    if content or not part:
+                        yield (row["archive"], row["entry"], part, offset, content, None)
+                    if not content:
+                        return
+                    part, offset = part + 1, offset + len(content)
+        except Exception as error:
+            yield (row["archive"], row["entry"], part, offset, None, _text(error))
 
     def run(batches):
         archives = _Archives(archive_root)
         for batch in batches:
             for row in batch.to_pylist():
-                try:
-                    with archives.entry(row) as source:
-                        out = (row["archive"], row["entry"], source.read(), None)
-                except Exception as error:
-                    out = (row["archive"], row["entry"], None, _text(error))
-                yield _emit(CONTENT, [out])
+                for part in parts(archives, row):
+                    yield _emit(CONTENT, [part])
 
     return run

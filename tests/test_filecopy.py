@@ -54,7 +54,7 @@ def test_rows_to_files_and_back(spark, tmp_path):
     table = files_as_table(spark, root, str(tmp_path / "table"), datetime(2025, 1, 1))
     got = {r["original_path"]: bytes(r["content"]) for r in table.collect()}
     assert got == {n: bytes(c) for n, c in rows}
-    assert table.columns == ["original_path", "file_name", "file_type", "content", "size_bytes", "restored_timestamp", "restoration_note"]
+    assert table.columns == ["original_path", "file_name", "file_type", "part", "offset", "content", "size_bytes", "restored_timestamp", "restoration_note"]
 
 
 def test_spread_by_size_balances_bytes(spark):
@@ -116,16 +116,55 @@ def test_files_as_rows_in_small_batches_and_unreadable_ones(spark, tmp_path, mon
     import pyarrow as pa
 
     root = write_tree(tmp_path / "s", FILES)
-    sizes = [len(c) for c in FILES.values()] + [workers.ROW_LIMIT + 1]
-    batch = pa.RecordBatch.from_pydict({"relative_path": [*FILES, "gone"], "size": sizes})
+    sizes = [len(tree_of(root)[n]) for n in FILES] + [7]
+    zeros = [0] * len(sizes)
+    batch = pa.RecordBatch.from_pydict({"relative_path": [*FILES, "gone"], "size": sizes, "part": zeros, "offset": zeros})
     out = list(workers.reader(root)(iter([batch])))
     rows = {r["relative_path"]: r for b in out for r in b.to_pylist()}
-    assert rows.pop("gone")["error"].endswith("do not fit into a row")
+    assert "FileNotFound" in rows.pop("gone")["error"]
     assert {n: r["content"] for n, r in rows.items()} == tree_of(root)
     monkeypatch.setattr(workers, "BATCH_BYTES", 1)
     assert len(list(workers.reader(root)(iter([batch])))) > len(out)
 
 
+def test_a_file_takes_as_many_rows_as_it_needs(spark, tmp_path):
+    from snapvault.operators.filecopy import kept_files
+
+    root = write_tree(tmp_path / "s", {"seven": "abcdefg", "six": "abcdef", "none": ""})
+    rows = files_as_table(spark, root, str(tmp_path / "t[1]"), datetime(2025, 1, 1), part_bytes=3).collect()
+    parts = sorted((r["original_path"], r["part"], r["offset"], bytes(r["content"])) for r in rows)
+    assert parts == [
+        ("none", 0, 0, b""), ("seven", 0, 0, b"abc"), ("seven", 1, 3, b"def"), ("seven", 2, 6, b"g"), ("six", 0, 0, b"abc"), ("six", 1, 3, b"def"),
+    ]
+    table = spark.read.parquet(str(tmp_path / "t\\[1\\]"))
+    assert {tuple(r) for r in kept_files(table).collect()} == {("none", 0), ("seven", 7), ("six", 6)}
+    assert {tuple(r) for r in kept_files(table.where("part <> 1 OR file_name = 'six'")).collect()} == {("none", 0), ("seven", None), ("six", 6)}
+
+
+def test_overwrite_where_a_move_refuses(tmp_path):
+    from snapvault.sources import workers
+
+    import io
+
+    class Refusing(workers.pafs.LocalFileSystem):
+        def move(self, source, target):
+            if self.get_file_info(target).type != workers.pafs.FileType.NotFound:
+                raise OSError("target exists")
+            super().move(source, target)
+
+    target = workers.Target(str(tmp_path), ".staging")
+    target.fs = Refusing()
+    for text in (b"old", b"new"):
+        assert target.put(io.BytesIO(text), "f") == 3
+    assert (tmp_path / "f").read_bytes() == b"new"
+
+
+def test_rows_without_path_or_content_are_failures(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None), (None, bytearray(b"x")), ("b", bytearray(b"y"))], "relative_path string, content binary")
+    got = {(r["relative_path"], r["status"]) for r in write_files(spark, rows, str(tmp_path / "w")).collect()}
+    assert got == {("a", "failed"), (None, "failed"), ("b", "success")}
+
+
 def test_tasks_can_run_again(tmp_path):
     """What a lost executor had already done does not disturb the second attempt."""
     from snapvault.sources import workers

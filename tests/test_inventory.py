@@ -52,9 +52,15 @@ def test_inventory_shape(spark, root):
     assert abs(row["modification_time"].timestamp() - os.stat(f"{root}/sub/b.PDF").st_mtime) < 86400
 
 
-def test_binary_file_scan_leaves_out_empty_files(spark, root):
+def test_binary_file_scan_has_empty_files(spark, root):
     rows = {r["relative_path"]: r["size"] for r in binary_file_inventory(spark, root).collect()}
-    assert rows == {f: len(FILES[f].encode()) for f in VISIBLE if FILES[f]}
+    assert rows == {f: len(FILES[f].encode()) for f in VISIBLE}
+
+
+def test_a_root_that_cannot_be_listed_is_an_error(spark, tmp_path):
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(OSError, match="cannot be listed"):
+        child_directories(spark, str(tmp_path / "file"))
 
 
 def test_child_directories(spark, root):
@@ -81,6 +87,8 @@ def test_links_do_not_loop(spark, root):
     os.symlink(f"{root}/a.csv", f"{root}/sub/link.csv")
     found = _files(walk(spark, root))
     assert found["sub/link.csv"] == 3 and len(found) == len(VISIBLE) + 1
+    linked = walk(spark, root).where("error IS NOT NULL").collect()
+    assert [(r["relative_path"], r["error"]) for r in linked] == [("sub/loop", "linked folder, not followed")]
 
 
 def test_listing_is_the_same_through_any_file_system(root):
