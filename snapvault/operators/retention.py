@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.files import format_size
-from snapvault.operators.audit import RunLog, write_cleanup_log
+from snapvault.operators.audit import RunLog, append_logs, write_cleanup_log
 from snapvault.operators.filecopy import delete_paths
 from snapvault.operators.items import now
 from snapvault.plans.retention import retention_plan, retention_result, retention_summary
@@ -19,6 +19,9 @@ from snapvault.sources.inventory import child_directories, folder_sizes, only_fi
 from snapvault.sources.workers import resolve
 
 
+BULK_FILES = 50_000  # files of one folder that one call removes
+
+
 @dataclass(frozen=True)
 class RetentionRun:
     plan: DataFrame
@@ -33,7 +36,7 @@ def snapshot_catalogue(spark: SparkSession, root: str, sizes: bool = True) -> Da
     Hidden folders inside a snapshot count towards its size. A snapshot that cannot be listed in
     full has no size, but an error.
     """
-    folders = child_directories(spark, root)
+    folders = child_directories(spark, root).where("error IS NULL").drop("error")
     if not sizes:
         return folders.withColumn("size_bytes", F.lit(None).cast("bigint")).withColumn("error", F.lit(None).cast("string"))
     starts = folders.select(F.col("name").alias("relative_path"))
@@ -46,20 +49,32 @@ def snapshot_catalogue(spark: SparkSession, root: str, sizes: bool = True) -> Da
 def delete_snapshots(spark: SparkSession, root: str, plan: DataFrame, by_file: bool | None = None) -> DataFrame:
     """Delete the folders whose ``action`` is ``delete``; ``name``, ``status``, ``size_bytes``, ``error``.
 
-    Only direct children of ``root`` whose name carries a time are ever touched. Where removing a
-    folder means removing file by file, the files of all snapshots are first spread over the
-    cluster, since one snapshot may hold most of them; on HDFS a folder is one call.
+    Only direct children of ``root`` whose name carries a time are ever touched. Their manifests go first, so that a run
+    that ends halfway leaves no snapshot that looks finished. Where removing a folder means removing file by file, the
+    folders that hold files are spread over the cluster and each is emptied in one call, very large ones file by file;
+    on HDFS a snapshot is one call.
     """
     doomed = plan.where((F.col("action") == "delete") & F.col("ts").isNotNull() & ~F.col("name").contains("/"))
     doomed = doomed.select("name", "size_bytes")
     doomed = settled(doomed, "doomed")
+    markers = delete_paths(spark, doomed.select(F.concat("name", F.lit("/_manifest")).alias("relative_path")), root, True)
+    held = markers.where("status = 'failed'").select(F.substring_index("relative_path", "/", 1).alias("name"), "error")
+    kept = doomed.join(held, "name").select("name", F.lit("failed").alias("status"), "size_bytes", "error")
+    doomed = settled(doomed.join(held, "name", "left_anti"), "doomed")
     starts = doomed.select(F.col("name").alias("relative_path"))
     if by_file is None:
         by_file = resolve(Folders(spark).qualified(root))[0].type_name != "hdfs"
     failures = None
     if by_file:
-        files = only_files(walk(spark, root, include_hidden=True, starts=starts)).where("error IS NULL")
-        gone = delete_paths(spark, files, root, directories=False).where("status = 'failed'")
+        listing = walk(spark, root, include_hidden=True, starts=starts)
+        parent = F.expr("left(relative_path, length(relative_path) - length(name) - 1)")
+        files = only_files(listing).where("error IS NULL").withColumn("folder", parent)
+        inner = listing.where("is_directory AND error IS NULL").select(parent.alias("folder")).distinct()
+        sizes = files.groupBy("folder").agg(F.count("*").alias("n")).join(inner, "folder", "left_anti")
+        bulk = settled(sizes.where(F.col("n") <= BULK_FILES).select("folder"), "bulk")
+        single = files.join(bulk, "folder", "left_anti")
+        gone = delete_paths(spark, bulk.select(F.col("folder").alias("relative_path")), root, directories=True)
+        gone = gone.unionByName(delete_paths(spark, single, root, directories=False)).where("status = 'failed'")
         failures = gone.groupBy(F.substring_index("relative_path", "/", 1).alias("name")).agg(
             F.min("error").alias("file_error")
         )
@@ -69,7 +84,7 @@ def delete_snapshots(spark: SparkSession, root: str, plan: DataFrame, by_file: b
         rows = rows.join(failures, "name", "left")
         # What the folder call removed after all is no failure.
         rows = rows.withColumn("error", F.when(F.col("status") == "failed", F.coalesce("file_error", "error")))
-    return rows.select("name", "status", "size_bytes", "error")
+    return rows.select("name", "status", "size_bytes", "error").unionByName(kept)
 
 
 def retain(
@@ -99,6 +114,7 @@ def retain(
             f"{row['deleted_backups']} deleted, {row['failed_deletions']} failed, {row['freed']} freed",
             "INFO" if row["status"] == "success" else "ERROR",
         )
+        append_logs(log.frame(spark), f"{root}/_run_logs", f"cleanup_{started.strftime('%Y-%m-%d_%H-%M-%S')}")
         write_cleanup_log(
             spark, log, root, started, retention_days=retention_days, dry_run=dry_run, name_pattern=pattern
         )

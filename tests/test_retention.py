@@ -129,3 +129,29 @@ def test_empty_and_missing_root(spark, tmp_path):
     assert (run.result.head()["status"], run.result.head()["total_backups"], run.deletions.count()) == ("success", 0, 0)
     with pytest.raises(FileNotFoundError):
         retain(spark, str(tmp_path / "missing"), AS_OF)
+
+
+def test_manifests_go_first(spark, root, monkeypatch):
+    """A run that ends after its first step leaves no snapshot that looks finished."""
+    from snapvault.operators import retention as module
+
+    plan, real, calls = retain(spark, root, AS_OF).plan, module.delete_paths, []
+
+    def once(spark, paths, *args, **options):
+        if calls:
+            raise RuntimeError("lost")
+        calls.append(real(spark, paths, *args, **options))
+        return calls[0]
+
+    monkeypatch.setattr(module, "delete_paths", once)
+    with pytest.raises(RuntimeError):
+        module.delete_snapshots(spark, root, plan)
+    for name in (OLD, OVER, OTHER):
+        assert os.path.exists(f"{root}/{name}/files/f") and not os.path.exists(f"{root}/{name}/_manifest")
+    assert os.path.exists(f"{root}/{NEW}/_manifest")
+
+
+def test_a_root_that_cannot_be_listed_is_no_empty_root(spark, tmp_path):
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(OSError, match="cannot be listed"):
+        retain(spark, str(tmp_path / "file"), AS_OF)
