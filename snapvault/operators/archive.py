@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,21 @@ from snapvault.functions.files import is_hidden
 from snapvault.operators.filecopy import file_rows, write_files
 from snapvault.operators.items import conform, in_parallel, item, items_frame, now
 from snapvault.operators.tables import failed_table, store_table
-from snapvault.plans.restore import archive_format, files_to_restore, restore_plan, select_files, select_names
+from snapvault.plans.restore import (
+    archive_format,
+    below_unread,
+    files_to_restore,
+    restore_plan,
+    select_files,
+    select_names,
+)
 from snapvault.session import scratch_dir, settled
-from snapvault.sources.archives import RAW, archive_entries, entry_contents
+from snapvault.sources.archives import RAW, archive_entries, entry_contents, entry_documents
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
 from snapvault.sources.spreading import spread_by_size
-from snapvault.sources.workers import ROW_LIMIT, extractor
+from snapvault.sources.tables import literal
+from snapvault.sources.workers import extractor
 
 EXTRACTED = (
     "archive string, entry string, relative_path string, size bigint, status string, written_bytes bigint, "
@@ -129,10 +138,10 @@ def _stored_schema(text: str) -> T.StructType | None:
 
 def _read_staged(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
     if fmt == "parquet":
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(literal(path))
     strict = {"mode": "FAILFAST", "enforceSchema": False}  # a value or header that does not fit is an error
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, **strict)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).csv(literal(path)) if schema else reader.option("inferSchema", True).csv(literal(path))
 
 
 def restore_tables(
@@ -169,7 +178,10 @@ def restore_tables(
         return records
 
     staging = scratch_dir(spark, "staged")
-    chosen = _chosen_entries(entries, plan.where("action = 'restore'"))
+    # The plan is at hand, one small row per table, so the entries meet it without moving.
+    formats = [(n, r["format"]) for n, r in wanted.items()]
+    plan = F.broadcast(spark.createDataFrame(formats, "name string, format string"))
+    chosen = settled(_chosen_entries(entries, plan), "chosen")
     status = _unpack(spark, chosen, root, staging)
     table = F.substring_index("relative_path", "/", 1)
     outcome = {
@@ -179,14 +191,12 @@ def restore_tables(
         .collect()
     }
     documents = entries.where("kind = 'table' AND file_name = 'schema.json'").join(
-        plan.where("action = 'restore' AND format = 'csv'").select(F.col("name").alias("table_name")), "table_name"
+        plan.where("format = 'csv'").select(F.col("name").alias("table_name")), "table_name"
     )
-    schemas = {
-        r["entry"].split("/")[1]: _stored_schema(r["text"])
-        for r in entry_contents(documents, root)
-        .where("content IS NOT NULL")
-        .select("entry", F.decode("content", "UTF-8").alias("text"))
-        .collect()
+    table_of = F.get(F.split("entry", "/"), F.lit(1)).alias("name")
+    texts = entry_documents(documents, root).where("error IS NULL").groupBy(table_of)
+    schemas = {  # one document per table: those of its archives meet on the executors
+        r["name"]: r for r in texts.agg(F.min("text").alias("text"), F.max("text").alias("other")).collect()
     }
 
     def one(name: str) -> dict:
@@ -197,7 +207,11 @@ def restore_tables(
             reason = unpacked["error"] if unpacked else "no readable entry"
             return failed_table(name, reason, target_path=target, **record)
         try:
-            df = _read_staged(spark, f"{staging}/{name}", chosen_format, schemas.get(name), unpacked["multi_line"])
+            said = schemas.get(name)
+            if said and said["text"] != said["other"]:
+                return failed_table(name, "archives disagree on the schema", target_path=target, **record)
+            schema = _stored_schema(said["text"]) if said else None
+            df = _read_staged(spark, f"{staging}/{name}", chosen_format, schema, unpacked["multi_line"])
         except Exception as error:
             return failed_table(name, error, target_path=target, **record)
         return store_table(spark, name, df, target, fmt, overwrite=overwrite, **record)
@@ -217,11 +231,14 @@ def restore_files(
     overwrite: bool = True,
     dry_run: bool = False,
     at: datetime | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Restore files from archive entries; one item record per file.
 
-    Files that cannot be written under their name are kept as rows of the ``_restored_files`` table.
+    Files that cannot be written under their name are kept as rows of the ``_restored_files`` table, in parts, under the
+    ``run_id``. A file counts as kept if all of it has been read and written by this run.
     """
+    run_id = run_id or uuid.uuid4().hex
     found = entries.where("kind = 'file'")
     columns = [c for c in found.columns if c != "relative_path"]
     last = F.max_by(F.struct(*columns), F.struct("archive", "offset"))
@@ -240,21 +257,28 @@ def restore_files(
     if overwrite or not Folders(spark).exists(target_files):
         todo, skipped = found, None
     else:
-        present = only_files(walk(spark, target_files, include_hidden=True)).select("relative_path")
-        todo = settled(files_to_restore(found, present, overwrite=False), "todo")
-        skipped = shaped(found.join(present, "relative_path", "left_semi"), status=F.lit("skipped"), error=F.lit("exists"))
-        skipped = settled(skipped, "skipped")
+        there = walk(spark, target_files, include_hidden=True)
+        present = only_files(there).select("relative_path")
+        # What stands in a folder that cannot be listed is not known, so nothing is written into it.
+        unknown = settled(below_unread(found, there.where("is_directory AND error IS NOT NULL")), "unknown")
+        known = found.join(unknown, "relative_path", "left_anti")
+        todo = settled(files_to_restore(known, present, overwrite=False), "todo")
+        skipped = shaped(known.join(present, "relative_path", "left_semi"), status=F.lit("skipped"), error=F.lit("exists"))
+        unsafe = F.concat(F.lit("target folder cannot be listed: "), "error")
+        blocked = shaped(found.drop("error").join(unknown, "relative_path"), status=F.lit("failed"), error=unsafe)
+        skipped = settled(skipped.unionByName(blocked), "skipped")
     done = _unpack(spark, todo, root, target_files)
     failed = done.where("status = 'failed'").select("archive", "entry", "relative_path", "error")
     kept = None
     if not failed.isEmpty():
         retry = entries.join(failed.select("archive", "entry"), ["archive", "entry"], "left_semi")
-        contents = entry_contents(retry.where(F.col("size") <= ROW_LIMIT), root).where("content IS NOT NULL")
-        rows = contents.join(failed.select("archive", "entry", "relative_path"), ["archive", "entry"])
-        table = f"{target_files}/{FALLBACK_TABLE}"
-        file_rows(rows, at or now()).drop("error").write.mode("append").parquet(table)
-        written = spark.read.parquet(table).select(F.col("original_path").alias("relative_path")).distinct()
-        kept = written.withColumn("kept", F.lit(True))
+        rows = entry_contents(retry, root).join(failed.select("archive", "entry", "relative_path"), ["archive", "entry"])
+        rows = settled(file_rows(rows, at or now()).withColumn("run_id", F.lit(run_id)), "fallback")
+        # A last part with an error means that the entry could not be read to its end.
+        broken = rows.where("error IS NOT NULL").select("original_path").distinct()
+        whole = rows.join(broken, "original_path", "left_anti").drop("error")
+        whole.write.mode("append").parquet(f"{target_files}/{FALLBACK_TABLE}")
+        kept = whole.select(F.col("original_path").alias("relative_path")).distinct().withColumn("kept", F.lit(True))
     copied = F.when(F.col("status") == "success", F.lit("archive_entry"))
     records = done.withColumn("method", copied)
     if kept is not None:
@@ -281,6 +305,7 @@ def restore_from_archives(
     dry_run: bool = False,
     fmt: str = "parquet",
     width: int = 8,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Tables and files from all archives of a snapshot, as item records."""
     entries = scan_archives(spark, root, archives)
@@ -298,5 +323,6 @@ def restore_from_archives(
     }
     items = items_frame(spark, records).unionByName(broken.select(*conform(values)))
     if target_files:
-        items = items.unionByName(restore_files(spark, entries, root, target_files, patterns, overwrite, dry_run))
+        files = restore_files(spark, entries, root, target_files, patterns, overwrite, dry_run, run_id=run_id)
+        items = items.unionByName(files)
     return items

@@ -259,3 +259,59 @@ def test_csv_volumes_with_other_columns_fail(spark, tmp_path):
     )
     (record,) = ops.restore_tables(spark, scan(spark, root), root, str(tmp_path / "t"))
     assert record["status"] == "failed"
+
+
+def test_a_null_archive_fails_alone(spark, tmp_path):
+    good = bytearray(zipped([("files/a.txt", "a")]))
+    rows = spark.createDataFrame([(good,), (None,)], "zip_binary binary")
+    listed = archive_entries_binary(rows.selectExpr("'x' archive", "zip_binary")).collect()
+    assert sorted(bool(r["error"]) for r in listed) == [False, True]
+    rows.write.parquet(str(tmp_path / "snap/files_backup_zip_data"))
+    run = restore(spark, str(tmp_path / "snap"), Lakehouse(str(tmp_path / "t")), require_manifest=False)
+    got = {(r["kind"], r["status"]) for r in run.items.collect()}
+    assert got == {("file", "success"), ("archive", "failed")}
+
+
+def test_table_names_that_look_like_wildcards(spark, tmp_path):
+    t = parquet(spark, tmp_path, spark.range(4))
+    entries = [(f"tables/{n}/{n}.parquet", t) for n in ("a[1]", "b{x}")] + [("tables/c*/c*.csv", "id\n1\n2\n")]
+    snap = write_tree(tmp_path / "snap", {"x.zip": zipped(entries)})
+    run = restore(spark, snap, Lakehouse(str(tmp_path / "t")), files=False)
+    assert {(r["name"], r["status"], r["row_count"]) for r in run.items.collect()} == {
+        ("a[1]", "success", 4), ("b{x}", "success", 4), ("c*", "success", 2),
+    }
+
+
+def test_schema_documents_that_disagree_fail_the_table(spark, tmp_path):
+    files = {
+        f"{kind}.zip": zipped([("tables/t/t.csv", "id\n1\n"), ("tables/t/schema.json", json.dumps([{"name": "id", "type": kind}]))])
+        for kind in ("int64", "object")
+    }
+    run = restore(spark, write_tree(tmp_path / "snap", files), Lakehouse(str(tmp_path / "t")), files=False)
+    row = run.items.head()
+    assert (row["status"], row["error"]) == ("failed", "archives disagree on the schema")
+
+
+def test_rows_of_an_earlier_run_rescue_nothing(spark, tmp_path):
+    """A damaged entry stays a failure, also where an earlier run has kept that file as a row."""
+    target = Lakehouse(str(tmp_path / "t"))
+    good, bad = zipped([("files/a.txt", "a" * 1000)], zipfile.ZIP_STORED), bytearray(zipped([("files/a.txt", "a" * 1000)], zipfile.ZIP_STORED))
+    bad[bad.index(b"aaaa") + 100] = ord("b")
+    os.makedirs(f"{target.files}/a.txt/in_the_way")
+    first = restore(spark, write_tree(tmp_path / "one", {"x.zip": good}), target)
+    assert first.items.head()["method"] == "table_copy" and first.manifest.head()["verification_passed"]
+    os.rmdir(f"{target.files}/a.txt/in_the_way")
+    os.rmdir(f"{target.files}/a.txt")
+    second = restore(spark, write_tree(tmp_path / "two", {"x.zip": bytes(bad)}), target)
+    row = second.items.head()
+    assert row["status"] == "failed" and "CRC" in row["error"] and second.manifest.head()["status"] == "failed"
+
+
+def test_two_restores_in_the_same_second(spark, snap, tmp_path, monkeypatch):
+    from snapvault.operators import restore as module
+
+    moment = module.now()
+    monkeypatch.setattr(module, "now", lambda: moment)
+    target = Lakehouse(str(tmp_path / "t"))
+    assert len({restore(spark, snap, target).manifest.head()["restore_id"] for _ in range(2)}) == 2
+    assert len([n for n in os.listdir(target.files) if n.startswith("_restore_manifest_")]) == 2
