@@ -13,7 +13,7 @@ from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapvault import fixtures
@@ -23,6 +23,7 @@ from snapvault.lakehouse import Lakehouse
 from snapvault.operators import archive as archive_ops
 from snapvault.operators.audit import (
     cleanup_documents,
+    log_events,
     log_table,
     read_cleanup_logs,
     read_logs,
@@ -241,10 +242,32 @@ def q_table_restore_nested(spark, sf_dir):
     return _through_restore(spark, sf_dir, "embeddings")
 
 
+def _round_trip(table):
+    return lambda spark, sf_dir: _through_restore(spark, sf_dir, table)
+
+
+ROUND_TRIPS = [t for t in TABLES if t not in ("orders", "embeddings")]
+
+
+def q_restore_damaged(spark, sf_dir):
+    """A snapshot that has lost rows since it was taken must leave the table at the target as it is."""
+    base = scratch_dir(_session(spark), "damage")
+    source = Source(Lakehouse(f"{base}/lake"), "lh_silver1", "wsp_transform_dev")
+    taken = snapshot(spark, source, f"{base}/backups", TAKEN_AT, table_paths={"orders": _path(sf_dir, "orders")})
+    target = Lakehouse(f"{base}/target")
+    copy_table(spark, "orders", _path(sf_dir, "orders"), f"{target.tables}/orders")
+    _table(spark, sf_dir, "orders").where("o_orderkey % 4 <> 0").write.mode("overwrite").parquet(f"{taken.path}/tables/orders")
+    run = restore(spark, taken.path, target)
+    kept = scan_table(spark, f"{target.tables}/orders").agg(F.count("*").cast("string"))
+    told = (("kept_rows", kept), ("item", run.items.select("status")), ("run", run.manifest.select("status")))
+    rows = [df.select(F.lit(what).alias("what"), F.col(df.columns[0]).alias("value")) for what, df in told]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 def q_table_discovery(spark, sf_dir):
     prefix = F.when(F.col("o_orderstatus") == "P", "_tmp_").otherwise("cust_")
     path = F.concat(F.lit("/lake/Tables/"), prefix, "o_custkey", F.lit("/part-"), "o_orderkey", F.lit(".parquet"))
-    return discover_tables(_table(spark, sf_dir, "orders").select(path.alias("path")))
+    return discover_tables(_table(spark, sf_dir, "orders").select(path.alias("path")), "/lake/Tables")
 
 
 def q_table_profile(spark, sf_dir):
@@ -333,6 +356,7 @@ def q_layout_detect(spark, sf_dir):
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     path = (
         F.when((flag == "R") & (status == "F"), F.concat(F.lit("tables/t"), "l_partkey", F.lit("/part-0.parquet")))
+        .when((flag == "R") & (F.col("l_linenumber") % 2 == 1), F.lit("tables/readme.txt"))
         .when(flag == "R", F.lit("tables/_tmp/part-0.parquet"))
         .when((flag == "A") & (status == "F"), F.concat(F.lit("old_"), "l_partkey", F.lit(".zip")))
         .when(flag == "A", F.lit("files_backup_zip_data/part-0.parquet"))
@@ -396,8 +420,13 @@ def q_binary_file_scan(spark, sf_dir):
 
 
 def q_files_as_table(spark, sf_dir):
-    table = files_as_table(spark, _lake(spark, sf_dir).files, scratch_dir(spark, "as_table"), TAKEN_AT)
-    return table.select("original_path", "file_name", "file_type", "size_bytes", F.md5("content").alias("content_md5"))
+    """With parts so small that most documents take several rows."""
+    files = _lake(spark, sf_dir).files
+    table = files_as_table(spark, files, scratch_dir(spark, "as_table"), TAKEN_AT, part_bytes=1000)
+    return table.select(
+        "original_path", "file_name", "file_type", F.col("part").cast("bigint").alias("part"), "offset", "size_bytes",
+        F.md5("content").alias("content_md5"),
+    )
 
 
 def q_file_copy_status(spark, sf_dir):
@@ -462,7 +491,16 @@ def q_retention_summary(spark, sf_dir):
 
 
 def q_retention_delete_list(spark, sf_dir):
-    return retention_plans.delete_list(_plan(spark, sf_dir)).select("snap_no", "name", "ts", "size_bytes")
+    """With the place of each snapshot in the list, which the list's order gives."""
+    listed = retention_plans.delete_list(_plan(spark, sf_dir)).select("snap_no", "name", "ts", "size_bytes")
+    at = F.monotonically_increasing_id()  # grows with the order of a sorted result
+    ranked = settled(listed.withColumn("at", at), "delete-list")
+    earlier = ranked.groupBy(F.shiftright("at", 33).alias("p")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = earlier.withColumn("before", F.coalesce(before, F.lit(0)))
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    joined = ranked.withColumn("p", F.shiftright("at", 33)).join(parts, "p")
+    return joined.select("snap_no", "name", "ts", "size_bytes", (F.col("before") + inside).alias("place"))
 
 
 def q_retention_keep_top10(spark, sf_dir):
@@ -487,20 +525,22 @@ def _logs(spark, sf_dir):
     level = (
         F.when(kind == "error", "ERROR").when(kind == "signup", "WARNING").when(kind == "view", "DEBUG").otherwise("INFO")
     )
-    return log_table(_table(spark, sf_dir, "events"), F.col("ts"), level, F.col("props"))
+    return _table(spark, sf_dir, "events"), F.col("ts"), level, F.col("props")
 
 
 def q_log_table(spark, sf_dir):
-    return _logs(spark, sf_dir)
+    return log_table(*_logs(spark, sf_dir))
 
 
 def q_log_rollup(spark, sf_dir):
-    return summary.log_rollup(_logs(spark, sf_dir))
+    return summary.log_rollup(log_events(*_logs(spark, sf_dir)))
 
 
 def q_run_logs(spark, sf_dir):
+    """All lines; the folders, which have random names, are masked."""
     root = _lake_snapshot(spark, sf_dir).path.rsplit("/", 1)[0]
-    return read_logs(spark, root).where("startswith(message, 'table ')").select("run", "level", "message")
+    masked = F.regexp_replace("message", r"snapshot of .* to .*/", "snapshot of <source> to <root>/")
+    return read_logs(spark, root).select("run", "level", masked.alias("message"))
 
 
 def q_cleanup_log(spark, sf_dir):
@@ -566,9 +606,17 @@ def q_archive_table_restore_csv(spark, sf_dir):
 
 
 def q_archive_file_restore(spark, sf_dir):
+    return _files_through_archives(spark, sf_dir, None)
+
+
+def q_archive_file_select(spark, sf_dir):
+    return _files_through_archives(spark, sf_dir, ["src1*"])
+
+
+def _files_through_archives(spark, sf_dir, patterns):
     root, entries = _archive_entries(spark, sf_dir)
     target = scratch_dir(spark, "unpacked")
-    items = archive_ops.restore_files(spark, entries, root, target, patterns=["src1*"])
+    items = archive_ops.restore_files(spark, entries, root, target, patterns=patterns)
     back = files_as_table(spark, target, scratch_dir(spark, "unpacked_rows"), TAKEN_AT)
     back = back.select(F.col("original_path").alias("name"), F.md5("content").alias("content_md5"))
     return items.select("name", "status", "size_bytes").join(back, "name", "left")
@@ -591,7 +639,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
+    named = {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
+    return named | {f"table_restore_{t}": _round_trip(t) for t in ROUND_TRIPS}
 
 
 def _training_text() -> tuple[dict, dict]:
@@ -668,6 +717,7 @@ _LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING'
 _LAYOUT = """inv AS (
 SELECT 'snap_' || l_orderkey AS snapshot,
   CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'tables/t' || l_partkey || '/part-0.parquet'
+       WHEN l_returnflag = 'R' AND l_linenumber % 2 = 1 THEN 'tables/readme.txt'
        WHEN l_returnflag = 'R' THEN 'tables/_tmp/part-0.parquet'
        WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'old_' || l_partkey || '.zip'
        WHEN l_returnflag = 'A' THEN 'files_backup_zip_data/part-0.parquet'
@@ -701,6 +751,9 @@ def core_sql() -> dict[str, str]:
         "table_snapshot": "SELECT * FROM lineitem",
         "table_restore": "SELECT * FROM orders",
         "table_restore_nested": "SELECT * FROM embeddings",
+        **{f"table_restore_{t}": f"SELECT * FROM {t}" for t in ROUND_TRIPS},
+        "restore_damaged": """SELECT 'kept_rows' AS what, CAST(count(*) AS VARCHAR) AS value FROM orders
+UNION ALL SELECT 'item', 'failed' UNION ALL SELECT 'run', 'failed'""",
         "table_discovery": "SELECT DISTINCT 'cust_' || o_custkey AS name FROM orders WHERE o_orderstatus <> 'P'",
         "table_profile": profile,
         "snapshot_status": """SELECT 'customer' AS name, 'success' AS status, count(*) AS row_count FROM customer
@@ -773,9 +826,12 @@ UNION ALL SELECT 'intact', true, count(*), count(*) FROM lineitem""",
 SELECT name, relative_path, false AS is_directory, bytes AS size, type FROM ffile
 UNION ALL SELECT DISTINCT source, source, true, 0, 'directory' FROM ffile
 UNION ALL SELECT DISTINCT lang, source || '/' || lang, true, 0, 'directory' FROM ffile""",
-        "binary_file_scan": f"WITH {_FILES} SELECT name, relative_path, bytes AS size, type FROM ffile WHERE bytes > 0",
-        "files_as_table": f"""WITH {_FILES} SELECT relative_path AS original_path, name AS file_name, type AS file_type,
-  bytes AS size_bytes, md5(text) AS content_md5 FROM ffile""",
+        "binary_file_scan": f"WITH {_FILES} SELECT name, relative_path, bytes AS size, type FROM ffile",
+        "files_as_table": f"""WITH {_FILES}, piece AS (
+SELECT *, unnest(range(greatest(1, (bytes + 999) // 1000))) AS part FROM ffile)
+SELECT relative_path AS original_path, name AS file_name, type AS file_type, CAST(part AS BIGINT) AS part,
+  CAST(part * 1000 AS BIGINT) AS "offset", CAST(least(1000, bytes - part * 1000) AS BIGINT) AS size_bytes,
+  md5(unhex(substr(hex(encode(text)), CAST(part * 2000 + 1 AS BIGINT), 2000))) AS content_md5 FROM piece""",
         "file_copy_status": f"""WITH {_FILES} SELECT relative_path, 'success' AS status, bytes AS written_bytes FROM ffile""",
         "file_type": f"WITH {_FILES} SELECT relative_path, type FROM ffile",
         "file_totals": f"WITH {_FILES} SELECT count(*) AS total_files, CAST(sum(size) AS BIGINT) AS total_size FROM ffile",
@@ -802,7 +858,8 @@ WHERE regexp_full_match(relative_path, 'src1.*\\.csv') OR regexp_full_match(rela
   count(*) FILTER (WHERE action = 'delete') AS expired_backups, count(*) FILTER (WHERE action = 'retain') AS retained_backups,
   CAST(coalesce(sum(size_bytes) FILTER (WHERE action = 'delete'), 0) AS BIGINT) AS total_size_to_delete,
   CAST(coalesce(sum(size_bytes) FILTER (WHERE action = 'retain'), 0) AS BIGINT) AS total_size_to_retain FROM snap_p""",
-        "retention_delete_list": f"WITH {_SNAP_P} SELECT snap_no, name, ts, size_bytes FROM snap_p WHERE action = 'delete'",
+        "retention_delete_list": f"""WITH {_SNAP_P} SELECT snap_no, name, ts, size_bytes,
+  row_number() OVER (ORDER BY ts, name, snap_no) AS place FROM snap_p WHERE action = 'delete'""",
         "retention_keep_top10": f"""WITH {_SNAP_P} SELECT snap_no, name, ts FROM snap_p WHERE action = 'retain'
 ORDER BY ts DESC, snap_no LIMIT 10""",
         "retention_result": f"""WITH {_SNAP_P} SELECT 'success' AS status, true AS dry_run, count(*) AS total_backups,
@@ -817,7 +874,9 @@ FROM events WHERE event_type <> 'view'""",
         "log_rollup": f"""SELECT CAST(ts AS DATE) AS day, {_LEVEL} AS level, count(*) AS n FROM events
 WHERE event_type <> 'view' GROUP BY 1, 2""",
         "run_logs": f"""WITH {_LAKE_COUNTS} SELECT 'silver1_transform_dev_backup_2025-11-10_14-30-15' AS run, 'INFO' AS level,
-  'table ' || name || ': success ' || row_count AS message FROM lake""",
+  'table ' || name || ': success ' || row_count AS message FROM lake
+UNION ALL SELECT 'silver1_transform_dev_backup_2025-11-10_14-30-15', 'INFO', unnest(['snapshot of <source> to <root>/'
+  || 'silver1_transform_dev_backup_2025-11-10_14-30-15', 'verification by counts: passed'])""",
         "cleanup_log": """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS cleanup_timestamp,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS logged FROM events)
 SELECT cleanup_timestamp, CAST(user_id AS INTEGER) AS retention_days, event_type = 'view' AS dry_run, event_type AS name_pattern,
@@ -833,5 +892,7 @@ UNION ALL SELECT cleanup_timestamp, CAST(user_id AS INTEGER), event_type = 'view
         "archive_table_restore": "SELECT * FROM orders",
         "archive_table_restore_csv": "SELECT * FROM customer",
         "archive_file_restore": f"""WITH {_FILES} SELECT relative_path AS name, 'success' AS status, bytes AS size_bytes,
+  md5(text) AS content_md5 FROM ffile""",
+        "archive_file_select": f"""WITH {_FILES} SELECT relative_path AS name, 'success' AS status, bytes AS size_bytes,
   md5(text) AS content_md5 FROM ffile WHERE starts_with(relative_path, 'src1')""",
     }

@@ -1,4 +1,4 @@
-"""The three jobs from the command line; each prints its result as one JSON document.
+"""The jobs from the command line; each prints its result as one JSON document.
 
 spark-submit --py-files snapvault.zip snapvault/__main__.py backup --help
 """
@@ -8,12 +8,27 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapvault import Lakehouse, Source, clean_scratch, restore, retain, snapshot, verify_snapshot
+from snapvault import (
+    Lakehouse,
+    Source,
+    clean_scratch,
+    file_inventory,
+    file_type_summary,
+    newest_snapshot,
+    profile_tables,
+    restore,
+    retain,
+    snapshot,
+    verify_snapshot,
+)
+from snapvault.plans.retention import delete_list, keep_list
 from snapvault.plans.verify import verdict
+from snapvault.sources.hadoop import Folders
+from snapvault.sources.inventory import child_directories
 
 
 def _row(df: DataFrame) -> dict:
@@ -40,9 +55,17 @@ def backup(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 
 def restored(spark: SparkSession, args: argparse.Namespace) -> dict:
+    snapshot_path = args.snapshot
+    if snapshot_path is None:
+        if not args.backup_root or not args.source:
+            raise SystemExit("restore needs --snapshot, or --backup-root and --source")
+        as_of = args.as_of or datetime.now(timezone.utc)
+        snapshot_path = newest_snapshot(spark, args.backup_root, args.source, as_of)
+        if snapshot_path is None:
+            return {"status": "failed", "error": f"no finished snapshot of {args.source} up to {as_of}"}
     run = restore(
         spark,
-        args.snapshot,
+        snapshot_path,
         Lakehouse(args.target),
         tables=not args.no_tables,
         files=not args.no_files,
@@ -74,7 +97,19 @@ def cleanup(spark: SparkSession, args: argparse.Namespace) -> dict:
         strict=args.strict,
         write_log=args.write_log,
     )
-    return _row(run.summary) | _row(run.result)
+    told = ("name", "size_bytes", "age_days")
+    doomed = delete_list(run.plan).select(*told).toLocalIterator()  # printed, oldest first
+    newest = keep_list(run.plan, 10).select(*told).collect()
+    failures = [] if run.deletions is None else run.deletions.where("status = 'failed'").select("name", "error").collect()
+    return (
+        _row(run.summary)
+        | _row(run.result)
+        | {
+            "to_delete": [r.asDict() for r in doomed],
+            "newest_kept": [r.asDict() for r in newest],
+            "failed": [r.asDict() for r in failures],
+        }
+    )
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -83,6 +118,19 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> dict:
     return {"status": "success" if row["overall_success"] else "failed"} | row
 
 
+def profile(spark: SparkSession, args: argparse.Namespace) -> dict:
+    lake = Lakehouse(args.source)
+    found = child_directories(spark, lake.tables).where("error IS NULL").collect()  # one small row per table
+    tables = profile_tables(spark, {r["name"]: r["path"] for r in found}, args.format, args.width).collect()
+    types = file_type_summary(file_inventory(spark, lake.files)).collect() if Folders(spark).exists(lake.files) else []
+    bad = any(r["error"] for r in tables)
+    return {
+        "status": "failed" if bad else "success",
+        "tables": [{k: r[k] for k in ("name", "row_count", "column_count", "columns", "error")} for r in tables],
+        "files": [r.asDict() for r in types],
+    }
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="snapvault")
     jobs = top.add_subparsers(required=True)
@@ -102,7 +150,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--no-files", action="store_true")
     sub.add_argument("--verify", choices=("counts", "content", "none"), default="counts")
 
-    sub = job("restore", restored, "--snapshot", "--target")
+    sub = job("restore", restored, "--target")
+    sub.add_argument("--snapshot", help="path of the snapshot; or name a source below a backup root")
+    sub.add_argument("--backup-root")
+    sub.add_argument("--source", help="what the names of its snapshots begin with")
+    sub.add_argument("--as-of", type=datetime.fromisoformat, help="newest snapshot not later than this")
     sub.add_argument("--no-tables", action="store_true")
     sub.add_argument("--no-files", action="store_true")
     sub.add_argument("--keep-existing", action="store_true")
@@ -121,6 +173,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--strict", action="store_true")
     sub.add_argument("--write-log", action="store_true")
 
+    job("profile", profile, "--source")
+
     sub = job("verify", verify, "--snapshot")
     sub.add_argument("--counts-only", action="store_true")
     return top

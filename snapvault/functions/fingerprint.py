@@ -50,9 +50,10 @@ def row_hash(schema: T.StructType) -> Column:
 def checksum_aggregates(hashed: Column) -> list[Column]:
     """``row_count``, ``hash_sum`` and ``hash_xor`` over a column that holds ``row_hash``.
 
-    The sum is built from three bit ranges in plain longs (safe to 2^41 rows, loud error beyond),
-    which stays much cheaper per row than adding 38-digit decimals.
+    The sum is built from three bit ranges in plain longs, which stays much cheaper per row than adding 38-digit
+    decimals. They are safe to 2^41 rows; beyond, the checksum is null, so that nothing is taken for equal.
     """
+    safe = F.count(F.lit(1)) < F.lit(1 << 41)
     mask = F.lit((1 << 22) - 1)
     low = F.sum(hashed.bitwiseAND(mask))
     mid = F.sum(F.shiftright(hashed, 22).bitwiseAND(mask))
@@ -61,7 +62,7 @@ def checksum_aggregates(hashed: Column) -> list[Column]:
     total = (wide(high, 44) + wide(mid, 22) + wide(low, 0)).cast("decimal(38,0)")
     return [
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("hash_sum"),
+        F.when(safe, F.coalesce(total, F.lit(0).cast("decimal(38,0)"))).alias("hash_sum"),
         F.coalesce(F.bit_xor(hashed), F.lit(0).cast("bigint")).alias("hash_xor"),
     ]
 

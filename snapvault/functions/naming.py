@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The marker, the form of the time, and further below the two pairs of words that names drop.
 MARKER = "_backup_"
 STAMP = r"\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}"
 STAMP_LENGTH = len("yyyy-MM-dd_HH-mm-ss")

@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 
 from snapvault.operators.items import ITEMS, fields_of, now
 from snapvault.plans.summary import restore_counts, snapshot_counts, without_debug
+from snapvault.sources.hadoop import Folders
+from snapvault.sources.inventory import child_directories
 from snapvault.sources.tables import literal
 
 LOG = "timestamp string, level string, message string"
 
+# The columns of manifests and clean-up logs, and the kinds of run further below.
 MANIFEST = (
     "backup_id string, backup_folder_name string, backup_timestamp timestamp, backup_type string, "
     "source_lakehouse_name string, source_workspace_name string, backup_root string, backup_method string, "
     "tables_discovered bigint, files_discovered bigint, tables_backed_up bigint, tables_failed bigint, "
     "files_backed_up bigint, files_failed bigint, total_rows bigint, total_size bigint, "
-    "tables_info array<struct<name:string,row_count:bigint,column_count:int>>, status string, "
+    "tables_info array<struct<name:string,row_count:bigint,column_count:int,columns:array<string>,schema_json:string,"
+    "error:string>>, status string, "
     "verification_passed boolean, start_time timestamp, end_time timestamp, duration_seconds double"
 )
 
@@ -62,20 +66,35 @@ def read_logs(spark: SparkSession, root: str, folder: str = "_logs") -> DataFram
     return spark.read.schema(LOG).parquet(f"{literal(root)}/*/{folder}").select("*", run.alias("run"))
 
 
+def log_events(events: DataFrame, timestamp: Column, level: Column, text: Column) -> DataFrame:
+    """Any event stream as log lines with a typed time; DEBUG lines are dropped."""
+    return without_debug(events.select(timestamp.alias("timestamp"), level.alias("level"), text.alias("message")))
+
+
 def log_table(events: DataFrame, timestamp: Column, level: Column, text: Column) -> DataFrame:
-    """Any event stream in the shape of the run log; DEBUG lines are dropped."""
-    rows = events.select(
-        F.substring(timestamp.cast("string"), 1, 19).alias("timestamp"),
-        level.alias("level"),
-        text.alias("message"),
-    )
-    return without_debug(rows)
+    """Any event stream in the shape of the run log, with the time as text."""
+    written = F.substring(F.col("timestamp").cast("string"), 1, 19)
+    return log_events(events, timestamp, level, text).withColumn("timestamp", written)
+
+
+def append_logs(logs: DataFrame, path: str, run: str) -> None:
+    """Append the lines of a run to one log table of all runs, partitioned by day."""
+    rows = without_debug(logs).select("*", F.lit(run).alias("run"), F.to_date(F.substring("timestamp", 1, 10)).alias("day"))
+    rows.coalesce(1).write.mode("append").partitionBy("day").parquet(path)
 
 
-def append_logs(logs: DataFrame, path: str) -> None:
-    """Append to one log table of all runs, partitioned by day."""
-    day = F.substring("timestamp", 1, 10)
-    without_debug(logs).withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+def older_records(spark: SparkSession, snapshot: str) -> dict[str, dict]:
+    """What a snapshot without item records says of its tables in ``<table>_metadata`` folders: the row count."""
+    folders, found = Folders(spark), {}
+    if not folders.exists(f"{snapshot}/tables"):
+        return found
+    cards = child_directories(spark, f"{snapshot}/tables").where("endswith(name, '_metadata') AND error IS NULL")
+    for row in cards.collect():  # one small row per table
+        card = spark.read.parquet(literal(row["path"]))
+        if "row_count" in card.columns:
+            first = card.select(F.col("row_count").cast("bigint").alias("n")).head()
+            found[row["name"].removesuffix("_metadata")] = {"row_count": first["n"] if first else None}
+    return found
 
 
 def _typed(df: DataFrame, values: dict, schema: str) -> DataFrame:
@@ -135,7 +154,7 @@ def write_cleanup_log(spark: SparkSession, log: RunLog, root: str, started: date
 
 def read_cleanup_logs(spark: SparkSession, folder: str) -> DataFrame:
     """All clean-up logs below ``folder`` as one row per log entry."""
-    lines = spark.read.option("recursiveFileLookup", True).text(folder)
+    lines = spark.read.option("recursiveFileLookup", True).text(literal(folder))
     documents = lines.select(F.from_json("value", CLEANUP_LOG).alias("d")).select("d.*")
     return documents.select(
         "cleanup_timestamp",

@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 
 from snapvault.functions.naming import snapshot_name, wall_clock, wall_clock_lit
 from snapvault.lakehouse import Lakehouse
-from snapvault.operators.audit import MANIFEST, RunLog, manifest, read_items
+from snapvault.operators.audit import MANIFEST, RunLog, append_logs, manifest, read_items
 from snapvault.operators.filecopy import copy_files
 from snapvault.operators.items import file_items, items_frame, now
-from snapvault.operators.tables import copy_tables, message
+from snapvault.operators.tables import copy_tables, failed_table, message
 from snapvault.operators.verify import verify_snapshot
 from snapvault.plans.verify import verdict
 from snapvault.session import configure
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, walk
-from snapvault.sources.tables import literal
+from snapvault.sources.tables import discover_tables, literal
 
 
 @dataclass(frozen=True)
@@ -49,13 +49,15 @@ def name_of(spark: SparkSession, source: Source, at: datetime) -> str:
     return spark.sql("SELECT 1").select(name).head()[0]
 
 
-def _table_paths(spark: SparkSession, lakehouse: Lakehouse) -> dict[str, str]:
-    """Names and paths of the tables (one small row per table)."""
+def _table_paths(spark: SparkSession, lakehouse: Lakehouse) -> tuple[dict[str, str], list[dict]]:
+    """Names and paths of the tables (one small row per table), and records of those that cannot be read."""
     if not Folders(spark).exists(lakehouse.tables):
-        return {}
-    rows = child_directories(spark, lakehouse.tables, include_hidden=True).where("NOT startswith(name, '_')")
-    names = sorted(r["name"] for r in rows.where("NOT startswith(name, '.')").collect())
-    return {name: f"{lakehouse.tables}/{name}" for name in names}
+        return {}, []
+    found = child_directories(spark, lakehouse.tables)
+    inside = F.concat("path", F.lit("/")).alias("path")
+    names = sorted(r["name"] for r in discover_tables(found.where("error IS NULL").select(inside), lakehouse.tables).collect())
+    unread = [failed_table(r["name"], r["error"], source_path=r["path"]) for r in found.where("error IS NOT NULL").collect()]
+    return {name: f"{lakehouse.tables}/{name}" for name in names}, unread
 
 
 def _copy_files(spark: SparkSession, source_root: str, target_root: str, started: datetime) -> DataFrame:
@@ -106,8 +108,8 @@ def snapshot(
 
     records = []
     if tables:
-        paths = table_paths if table_paths is not None else _table_paths(spark, source.lakehouse)
-        records = copy_tables(spark, paths, f"{path}/tables", source_fmt, fmt, width=width)
+        paths, unread = (table_paths, []) if table_paths is not None else _table_paths(spark, source.lakehouse)
+        records = unread + copy_tables(spark, paths, f"{path}/tables", source_fmt, fmt, width=width)
         for row in records:
             level = "INFO" if row["status"] == "success" else "ERROR"
             log.add(f"table {row['name']}: {row['status']} {row['error'] or row['row_count']}", level)
@@ -121,6 +123,7 @@ def snapshot(
         passed = verdict(*verify_snapshot(spark, path, verify == "content", fmt, width)).head()["overall_success"]
         log.add(f"verification by {verify}: {'passed' if passed else 'FAILED'}", "INFO" if passed else "ERROR")
     log.write(spark, f"{path}/_logs")
+    append_logs(log.frame(spark), f"{backup_root.rstrip('/')}/_run_logs", name)
     about = {
         "backup_folder_name": name,
         "backup_timestamp": wall_clock(at).replace(tzinfo=timezone.utc),
@@ -129,6 +132,8 @@ def snapshot(
         "backup_root": backup_root,
         "verification_passed": passed,
     }
+    if passed is False:
+        about["status"] = "failed"
     manifest(read_items(spark, path), started, **about).write.parquet(f"{path}/_manifest")
     return SnapshotRun(path, read_items(spark, path), spark.read.schema(MANIFEST).parquet(f"{literal(path)}/_manifest"))
 

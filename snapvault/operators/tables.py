@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapvault.functions.fingerprint import checksum_aggregates, row_hash
 from snapvault.operators.items import in_parallel, item, now
+from snapvault.plans.verify import MISMATCH
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.tables import replace_table, scan_exact, write_table
 
@@ -15,6 +19,9 @@ PROFILE = (
 )
 
 
+CHECKSUM = ("row_count", "hash_sum", "hash_xor")
+
+
 def message(error: BaseException) -> str:
     lines = str(error).strip().splitlines()
     return f"{type(error).__name__}: {lines[0] if lines else ''}"
@@ -49,17 +56,29 @@ def store_table(
     fmt: str = "parquet",
     partition_by: list[str] | tuple = (),
     overwrite: bool = False,
+    expected: dict | None = None,
     **record,
 ) -> dict:
-    """Write a table and return its item record. Count, checksum and copy are one scan."""
+    """Write a table and return its item record. Count, checksum and copy are one scan.
+
+    ``expected`` is the count and checksum that the rows must have, as far as they are known; others fail the table, and a table that stands at the
+    target stays.
+    """
     started, folders = now(), Folders(spark)
     existed = folders.exists(target_path)
     try:
         passing, seen = observed(df)
+
+        def check():
+            found = seen.get
+            if any(found[k] != v for k, v in (expected or {}).items()):
+                raise ValueError(f"{MISMATCH}: {found['row_count']}, recorded {expected['row_count']}")
+
         if overwrite:
-            replace_table(spark, passing, target_path, fmt, partition_by)
+            replace_table(spark, passing, target_path, fmt, partition_by, check)
         else:
             write_table(passing, target_path, fmt, "errorifexists", partition_by)
+            check()
         return item(
             "table",
             name,
@@ -93,18 +112,27 @@ def copy_table(
     source_fmt: str = "parquet",
     fmt: str = "parquet",
     overwrite: bool = False,
+    recorded: dict | None = None,
 ) -> dict:
-    """Copy one table, partitions included, and return its item record."""
+    """Copy one table, partitions included, and return its item record.
+
+    ``recorded`` is the item record of the run that wrote the source: its schema is taken from there, and rows that are
+    not those of the record are never put in a table's place.
+    """
     record = {"method": "read_write", "source_path": source_path}
     try:
         folders = Folders(spark)
         source, target = folders.qualified(source_path), folders.qualified(target_path)
         if f"{source}/".startswith(f"{target}/") or f"{target}/".startswith(f"{source}/"):
             raise ValueError("source and target are the same folder, or one lies in the other")
-        df, parts = scan_exact(spark, source_path, source_fmt)
+        known, about = None, recorded or {}
+        if about.get("schema_json"):
+            known = T.StructType.fromJson(json.loads(about["schema_json"])), about["partition_columns"] or []
+        expected = {k: about[k] for k in CHECKSUM if about.get(k) is not None}
+        df, parts = scan_exact(spark, source_path, source_fmt, known)
     except Exception as error:
         return failed_table(name, error, target_path=target_path, started_at=now(), **record)
-    return store_table(spark, name, df, target_path, fmt, parts, overwrite, **record)
+    return store_table(spark, name, df, target_path, fmt, parts, overwrite, expected, **record)
 
 
 def copy_tables(
@@ -115,7 +143,11 @@ def copy_tables(
     fmt: str = "parquet",
     overwrite: bool = False,
     width: int = 8,
+    recorded: dict[str, dict] | None = None,
 ) -> list[dict]:
     """Copy every table to ``<target_root>/<name>``; one failure does not stop the rest."""
-    one = lambda pair: copy_table(spark, pair[0], pair[1], f"{target_root}/{pair[0]}", source_fmt, fmt, overwrite)
+    records = recorded or {}
+    one = lambda pair: copy_table(
+        spark, pair[0], pair[1], f"{target_root}/{pair[0]}", source_fmt, fmt, overwrite, records.get(pair[0])
+    )
     return in_parallel(spark, one, list(paths.items()), width)

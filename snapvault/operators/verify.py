@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapvault.functions.fingerprint import checksum
 from snapvault.operators.audit import read_items
 from snapvault.operators.items import in_parallel
 from snapvault.operators.tables import message
-from snapvault.plans.verify import compare_checksums, compare_rows, same_columns, verify_files
+from snapvault.plans.verify import compare_checksums, compare_rows, same_columns, verify_counts, verify_files
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import only_files, walk
 from snapvault.sources.tables import scan_exact
@@ -18,7 +21,6 @@ CONTENT = (
     "name string, verified boolean, data_matches boolean, expected_rows bigint, actual_rows bigint, "
     "missing_rows bigint, extra_rows bigint, error string"
 )
-TABLES = "name string, verified boolean, data_matches boolean, expected_rows bigint, actual_rows bigint, error string"
 
 
 def verify_content(
@@ -58,27 +60,27 @@ def verify_tables(
 
     The row count of a Parquet table comes from its footers; ``content`` reads it once.
     """
-    rows = items.where("kind = 'table' AND status = 'success'").collect()
+    rows = items.where("kind = 'table' AND status = 'success'").collect()  # one small row per table
 
     def one(row):
         try:
-            df, _ = scan_exact(spark, row["target_path"], fmt)
-            if content:
-                found = checksum(df).head()
-                count = found["row_count"]
-                matches = (count, found["hash_sum"], found["hash_xor"]) == (
-                    row["row_count"],
-                    row["hash_sum"],
-                    row["hash_xor"],
-                )
-            else:
-                count = df.count()
-                matches = count == row["row_count"]
-            return (row["name"], True, matches, row["row_count"], count, None)
+            known = T.StructType.fromJson(json.loads(row["schema_json"])), row["partition_columns"] or []
+            df, _ = scan_exact(spark, row["target_path"], fmt, known)
+            if not content:
+                return (row["name"], df.count(), None, None)
+            found = checksum(df).head()
+            same = (found["hash_sum"], found["hash_xor"]) == (row["hash_sum"], row["hash_xor"])
+            return (row["name"], found["row_count"], same, None)
         except Exception as error:
-            return (row["name"], False, False, row["row_count"], None, message(error))
-
-    return spark.createDataFrame(in_parallel(spark, one, rows, width), TABLES)
+            return (row["name"], None, None, message(error))
+
+    expected = spark.createDataFrame([(r["name"], r["row_count"]) for r in rows], "name string, row_count bigint")
+    found = "name string, row_count bigint, same boolean, error string"
+    actual = spark.createDataFrame(in_parallel(spark, one, rows, width), found)
+    checked = verify_counts(expected, actual).join(actual.select("name", "same", "error"), "name")
+    return checked.withColumn("data_matches", F.col("data_matches") & F.coalesce("same", F.lit(True))).select(
+        "name", "verified", "data_matches", "expected_rows", "actual_rows", "error"
+    )
 
 
 def verify_copied_files(spark: SparkSession, items: DataFrame, root: str, rows_table: DataFrame | None = None) -> DataFrame:

@@ -10,18 +10,16 @@ from snapvault.functions.files import matches_any
 # Folders that may hold an archive in a binary column.
 ARCHIVE_TABLES = ("complete_backup_zip_data", "files_backup_zip_data", "lakehouse_complete_backup_zip_data")
 
-NAME_LIST_BROADCAST = 100_000
-
 
 def detect_layout(inventory: DataFrame, snapshot: Column) -> DataFrame:
-    """Layout of each snapshot from its entries (``relative_path`` inside the snapshot).
+    """Layout of each snapshot from its entries (``relative_path`` inside the snapshot, folders with a slash at the end).
 
-    ``direct_copy`` when ``tables/`` holds anything that is not hidden, then ``zip_file`` for an
-    archive at the top, then ``zip_in_table``, else ``unknown``. Works from file rows alone.
+    ``direct_copy`` when ``tables/`` holds a folder that is not hidden, or the snapshot has item records; then ``zip_file``
+    for an archive at the top, then ``zip_in_table``, else ``unknown``. The paths of files alone do as well.
     """
     path = F.col("relative_path")
     top = ~path.contains("/")
-    in_tables = path.rlike(r"\Atables/[^_/][^/]*/.")
+    in_tables = path.rlike(r"\Atables/[^_/][^/]*/") | path.startswith("_items/")
     archive = top & path.endswith(".zip")
     in_table = F.substring_index(path, "/", 1).isin(*ARCHIVE_TABLES) & ~top
     manifest = path.startswith("_manifest/")
@@ -45,8 +43,6 @@ def select_names(items: DataFrame, names: list[str] | None, column: str = "name"
     if not names:
         return items
     wanted = items.sparkSession.createDataFrame([(n,) for n in dict.fromkeys(names)], f"{column} string")
-    if len(names) <= NAME_LIST_BROADCAST:
-        wanted = F.broadcast(wanted)
     return items.join(wanted, column, "left_semi")
 
 
@@ -55,10 +51,9 @@ def select_files(files: DataFrame, patterns: list[str] | None) -> DataFrame:
     return files.where(matches_any(F.col("relative_path"), patterns)) if patterns else files
 
 
-def snapshot_tables(names: DataFrame, has_items: bool = False) -> DataFrame:
-    """Folders of a snapshot that are tables. Without item records ``*_metadata`` are side-cars."""
-    kept = names.where(~F.col("name").startswith("_"))
-    return kept if has_items else kept.where(~F.col("name").endswith("_metadata"))
+def snapshot_tables(names: DataFrame) -> DataFrame:
+    """Folders of a snapshot without item records that are tables; ``*_metadata`` are side-cars."""
+    return names.where(~F.col("name").startswith("_") & ~F.col("name").endswith("_metadata"))
 
 
 def restore_plan(source: DataFrame, target: DataFrame, overwrite: bool, key: str = "name") -> DataFrame:
@@ -75,6 +70,15 @@ def files_to_restore(source: DataFrame, target: DataFrame, overwrite: bool) -> D
     return source.join(target.select("relative_path"), "relative_path", "left_anti")
 
 
+def below_unread(files: DataFrame, unread: DataFrame) -> DataFrame:
+    """Files in or below a folder (``relative_path``, empty for the root) that could not be listed, with its ``error``."""
+    parts = F.split("relative_path", "/")
+    above = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    faults = unread.groupBy(F.col("relative_path").alias("folder")).agg(F.min("error").alias("error"))
+    met = files.select("relative_path", F.explode(above).alias("folder")).join(faults, "folder")
+    return met.groupBy("relative_path").agg(F.min("error").alias("error"))
+
+
 def archive_format(preference: str, has_parquet: Column, has_csv: Column) -> Column:
     """Format to restore a table from; falls back only to a format that is there, else ``none``."""
     order = {"csv": ("csv", "parquet")}.get(preference, ("parquet", "csv"))

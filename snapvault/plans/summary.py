@@ -44,7 +44,8 @@ def snapshot_counts(items: DataFrame, *by: str, profiles: bool = False) -> DataF
     """
     table, file = F.col("kind") == "table", F.col("kind") == "file"
     done, failed = F.col("status") == "success", F.col("status") == "failed"
-    listed = F.sort_array(F.collect_list(F.when(table, F.struct("name", "row_count", "column_count"))))
+    about = ("name", "row_count", "column_count", "columns", "schema_json", "error")
+    listed = F.sort_array(F.collect_list(F.when(table, F.struct(*about)))) if profiles else None
     counts = items.groupBy(*by).agg(
         F.count_if(table).alias("tables_discovered"),
         F.count_if(file).alias("files_discovered"),
@@ -83,6 +84,6 @@ def without_debug(logs: DataFrame) -> DataFrame:
 
 
 def log_rollup(logs: DataFrame) -> DataFrame:
-    """Log lines per day and level; DEBUG is left out."""
-    day = F.to_date(F.substring("timestamp", 1, 10)) if dict(logs.dtypes)["timestamp"] == "string" else F.to_date("timestamp")
+    """Log lines per day and level; DEBUG is left out. Lines that have a ``day`` are counted by it."""
+    day = F.col("day") if "day" in logs.columns else F.to_date("timestamp")
     return without_debug(logs).groupBy(day.alias("day"), "level").agg(F.count(F.lit(1)).alias("n"))

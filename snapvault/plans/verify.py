@@ -8,14 +8,16 @@ from pyspark.sql import types as T
 
 from snapvault.functions.fingerprint import checksum, named
 
+MISMATCH = "rows are not those recorded"
+
 
 def verify_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Row counts side by side (``name``, ``row_count`` on both sides).
 
     A table is verified when both sides could be counted; only then can the data match.
     """
-    left = expected.select("name", F.col("row_count").alias("expected_rows"), F.lit(True).alias("l"))
-    right = actual.select("name", F.col("row_count").alias("actual_rows"), F.lit(True).alias("r"))
+    left = expected.select("name", F.col("row_count").alias("expected_rows"))
+    right = actual.select("name", F.col("row_count").alias("actual_rows"))
     verified = F.col("expected_rows").isNotNull() & F.col("actual_rows").isNotNull()
     return left.join(right, "name", "full_outer").select(
         "name",
@@ -30,17 +32,19 @@ def verify_against_record(items: DataFrame, recorded: DataFrame) -> DataFrame:
     """Tables just written against the records of an earlier run: same count and same checksum.
 
     Both were taken while rows passed by, so this finds a snapshot that has changed since it was
-    taken without reading anything again.
+    taken without reading anything again. A table that was refused because of its rows does not match; one that could
+    not be read is a failed item, and not judged here.
     """
-    ours = items.where("kind = 'table' AND status = 'success'")
+    refused = (F.col("status") == "failed") & F.coalesce(F.contains("error", F.lit(MISMATCH)), F.lit(False))
+    ours = items.where((F.col("kind") == "table") & ((F.col("status") == "success") | refused))
     before = recorded.where("kind = 'table' AND status = 'success'").select(
         "name", F.struct("row_count", "hash_sum", "hash_xor").alias("record")
     )
     now = F.struct("row_count", "hash_sum", "hash_xor")
     return ours.join(before, "name").select(
         "name",
-        F.lit(True).alias("verified"),
-        (now == F.col("record")).alias("data_matches"),
+        (F.col("status") == "success").alias("verified"),
+        ((F.col("status") == "success") & now.eqNullSafe(F.col("record"))).alias("data_matches"),
         F.col("record.row_count").alias("expected_rows"),
         F.col("row_count").alias("actual_rows"),
     )

@@ -27,7 +27,17 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert (code, result["tables_restored"], result["files_restored"]) == (0, 1, 1)
     os.remove(f"{path}/files/a.csv")
     assert run("verify", "--snapshot", path)[0] == 1
+    code, result = run("restore", "--backup-root", backups, "--source", "x_y", "--as-of", "2025-01-01", "--target", target)
+    assert code == 1 and "no finished snapshot" in result["error"]
+    spark.range(4).write.mode("overwrite").parquet(f"{path}/tables/one")
+    code, result = run("restore", "--backup-root", backups, "--source", "x_y", "--target", target, "--no-files")
+    assert (code, result["status"]) == (1, "failed") and spark.read.parquet(f"{target}/Tables/one").count() == 5
+    code, result = run("profile", "--source", lake)
+    assert code == 0 and result["tables"][0]["row_count"] == 5 and {r["type"] for r in result["files"]} == {"data", "text"}
+    logged = spark.read.parquet(f"{backups}/_run_logs")
+    assert logged.where("run = 'x_y_backup_2025-01-02_03-04-05'").count() >= 2
     code, result = run("cleanup", "--backup-root", backups, "--as-of", "2025-03-01")
+    assert [r["name"] for r in result["to_delete"]] == [os.path.basename(path)] and result["newest_kept"] == []
     assert (result["dry_run"], result["expired_backups"], result["deleted_backups"]) == (True, 1, 0)
     code, result = run("cleanup", "--backup-root", backups, "--as-of", "2025-03-01", "--delete")
     assert code == 0 and result["deleted_backups"] == 1 and not os.path.exists(path)

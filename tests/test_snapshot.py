@@ -73,7 +73,7 @@ def test_round_trip_of_a_whole_lakehouse(spark, lake, tmp_path):
     for table in ("types", "plain", "plain_metadata", "none", "parts", "grown"):
         assert same(spark, f"{lake.tables}/{table}", f"{target.tables}/{table}"), table
     assert not os.path.exists(f"{target.tables}/no_table")
-    restored = {k: v for k, v in tree_of(target.files).items() if not k.startswith("_restore_")}
+    restored = {k: v for k, v in tree_of(target.files).items() if not k.startswith(("_restore_", "_run_logs"))}
     assert restored == {"a.csv": b"1", "empty": b"", "s/b c%20.txt": b"2"}
     assert tree_of(lake.root) == before
     assert not [n for n in os.listdir(target.files) + os.listdir(target.tables) if n.startswith(".staging")]
@@ -232,7 +232,7 @@ def test_log_table_of_all_runs_by_day(spark, tmp_path):
     rows = [("2025-01-01 00:00:00", "INFO", "a"), ("2025-01-01 23:59:59", "DEBUG", "b"), ("2025-01-02 00:00:00", "ERROR", "c")]
     logs = spark.createDataFrame(rows, "timestamp string, level string, message string")
     for _ in range(2):
-        append_logs(logs, str(tmp_path / "log"))
+        append_logs(logs, str(tmp_path / "log"), "run")
     back = spark.read.parquet(str(tmp_path / "log"))
     got = {(str(r["day"]), r["level"], r["n"]) for r in log_rollup(back).collect()}
     assert got == {("2025-01-01", "INFO", 2), ("2025-01-02", "ERROR", 2)}
@@ -262,3 +262,24 @@ def test_times_are_utc_wherever_the_driver_is(spark, lake, tmp_path):
     assert run.manifest.selectExpr("string(backup_timestamp)").head()[0] == "2025-11-10 09:30:15"
     with pytest.raises(ValueError):
         snapshot(spark, Source(lake, "a/b", "w"), str(tmp_path / "b"), AT)
+
+
+def test_tables_that_cannot_be_listed_end_the_snapshot(spark, tmp_path):
+    write_tree(tmp_path / "lake", {"Tables": "a file in the folder's place"})
+    with pytest.raises(OSError, match="cannot be listed"):
+        snapshot(spark, Source(Lakehouse(str(tmp_path / "lake")), "l", "w"), str(tmp_path / "b"), AT)
+
+
+def test_linked_folders_are_failures(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    spark.range(2).write.parquet(f"{lake}/Tables/one")
+    write_tree(lake, {"Files/a": "a"})
+    os.makedirs(tmp_path / "else")
+    os.symlink(tmp_path / "else", f"{lake}/Files/linked")
+    os.symlink(tmp_path / "else", f"{lake}/Tables/elsewhere")
+    run = snapshot(spark, Source(Lakehouse(lake), "l", "w"), str(tmp_path / "b"), AT)
+    got = {(r["kind"], r["name"], r["status"]) for r in run.items.collect()}
+    assert got == {("table", "one", "success"), ("table", "elsewhere", "failed"), ("file", "a", "success"), ("file", "linked", "failed")}
+    assert run.manifest.head()["status"] == "partial"
+    info = {r["name"]: r for r in run.manifest.head()["tables_info"]}
+    assert info["elsewhere"]["error"] and info["one"]["columns"] == ["id"]
