@@ -14,6 +14,7 @@ import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,33 +26,78 @@ from snapvault.session import settled
 
 CAPACITY = 4096
 END_ID = 1
-MEMO = 1 << 20  # distinct words whose ids a task remembers
+MEMO = 400_000  # distinct words whose ids a worker remembers
+_MARKS = b".,;:!?#$%&*|"
 
 
 class WordIds:
     """Token ids of a text as little-endian bytes. Space and line breaks part words for the tokenizer, so a word has the same
-    ids wherever it stands, and each distinct one is tokenized once."""
+    ids wherever it stands, and each distinct one is tokenized once.
+
+    Most words are a run of letters and some punctuation, which the tokenizer parts from each other, and it lower-cases. For
+    words whose letters are below U+0100, where that is beyond doubt, only the lower-case letters are tokenized, many in
+    one line: their last token is one that ends a word.
+    """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._letters: dict[str, bytes] = {}
         self._known: dict[bytes, bytes] = {}
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self._known) > MEMO:
-            self._known = {}
-        new = list({w for words in texts for w in words if w not in self._known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, found in zip(part, self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self._known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        known, letters = self._known, self._letters
+        if len(known) > MEMO:
+            known.clear()
+        if len(letters) > MEMO:
+            letters.clear()
+        new = {w for words in texts for w in words if w not in known}
+        parts, whole, runs = [], [], set()
+        for word in new:
+            run = word.rstrip(_MARKS)
+            text = run.decode()
+            if text.isalpha() and max(text) <= "\xff":
+                text = text.lower()
+                parts.append((word, text, word[len(run) :]))
+                if text not in letters:
+                    runs.add(text)
+            else:
+                whole.append(word)
+        whole += {marks for _, _, marks in parts if marks and marks not in known}
+        known.update(zip(whole, self._encode([w.decode() for w in whole])))
+        self._learn_letters(sorted(runs))
+        for word, text, marks in parts:
+            known[word] = letters[text] + known[marks] if marks else letters[text]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+
+    def _learn_letters(self, runs: list[str]) -> None:
+        lines = [runs[i : i + 200] for i in range(0, len(runs), 200)]
+        for line, ids in zip(lines, self._encode([" ".join(line) for line in lines])):
+            stops = (4 * (np.flatnonzero(self._ends[np.frombuffer(ids, "<u4")]) + 1)).tolist()
+            if len(stops) == len(line):
+                own = [ids[a:b] for a, b in zip([0, *stops], stops)]
+            else:  # a vocabulary without marks of word ends
+                own = self._encode(line)
+            self._letters.update(zip(line, own))
 
     def ids(self, words: list[bytes]) -> bytes:
         known = self._known
         return b"".join([known[w] for w in words])
 
 
+@lru_cache(maxsize=2)
+def _word_ids(tokenizer_file: str) -> WordIds:
+    """One for all tasks that a Python worker runs."""
+    return WordIds(tokenizer_file)
+
+
 def pieces(
     docs: DataFrame, tokenizer_file: str, *, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID
 ) -> DataFrame:
@@ -67,13 +113,13 @@ def pieces(
     def run(batches):
         from pyspark import TaskContext
 
-        words_of = WordIds(tokenizer_file)
+        words_of = _word_ids(tokenizer_file)
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             rows = []
-            for low in range(0, len(texts), 512):
-                split = [t.split() if t else [] for t in texts[low : low + 512]]
+            for low in range(0, len(texts), 256):
+                split = [t.split() if t else [] for t in texts[low : low + 256]]
                 words_of.learn(split)
                 for i, words in enumerate(split, low):
                     ids = words_of.ids(words) + end

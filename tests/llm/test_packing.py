@@ -82,3 +82,16 @@ def test_plan_places_every_rank_once(kind):
     assert len(filled) <= 1.02 * max(-(-sum(order) // 1000), sum(x > 500 for x in order), sum(x == 334 for x in order) / 2) + 2
     more = packing.Plan({k: v * 1000 for k, v in counts.items()}, capacity=1000, groups=512)
     assert len(more.rows) < 50 * (len(plan.rows) + 1000)
+
+
+def test_ids_of_words_are_those_of_the_whole_text():
+    texts = [
+        "It's DON'T we'll I'd 'tis '' a.b,c; x!!! ...y z%$# |pipe* Élan ÀÖØ ß µ ª ÿ Ÿ İstanbul ſ ﬁ café é. naïve, ÷× a÷b",
+        "日本語。 русский, слово! ١٢٣ 12ab a1b2 ½ ² x² ⅷ nb sp \x1c\x1d \x85   <|endoftext|> <|startoftext|>x ­ soft­hyphen",
+        "\tA\r\nb\x0bC\x0cd", "ὈΔΥΣΣΕΎΣ Σ σς ŠČ Ǆ", "🙂🙂. a🙂b 👩‍👩‍👧", "a" * 3000, ".,;:!?#$%&*|", "word.,;: word", "x́ ́y",
+    ]
+    plain, words = tokenizer(), packing.WordIds(packing.tokenizer_path())
+    split = [t.encode().split() for t in texts]
+    words.learn(split)
+    for text, own in zip(texts, split):
+        assert np.frombuffer(words.ids(own), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
