@@ -1,0 +1,84 @@
+import sys
+
+import corpus_pipeline
+from helpers import SCHEMA, SF, awkward_rows, table
+from test_decontam import brute as contaminated
+from test_packing import check
+from test_secrets import brute as secrets_of
+from test_simhash import expected as near_groups
+
+from snapvault.session import settled
+
+
+def stages(spark, docs, sf_dir):
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = settled(stage(spark, docs, sf_dir), name)
+        out.append(docs)
+    return out
+
+
+def redacted(text):
+    parts, at = [], 0
+    for _, a, b in sorted(secrets_of(text), key=lambda s: s[1]):
+        if a >= at:
+            parts += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join(parts) + text[at:]
+
+
+def follows(rows, benchmark, found):
+    """Each stage's rows from the rows of the stage before, by brute force."""
+    have = [tuple(r) for r in rows]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    by = lambda df: sorted((tuple(r) for r in df.select(names).collect()), key=repr)
+    have = sorted((r for r in have if any(map(str.isalpha, r[1] or ""))), key=repr)
+    assert by(found[0]) == have
+    groups = near_groups([r[:2] for r in have])
+    firsts = {d for d, _, c in groups if d == c and d != "None"}
+    have = [r for r in have if repr(r[0]) in firsts]
+    assert by(found[1]) == have
+    dirty = {r[0] for r in contaminated([r[:2] for r in have], benchmark) if r[5]}
+    have = [r for r in have if r[0] not in dirty]
+    assert by(found[2]) == have
+    after = []
+    for r in have:
+        text = redacted(r[1])
+        after.append((r[0], text, r[2], r[3], len(text) if text != r[1] else r[4]))
+    assert by(found[3]) == sorted(after, key=repr)
+    check([r[:2] for r in after], found[4].select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset").collect())
+    return len(after)
+
+
+def test_stages_in_order():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language_id", "simhash_near_dedup", "benchmark_decontamination", "secret_scan", "best_fit_packing",
+    ]
+
+
+def test_all_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [tuple(r[c] for c in ("doc_id", "text", "lang", "source", "n_chars")) for r in table("documents")]
+    items = [(r["item_id"], r["text"]) for r in table("benchmark")]
+    found = stages(spark, docs, SF)
+    assert follows(rows, items, found) > 100
+    told = sorted(map(tuple, corpus_pipeline.run(spark, SF).drop("sequence_id", "offset").collect()))
+    assert told == sorted(map(tuple, found[-1].drop("sequence_id", "offset").collect()))
+
+
+def test_awkward_documents(spark):
+    rows = [*awkward_rows(), (70, "my token=abcdef012345 is here", "en", "s", 5), (71, "AKIA" + "A" * 20 + " password=AKIA" + "B" * 30, "en", None, None)]
+    rows = [r for r in rows if r[0] is not None and not (r[0] == 0 and r[1] == "repeated key")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    items = [(r["item_id"], r["text"]) for r in table("benchmark")]
+    follows(rows, items, stages(spark, docs, SF))
+    empty = stages(spark, docs.limit(0), SF)
+    assert [df.count() for df in empty] == [0] * 5 and empty[3].columns == docs.columns
+
+
+def test_the_entry_module_has_all_queries():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert sys.modules["snapvault.llm"] is not None
