@@ -36,7 +36,7 @@ from snapvault.plans.restore import (
     snapshot_tables,
 )
 from snapvault.plans.retention import newest_as_of
-from snapvault.plans.verify import verdict, verify_against_record
+from snapvault.plans.verify import refused_tables, verdict
 from snapvault.session import configure, settled
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, top_level, walk
@@ -236,9 +236,7 @@ def restore(
             kept = kept_files(scan_table(spark, rows_table).where(F.col("run_id") == stamp))
         table_checks = verify_tables(spark, items, verify == "content", fmt, width)
         file_checks = verify_copied_files(spark, items, target.files, kept)
-        if layout == "direct_copy" and folders.exists(f"{snapshot}/_items"):
-            against_record = verify_against_record(items, read_items(spark, snapshot))
-            table_checks = table_checks.drop("error").unionByName(against_record)
+        table_checks = table_checks.drop("error").unionByName(refused_tables(items))
         passed = verdict(table_checks, file_checks).head()["overall_success"]
         log.add(f"verification by {verify}: {'passed' if passed else 'FAILED'}", "INFO" if passed else "ERROR")
     log.write(spark, f"{target.files}/_restore_logs_{stamp}")

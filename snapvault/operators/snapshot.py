@@ -46,7 +46,7 @@ def name_of(spark: SparkSession, source: Source, at: datetime) -> str:
             raise ValueError(f"a name must not contain a slash: {value}")
     names = F.lit(source.lakehouse_name.strip()), F.lit(source.workspace_name.strip())
     name = snapshot_name(*names, wall_clock_lit(at))
-    return spark.sql("SELECT 1").select(name).head()[0]
+    return spark.sql("VALUES (1)").select(name).head()[0]
 
 
 def _table_paths(spark: SparkSession, lakehouse: Lakehouse) -> tuple[dict[str, str], list[dict]]:

@@ -12,7 +12,7 @@ from snapvault.functions.fingerprint import checksum
 from snapvault.operators.audit import read_items
 from snapvault.operators.items import in_parallel
 from snapvault.operators.tables import message
-from snapvault.plans.verify import compare_checksums, compare_rows, same_columns, verify_counts, verify_files
+from snapvault.plans.verify import compare_checksums, compare_rows, counts_checked, same_columns, verify_files
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import only_files, walk
 from snapvault.sources.tables import scan_exact
@@ -74,17 +74,20 @@ def verify_tables(
         except Exception as error:
             return (row["name"], None, None, message(error))
 
-    expected = spark.createDataFrame([(r["name"], r["row_count"]) for r in rows], "name string, row_count bigint")
-    found = "name string, row_count bigint, same boolean, error string"
-    actual = spark.createDataFrame(in_parallel(spark, one, rows, width), found)
-    checked = verify_counts(expected, actual).join(actual.select("name", "same", "error"), "name")
+    found = [(*f, r["row_count"]) for f, r in zip(in_parallel(spark, one, rows, width), rows)]
+    columns = "name string, actual_rows bigint, same boolean, error string, expected_rows bigint"
+    checked = counts_checked(spark.createDataFrame(found, columns))
     return checked.withColumn("data_matches", F.col("data_matches") & F.coalesce("same", F.lit(True))).select(
         "name", "verified", "data_matches", "expected_rows", "actual_rows", "error"
     )
 
 
-def verify_copied_files(spark: SparkSession, items: DataFrame, root: str, rows_table: DataFrame | None = None) -> DataFrame:
-    """Files that a run copied against what is below ``root`` now."""
+def verify_copied_files(
+    spark: SparkSession, items: DataFrame, root: str, rows_table: DataFrame | None = None
+) -> DataFrame | None:
+    """Files that a run copied against what is below ``root`` now; None if it copied none."""
+    if items.where("kind = 'file' AND status = 'success'").isEmpty():
+        return None
     done = items.where("kind = 'file' AND status = 'success'")
     expected = done.select(F.col("name").alias("relative_path"), F.col("size_bytes").alias("size"))
     if Folders(spark).exists(root):
@@ -96,7 +99,7 @@ def verify_copied_files(spark: SparkSession, items: DataFrame, root: str, rows_t
 
 def verify_snapshot(
     spark: SparkSession, snapshot: str, content: bool = True, fmt: str = "parquet", width: int = 8
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Table checks and file checks of a snapshot against its own item records."""
     items = read_items(spark, snapshot)
     # The records name the folder written to at the time; the snapshot may have been moved since.

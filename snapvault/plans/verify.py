@@ -11,43 +11,30 @@ from snapvault.functions.fingerprint import checksum, named
 MISMATCH = "rows are not those recorded"
 
 
-def verify_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Row counts side by side (``name``, ``row_count`` on both sides).
+def counts_checked(both: DataFrame) -> DataFrame:
+    """Adds ``verified`` and ``data_matches`` to ``expected_rows`` and ``actual_rows``.
 
     A table is verified when both sides could be counted; only then can the data match.
     """
-    left = expected.select("name", F.col("row_count").alias("expected_rows"))
-    right = actual.select("name", F.col("row_count").alias("actual_rows"))
     verified = F.col("expected_rows").isNotNull() & F.col("actual_rows").isNotNull()
-    return left.join(right, "name", "full_outer").select(
-        "name",
-        verified.alias("verified"),
-        (verified & F.col("expected_rows").eqNullSafe(F.col("actual_rows"))).alias("data_matches"),
-        "expected_rows",
-        "actual_rows",
+    return both.withColumns(
+        {"verified": verified, "data_matches": verified & F.col("expected_rows").eqNullSafe(F.col("actual_rows"))}
     )
 
 
-def verify_against_record(items: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Tables just written against the records of an earlier run: same count and same checksum.
+def verify_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Row counts side by side (``name``, ``row_count`` on both sides)."""
+    left = expected.select("name", F.col("row_count").alias("expected_rows"))
+    right = actual.select("name", F.col("row_count").alias("actual_rows"))
+    both = counts_checked(left.join(right, "name", "full_outer"))
+    return both.select("name", "verified", "data_matches", "expected_rows", "actual_rows")
+
 
-    Both were taken while rows passed by, so this finds a snapshot that has changed since it was
-    taken without reading anything again. A table that was refused because of its rows does not match; one that could
-    not be read is a failed item, and not judged here.
-    """
-    refused = (F.col("status") == "failed") & F.coalesce(F.contains("error", F.lit(MISMATCH)), F.lit(False))
-    ours = items.where((F.col("kind") == "table") & ((F.col("status") == "success") | refused))
-    before = recorded.where("kind = 'table' AND status = 'success'").select(
-        "name", F.struct("row_count", "hash_sum", "hash_xor").alias("record")
-    )
-    now = F.struct("row_count", "hash_sum", "hash_xor")
-    return ours.join(before, "name").select(
-        "name",
-        (F.col("status") == "success").alias("verified"),
-        ((F.col("status") == "success") & now.eqNullSafe(F.col("record"))).alias("data_matches"),
-        F.col("record.row_count").alias("expected_rows"),
-        F.col("row_count").alias("actual_rows"),
-    )
+def refused_tables(items: DataFrame) -> DataFrame:
+    """Tables that were not put in place because their rows are not those on the record, as failed checks."""
+    refused = (F.col("kind") == "table") & (F.col("status") == "failed") & F.contains("error", F.lit(MISMATCH))
+    rows = items.where(refused).select("name", F.lit(None).cast("bigint").alias("expected_rows"), F.lit(None).cast("bigint").alias("actual_rows"))
+    return counts_checked(rows).select("name", "verified", "data_matches", "expected_rows", "actual_rows")
 
 
 def verify_files(source: DataFrame, target: DataFrame, kept_as_rows: DataFrame | None = None) -> DataFrame:
