@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +20,11 @@ WORDS = bytes(
 )
 
 
+def worker_cache() -> dict:
+    """Lives as long as the Python worker, whatever way this code came to it."""
+    return vars(sys.modules.setdefault("_snapvault_worker", types.ModuleType("_snapvault_worker")))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -51,7 +58,7 @@ def map_texts(
 
     def run(batches):
         work = make()
-        for batch in batches:
+        for batch in slices(batches):
             found = work(batch.column(len(kept)).to_pylist())
             arrays = [batch.column(i) for i in range(len(kept))]
             arrays += [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(found, types, strict=True)]
@@ -61,6 +68,21 @@ def map_texts(
     return source.mapInArrow(run, schema)
 
 
+def slices(batches, rows: int = 1000):
+    """The batches in parts, so that only so many texts stand in memory as Python values."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
+def hashed_sample(rows: DataFrame, order: Column, n: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest ``order``, a 64-bit hash. Rows beyond a cut that keeps a tenth more than
+    ``n`` in expectation stay where they are, so what meets does not grow with the number of tasks."""
+    share = min(1.0, 1.1 * n / max(1, rows.count()))
+    cut = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    return rows.where(order <= F.lit(cut).cast("bigint")).orderBy(order, *rows.columns).limit(n)
+
+
 def _arrow_type(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import LOWER, field, map_texts
+from snapvault.llm.common import LOWER, field, hashed_sample, map_texts
 
 LENGTHS = (1, 2, 3)
 UNKNOWN = "und"
@@ -104,15 +104,13 @@ def train(
     hash of key and text, come to the driver. None without any such row."""
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
     rows = rows.filter(training_rows(F.col("k")) & F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
-    order = F.xxhash64(F.col("k").cast("string"), "t")
-    found = rows.select("l", F.col("t").cast("binary").alias("t"), order.alias("o")).orderBy("o", "l").limit(sample).collect()
+    rows = rows.select(F.xxhash64(F.col("k").cast("string"), "t").alias("o"), "l", F.col("t").cast("binary").alias("t"))
+    found = hashed_sample(rows, F.col("o"), sample).collect()
     return fit([bytes(r["t"]) for r in found], [r["l"] for r in found], **options) if found else None
 
 
-def _scorer(shared):
+def _scorer(model):
     def make():
-        model = shared.value
-
         def work(texts):
             known = [i for i, t in enumerate(texts) if t and _has_letter(t)]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -144,8 +142,7 @@ def identify(
     Null and empty texts, texts without a letter, and all texts without a model are ``und`` with score 0. Whole texts count,
     however long; equal scores go to the language that sorts first.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return map_texts(docs, text, _scorer(shared), [field("lang_pred", "string"), field("score", "double")], keep)
+    return map_texts(docs, text, _scorer(model), [field("lang_pred", "string"), field("score", "double")], keep)
 
 
 def query(spark, sf_dir):
