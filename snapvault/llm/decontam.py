@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import field, map_texts, plain_words
+from snapvault.llm.common import field, map_texts, plain_words, slices
 
 WINDOW = 13
 SHINGLE = 5
@@ -131,7 +131,7 @@ def shingle_counts(docs: DataFrame, windows: Windows, *, text: str = "text") ->
 
     def count(batches):
         total = np.zeros(len(windows.shingles), dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for value in batch.column(0).to_pylist():
                 if value:
                     total += np.bincount(windows.standing(windows.numbers(plain_words(value)))[1], minlength=len(total))
@@ -158,17 +158,14 @@ def decontaminate(
     """
     windows = Windows(read_items(benchmark, item=item, text=item_text), window)
     windows.order(shingle_counts(docs, windows, text=text))
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def make():
-        known = shared.value
-
         def one(value):
             words = plain_words(value) if value else []
             items, spans = set(), []
-            for start, k in known.occurrences(known.numbers(words)):
-                items.update(known.items[k])
-                spans.append((start, start + len(known.windows[k])))
+            for start, k in windows.occurrences(windows.numbers(words)):
+                items.update(windows.items[k])
+                spans.append((start, start + len(windows.windows[k])))
             ranges = []
             for a, b in sorted(spans):
                 if ranges and a <= ranges[-1][1]:

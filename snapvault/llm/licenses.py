@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import WORDS, field, map_texts, plain_words
+from snapvault.llm.common import WORDS, field, map_texts, plain_words, slices
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -103,7 +103,7 @@ def token_counts(docs: DataFrame, templates, *, text: str = "text") -> dict[byte
 
     def count(batches):
         total = np.zeros(len(tokens) + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for value in batch.column(0).to_pylist():
                 if value:
                     total += np.bincount(_ranks(plain_words(value), rank) + 1, minlength=len(total))

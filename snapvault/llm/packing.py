@@ -14,14 +14,13 @@ import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import TEXT
+from snapvault.llm.common import TEXT, slices, worker_cache
 from snapvault.session import settled
 
 CAPACITY = 4096
@@ -92,10 +91,12 @@ class WordIds:
         return b"".join([known[w] for w in words])
 
 
-@lru_cache(maxsize=2)
 def _word_ids(tokenizer_file: str) -> WordIds:
     """One for all tasks that a Python worker runs."""
-    return WordIds(tokenizer_file)
+    cache = worker_cache()
+    if cache.get("tokenizer") != tokenizer_file:
+        cache["word_ids"], cache["tokenizer"] = WordIds(tokenizer_file), tokenizer_file
+    return cache["word_ids"]
 
 
 def pieces(
@@ -115,7 +116,7 @@ def pieces(
 
         words_of = _word_ids(tokenizer_file)
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
+        for batch in slices(batches):
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             rows = []
             for low in range(0, len(texts), 256):
