@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import field, map_texts, spaced_words
+from snapvault.llm.common import field, hashed_sample, map_texts, spaced_words
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_distinct")
 SYMBOLS = b"#*$%&|<>"
@@ -179,11 +179,21 @@ def _grown(values, bad, rows, cuts, most):
                     best, gain = (j, op, cut[k]), gains[k]
         if best is None:
             break
+        best = _widened(values, bad, mask, *best)
         rule.append(best)
         mask &= _covers(values, [best])
     return rule
 
 
+def _widened(values, bad, mask, j, op, t):
+    """The condition with its threshold halfway between the bad rows it takes and the good ones it leaves."""
+    takes = _covers(values, [(j, op, t)])
+    taken, left = values[mask & bad & takes, j], values[mask & ~bad & ~takes, j]
+    if len(taken) and len(left):
+        t = (taken.max() + left.min()) / 2 if op == "<=" else (taken.min() + left.max()) / 2
+    return j, op, t
+
+
 def _pruned(values, bad, rows, rule):
     """The shortest leading part of the rule that is worth most, bad less good rows by rows covered."""
 
@@ -217,7 +227,7 @@ def fit_rules(
     """
     known = labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y")).dropna()
     known = known.groupBy("k").agg(F.min("y").alias("y"))
-    known = known.orderBy(F.xxhash64(F.col("k").cast("string")), "k").limit(sample)
+    known = hashed_sample(known, F.xxhash64(F.col("k").cast("string")), sample)
     columns = features()
     rows = (
         statistics.withColumnRenamed(key, "k")
