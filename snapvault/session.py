@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +26,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own: set[str] = set()
+
+
 def _scratch_root(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/_snapvault/{spark.sparkContext.applicationId}"
+    root = f"{base.rstrip('/')}/_snapvault/{spark.sparkContext.applicationId}"
+    if spark.sparkContext.master.startswith("local[") and root not in _own:
+        _own.add(root)  # in local mode nobody else cleans up when the process ends
+        atexit.register(shutil.rmtree, re.sub(r"^file:(//)?", "", root), ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
