@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import read
+from snapvault.llm.common import read, slices
 from snapvault.session import settled
 
 LENGTH = 400
@@ -143,7 +143,7 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
             )
 
         refs, parts, bases, size = [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for ref, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for base in range(0, max(0, len(text) - length + 1), SEGMENT):
                     refs.append(ref)
@@ -232,7 +232,7 @@ def runs(contexts: DataFrame, length: int) -> DataFrame:
                 names = ["side", "run", "block", "low", "high", "codes", "data"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-        for batch in batches:
+        for batch in slices(batches, 500):
             for text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for mark in marks:
                     one, two = _keys(text, mark["pack"], block)
@@ -449,13 +449,15 @@ def repeated_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     found = settled(anchors(named.filter(long).select("ref", "text"), length), "repeat-anchors")
     spot = F.xxhash64("ref", "pack")
     twice = found.groupBy("code").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).filter("a <> b").select("code")
+    twice = settled(twice, "repeat-codes")
     found = settled(found.join(twice, "code"), "repeat-candidates")
     contexts = found.groupBy("code", "digest").agg(
         F.min(F.struct("ref", "pack")).alias("one"), F.max(F.struct("ref", "pack")).alias("other")
     )
     contexts = contexts.select("code", "digest", "one.ref", "one.pack", (F.col("one") != F.col("other")).alias("whole"))
     contexts = settled(contexts, "repeat-contexts")
-    several = contexts.groupBy("code").agg(F.count("*").alias("n")).filter("n > 1").select("code")
+    # Settled, so that a block that a third of all contexts share can be split where they meet.
+    several = settled(contexts.groupBy("code").agg(F.count("*").alias("n")).filter("n > 1").select("code"), "repeat-codes")
     edges = contexts.join(several, "code").groupBy("ref").agg(F.collect_list(F.struct("pack", "code", "digest")).alias("marks"))
     texts = named.filter(long).groupBy("ref").agg(F.any_value("text").alias("text"))
     blocks = runs(texts.join(edges, "ref").select("text", "marks"), length)
@@ -482,6 +484,7 @@ def repeated_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         F.when(F.col("whole"), F.shiftright("pack", 16).bitwiseAND(F.lit(0xFFFF))).otherwise(F.col("before")).alias("before"),
         F.when(F.col("whole"), F.col("pack").bitwiseAND(F.lit(0xFFFF)) + block).otherwise(F.col("on")).alias("on"),
     )
+    known = settled(known, "repeat-known")
     covered = found.join(known, ["code", "digest"]).select(
         "ref", F.struct((place - F.col("before")).alias("start"), (place + F.col("on")).alias("end")).alias("s")
     )
@@ -504,7 +507,7 @@ def repeated_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in slices(batches):
         refs, spans, digests = batch.column("ref"), [], []
         for text, parts in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             own, kept, at = [], hashlib.sha256(), 0
