@@ -232,10 +232,11 @@ def components(links: DataFrame) -> DataFrame:
     told = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # The smallest neighbours are settled, so that a node with very many links can be split where they meet.
+        lowest = settled(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "links")
         large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = settled(large.filter("u <> v"), "links")
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = settled(large.groupBy("u").agg(F.min("v").alias("m")), "links")
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lowest.select("u", "m"))
         edges = settled(small.filter("u <> v").distinct(), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
