@@ -14,6 +14,8 @@ from snapvault.llm.secrets import content_address, redact, scan_secrets
 from snapvault.llm.simhash import near_duplicates
 from snapvault.session import settled
 
+ROW = "__row"
+
 
 def language(spark, docs, sf_dir):
     """Documents whose language is identified; ``und`` ones go. ``lang`` stays as it came."""
@@ -21,10 +23,17 @@ def language(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    groups = near_duplicates(docs.select("doc_id", "text"))
-    keep = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    """One row of each group of near-duplicates: the one with the smallest id, null ids last.
+
+    Rows are told apart by their place, so neither null nor repeated ids lose or keep any: of rows of one id, the one whose
+    columns have the smallest hash stays, of equal rows any one.
+    """
+    rows = settled(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*hashed).alias("hash"), F.col(ROW).alias("row"))
+    groups = near_duplicates(rows.select(order.alias("place"), "text"), key="place")
+    keep = groups.filter(F.col("place") == F.col("component_id")).select(F.col("place.row").alias(ROW))
+    return rows.join(keep, ROW, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark, docs, sf_dir):

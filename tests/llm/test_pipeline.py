@@ -76,6 +76,38 @@ def test_awkward_documents(spark):
     assert [df.count() for df in empty] == [0] * 5 and empty[3].columns == docs.columns
 
 
+def one_a_group(rows):
+    """The row of the smallest id of each group, null ids last; rows of equal id must be told by the caller."""
+    groups = near_groups([(n, r[1]) for n, r in enumerate(rows)])
+    of = {}
+    for n, _, c in groups:
+        of.setdefault(c, []).append(rows[int(n)])
+    return [[r for r in g if (r[0] is None, r[0] or 0) == min((x[0] is None, x[0] or 0) for x in g)] for g in of.values()]
+
+
+def test_one_row_of_each_group_with_null_and_repeated_ids(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    more = [
+        (None, "another text without an id", None, None, None), (None, words, "en", "a", 1), (None, words, "en", "a", 1),
+        (200, "a group of its own " * 3, "en", "s", 1), (200, "a group of its own " * 3, "en", "s", 1),
+        (200, "a group of its own " * 3, "de", "s", 2), (201, "a group of its own " * 3, "en", "s", 1),
+        (201, " ".join(f"v{i}" for i in range(40)), "en", "s", 1), (202, " ".join(f"v{i}" for i in range(40)), "en", "s", 1),
+    ]
+    rows = [*awkward_rows(), *more]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = sorted((tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()), key=repr)
+    wanted = one_a_group(rows)
+    assert len(kept) == len(wanted)
+    for choices in wanted:
+        found = [r for r in kept if r in choices]
+        assert len(found) == 1
+    assert sum(r[0] is None for r in kept) == 3
+    assert [r[1][:2] for r in kept if r[0] == 201] == ["v0"]
+    have = [r for r in rows if any(map(str.isalpha, r[1] or ""))]
+    out = stages(spark, docs, SF)
+    assert out[1].count() == len(one_a_group(have)) and out[1].filter("doc_id is null").count() == 3
+
+
 def test_the_entry_module_has_all_queries():
     import __spark_entry__ as entry
 
