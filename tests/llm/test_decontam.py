@@ -66,3 +66,27 @@ def test_repeating_words_and_windows(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert told(decontam.decontaminate(frame, bench, keep=["doc_id"])) == brute(docs, [(1, item)])
+
+
+def test_a_benchmark_in_parts(spark):
+    """Hits of one document spread over parts, an item longer than a part, and windows that lie across its pieces."""
+    many = [(k, " ".join(f"i{k}w{j}" for j in range(14))) for k in range(12)]
+    long_item = " ".join(f"l{j}" for j in range(150))
+    items = [*many, (50, long_item), (51, "same text"), (51, "TEXT y"), (52, None), (53, "")]
+    spread = " ".join(many[k][1] for k in (0, 11))
+    texts = [
+        spread + " n" * (20 * 28 - 28), spread + " n" * (20 * 28 - 27), " ".join(t for _, t in many), long_item, " ".join(long_item.split()[25:60]),
+        "x same text y", " ".join(long_item.split()[:12]), "same text same text y " + many[3][1],
+    ]
+    rows = awkward_rows() + [(100 + i, t, None, None, None) for i, t in enumerate(texts)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = brute([r[:2] for r in rows], items)
+    assert [r[5] for r in want if r[0] in (100, 101)] == [True, False]
+    whole = decontam.decontaminate(docs, bench)
+    parts = decontam.decontaminate(docs, bench, part_words=40)
+    assert len(list(decontam.read_items(bench, part=40))) > 3
+    assert told(parts) == told(whole) == want
+    assert parts.dtypes == whole.dtypes and rows_of(parts) == rows_of(whole)
+    named = docs.select("doc_id", F.col("text").alias("items"), F.lit(1).alias("n_hit"))
+    assert told(decontam.decontaminate(named, bench, text="items", keep=["doc_id"], part_words=40)) == want
