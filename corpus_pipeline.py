@@ -37,8 +37,9 @@ def near_dedup(spark, docs, sf_dir):
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents that are not contaminated by benchmark items."""
-    return decontaminate(docs, read(spark, sf_dir, "benchmark")).filter("not contaminated").select(docs.columns)
+    """Documents that are not contaminated by benchmark items, those with a null id included."""
+    found = decontaminate(docs, read(spark, sf_dir, "benchmark"), null_items=True)
+    return found.filter("not contaminated").select(docs.columns)
 
 
 def secret_redaction(spark, docs, sf_dir):

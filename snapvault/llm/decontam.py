@@ -33,13 +33,13 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 class Windows:
     """The distinct windows of some items, their shingles' codes, and which items have them."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.ids = {w: i + 1 for i, w in enumerate(sorted({w for _, words in items for w in words}))}
         owners: dict[tuple[int, ...], set[str]] = {}
         for item, words in items:
             numbers = [self.ids[w] for w in words]
             for at in range(max(1, len(numbers) - window + 1)):
-                owners.setdefault(tuple(numbers[at : at + window]), set()).add(item)
+                owners.setdefault(tuple(numbers[at : at + window]), set()).update([] if item is None else [item])
         self.windows = sorted(owners)
         self.items = [sorted(owners[w]) for w in self.windows]
         self.lengths = sorted({min(SHINGLE, len(w)) for w in self.windows})
@@ -129,12 +129,14 @@ def codes(numbers: np.ndarray, n: int, at: np.ndarray | None = None) -> np.ndarr
 
 
 def read_items(
-    benchmark: DataFrame, *, item: str = "item_id", text: str = "text", part: int = PART_WORDS, overlap: int = WINDOW - 1
-) -> Iterator[list[tuple[str, list[bytes]]]]:
+    benchmark: DataFrame, *, item: str = "item_id", text: str = "text", part: int = PART_WORDS, overlap: int = WINDOW - 1,
+    null_items: bool = False,
+) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The items and their words in parts of at most ``part`` words, read one part at a time. Items without words (null or
-    empty) are left out; several rows of one item are windows of that one item. A longer item is cut into pieces that
+    empty) are left out, without ``null_items`` also those with a null id; several rows of one item are windows of that one item. A longer item is cut into pieces that
     overlap, so that each of its windows lies whole in one."""
-    rows = benchmark.select(F.col(f"`{item}`").cast("string"), F.col(f"`{text}`").cast("binary")).dropna()
+    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").cast("binary").alias("text"))
+    rows = rows.dropna(subset=["text"] if null_items else ["item", "text"])
     part = max(part, 2 * overlap + 2)
     items, size = [], 0
     for name, value in rows.toLocalIterator():
@@ -171,7 +173,7 @@ def shingle_counts(docs: DataFrame, windows: Windows, *, text: str = "text") ->
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", keep: list[str] | None = None, item: str = "item_id",
-    item_text: str = "text", window: int = WINDOW, share: int = 20, part_words: int = PART_WORDS,
+    item_text: str = "text", window: int = WINDOW, share: int = 20, part_words: int = PART_WORDS, null_items: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``hits`` (the hit word ranges as start, end), ``items`` (sorted, as strings) and
     ``contaminated``.
@@ -180,10 +182,13 @@ def decontaminate(
     one. A document is contaminated if a ``share``-th of its words or more is hit. Null and empty documents have no
     words and are clean; without items every document is clean. Windows that several items share count for each.
 
+    Benchmark rows with a null ``item`` are left out unless ``null_items``; then what they hit counts in ``n_hit``, ``hits`` and
+    ``contaminated`` like any other, and ``items`` does not list them, so a hit document may have no items.
+
     A benchmark of more than ``part_words`` words is joined part by part, each with a pass over ``docs``; hits of all parts are
     united per row before it is judged.
     """
-    parts = read_items(benchmark, item=item, text=item_text, part=part_words, overlap=window - 1)
+    parts = read_items(benchmark, item=item, text=item_text, part=part_words, overlap=window - 1, null_items=null_items)
     first = next(parts, [])
     second = next(parts, None)
     if second is not None:
@@ -279,7 +284,7 @@ def _count():
 def query(spark, sf_dir):
     from snapvault.llm.common import read
 
-    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), keep=["doc_id"], null_items=True)
     return found.select(
         "doc_id",
         "n_words",

@@ -90,3 +90,24 @@ def test_a_benchmark_in_parts(spark):
     assert parts.dtypes == whole.dtypes and rows_of(parts) == rows_of(whole)
     named = docs.select("doc_id", F.col("text").alias("items"), F.lit(1).alias("n_hit"))
     assert told(decontam.decontaminate(named, bench, text="items", keep=["doc_id"], part_words=40)) == want
+
+
+def test_items_with_a_null_id_count(spark, tmp_path):
+    passage = " ".join(f"p{j}" for j in range(20))
+    items = [(1, "same text"), (None, passage), (None, "same text"), (None, "x"), (None, None), (None, "...")]
+    rows = awkward_rows() + [(100 + i, t, None, None, None) for i, t in enumerate([passage, "a " + passage + " b", "same text here", "x", passage + " n" * 500])]
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    named = brute([r[:2] for r in rows], [(i or "null", t) for i, t in items])
+    for words in (decontam.PART_WORDS, 30):
+        got = decontam.decontaminate(docs, bench, null_items=True, part_words=words)
+        assert [r[:3] + r[5:] for r in told(got)] == [r[:3] + r[5:] for r in named]
+        assert {i for r in got.select("items").collect() for i in r[0]} == {"1"}
+        assert [r[0] for r in got.filter("doc_id = 100").select("items").collect()] == [[]]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    dirty = {r[0] for r in named if r[5]}
+    assert 100 in dirty and {r.doc_id for r in decontam.query(spark, str(tmp_path)).filter("contaminated").collect()} == dirty
+    import corpus_pipeline
+
+    kept = {r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()}
+    assert 100 not in kept and 104 in kept
