@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from snapvault.llm.common import read
 from snapvault.llm.decontam import decontaminate
-from snapvault.llm.langid import UNKNOWN, identify, train
+from snapvault.llm.langid import UNKNOWN, identify, lettered, train
 from snapvault.llm.packing import pack, tokenizer_path
 from snapvault.llm.secrets import content_address, redact, scan_secrets
 from snapvault.llm.simhash import near_duplicates
@@ -18,8 +18,12 @@ ROW = "__row"
 
 
 def language(spark, docs, sf_dir):
-    """Documents whose language is identified; ``und`` ones go. ``lang`` stays as it came."""
-    return identify(docs, train(docs)).filter(F.col("lang_pred") != UNKNOWN).select(docs.columns)
+    """Documents whose language is identified; ``und`` ones, texts without a letter, go and no others. ``lang`` stays as it
+    came. Where no row to learn from has a language, all texts with a letter stay."""
+    model = train(docs)
+    if model is None:
+        return lettered(docs).filter("has_letter").select(docs.columns)
+    return identify(docs, model).filter(F.col("lang_pred") != UNKNOWN).select(docs.columns)
 
 
 def near_dedup(spark, docs, sf_dir):

@@ -145,6 +145,15 @@ def identify(
     return map_texts(docs, text, _scorer(model), [field("lang_pred", "string"), field("score", "double")], keep)
 
 
+def lettered(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``has_letter``: whether the text has a letter of any script, as for :func:`identify`; null: false."""
+
+    def make():
+        return lambda texts: [[bool(t) and _has_letter(t) for t in texts]]
+
+    return map_texts(docs, text, make, [field("has_letter", "boolean")], keep)
+
+
 def query(spark, sf_dir):
     from snapvault.llm.common import read
 

@@ -108,6 +108,13 @@ def test_one_row_of_each_group_with_null_and_repeated_ids(spark):
     assert out[1].count() == len(one_a_group(have)) and out[1].filter("doc_id is null").count() == 3
 
 
+def test_a_corpus_without_languages_is_kept(spark):
+    rows = [(*r[:2], None, *r[3:]) for r in awkward_rows()]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, SCHEMA), SF)
+    want = sorted((r for r in rows if any(map(str.isalpha, r[1] or ""))), key=repr)
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == want and len(want) > 5
+
+
 def test_the_entry_module_has_all_queries():
     import __spark_entry__ as entry
 
