@@ -115,6 +115,28 @@ def test_a_corpus_without_languages_is_kept(spark):
     assert sorted((tuple(r) for r in kept.collect()), key=repr) == want and len(want) > 5
 
 
+def test_extra_columns_come_out_as_they_came(spark):
+    extra = [
+        "findings", "blob", "lang_pred", "SCORE", "has_letter", "n_words", "n_hit", "hits", "items", "contaminated", "fingerprint",
+        "component_id", "place", "redacted", "__row", "a.b",
+    ]
+    secret = (70, "my token=abcdef012345 is here", "en", "s", 5)
+    dirty = (71, table("benchmark")[0]["text"], "en", "s", 5)
+    rows = [(*r, *(f"{c} {k}" for c in extra)) for k, r in enumerate([*awkward_rows(), secret, dirty])]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", `{c}` string" for c in extra))
+    plain = stages(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), SF)
+    found = stages(spark, docs, SF)
+    came = {r[5:] for r in rows}
+    for with_extra, without in zip(found[:4], plain[:4]):
+        got = [tuple(r) for r in with_extra.collect()]
+        assert with_extra.columns == docs.columns and {r[5:] for r in got} <= came and len({r[5:] for r in got}) == len(got)
+        assert len(got) == without.count() > 5
+    by_place = {r[5:]: r for r in rows}
+    assert all(r[0] == by_place[tuple(r[5:])][0] for r in found[3].collect())
+    assert 71 not in {r[0] for r in found[2].collect()}
+    assert [r.text for r in found[3].filter("doc_id = 70").collect()] == [redacted(secret[1])] != [secret[1]]
+
+
 def test_the_entry_module_has_all_queries():
     import __spark_entry__ as entry
 
