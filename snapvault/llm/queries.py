@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapvault.llm import chat, decontam, langid, licenses, packing, quality, secrets, simhash, substrings, urls
+from snapvault.llm import bpe, chat, clusters, decontam, langid, licenses, packing, quality, secrets, simhash, substrings, urls, whitening
 
 QUERIES = {
     "op1_suffix_dedup": substrings.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_packing": packing.query,
     "op9_license_scans": licenses.query,
     "op10_quality_rules": quality.query,
+    "op11_bpe": bpe.query,
+    "op12_centroids": clusters.query,
+    "op13_whitening": whitening.query,
 }
 
-SQL = {"op2_chat_formatting": chat.SQL, "op3_secret_scans": secrets.SQL}
+SQL = {"op2_chat_formatting": chat.SQL, "op3_secret_scans": secrets.SQL, "op12_centroids": clusters.SQL}
