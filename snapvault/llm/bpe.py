@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from snapvault.llm.common import TEXT, read, slices, worker_cache
 
-MOVES = 150_000  # compiled moves that are kept; beyond, compiling starts anew
+MOVES = 300_000  # compiled moves that are kept; beyond, compiling starts anew
 MEMO = 120_000  # pieces of text whose ids are kept, of at most so many characters:
 MEMO_LENGTH = 40
 PIECES = 50_000  # of a long text that stand in memory at a time
@@ -111,16 +111,16 @@ class Neighbours:
     before both ends. Of equal ranks the left one merges first.
     """
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 250_000):
         self._ranks, self._limit = ranks, limit
         self._edges: dict[bytes, tuple[list, list] | None] = {}
-        self._known: dict[tuple[bytes, bytes], bool] = {}
+        self.known: dict[int, bool] = {}  # by both ranks in one number; with nothing before a token, by its rank alone
 
     def edges(self, token: bytes) -> tuple[list, list] | None:
         """First parts and last parts of a token over time, each with the ranks that made it and took it up; none if the
         token does not merge to itself, or not in the order of ranks."""
         if token not in self._edges:
-            if len(self._edges) > self._limit // 4:
+            if len(self._edges) > self._limit // 8:
                 self._edges.clear()
             first, last, before, rising = [(token[:1], -1)], [(token[-1:], -1)], -1, True
             parts = [token] if len(token) == 1 else []
@@ -135,14 +135,18 @@ class Neighbours:
             self._edges[token] = sides if rising and parts == [token] else None
         return self._edges[token]
 
+    def key(self, one: bytes, rank: int) -> int:
+        return (self._ranks[one] + 1 << 32) + rank if one else rank
+
     def stay(self, one: bytes, two: bytes) -> bool:
         """Whether the two stay apart; with nothing before it, whether the second is a token that merges to itself."""
-        known = self._known.get((one, two))
-        if known is None:
-            if len(self._known) > self._limit:
-                self._known.clear()
-            known = self._known[one, two] = self._stay(one, two)
-        return known
+        key = self.key(one, self._ranks[two])
+        found = self.known.get(key)
+        if found is None:
+            if len(self.known) > self._limit:
+                self.known.clear()
+            found = self.known[key] = self._stay(one, two)
+        return found
 
     def _stay(self, one: bytes, two: bytes) -> bool:
         if not one:
@@ -152,23 +156,30 @@ class Neighbours:
             return merged_pieces(one + two, ranks) == [one, two]
         for x, x_born, x_gone in left[1]:
             for y, y_born, y_gone in right[0]:
-                if x_born <= y_gone and y_born < x_gone:
-                    rank = ranks.get(x + y)
-                    if rank is not None and rank < x_gone and rank <= y_gone:
-                        return False
+                rank = ranks.get(x + y)
+                if rank is not None and rank < x_gone and rank <= y_gone and x_born <= y_gone and y_born < x_gone:
+                    return False
         return True
 
 
 class _State:
-    __slots__ = ("before", "pending", "lengths", "live", "moves", "rest")
+    __slots__ = ("base", "before", "pending", "lengths", "live", "rest")
 
-    def __init__(self, before: bytes, pending: bytes, lengths: tuple, live: tuple, rest: bytes):
+    def __init__(self, number: int, before: bytes, pending: bytes, lengths: list[int], live: list[int]):
+        self.base = number << 8  # of the keys of its moves
         self.before = before  # the last token told, if one that begins behind it may still grow
         self.pending = pending  # bytes behind it
-        self.lengths = lengths  # of the token that ends behind each of these bytes
-        self.live = live  # places in them where a token may have begun that is not complete
-        self.rest = rest  # ids still to tell if the input ends here
-        self.moves: dict[int, tuple[_State, bytes]] = {}
+        self.lengths = _compact(lengths)  # of the token that ends behind each of these bytes
+        self.live = _compact(live)  # places in them where a token may have begun that is not complete
+        self.rest: bytes | None = None  # ids still to tell if the input ends here, once asked for
+
+
+def _compact(numbers: list[int]) -> bytes | tuple:
+    """The same numbers, as bytes if they are small enough: hundreds of thousands of states are kept."""
+    try:
+        return bytes(numbers)
+    except ValueError:
+        return tuple(numbers)
 
 
 class Transducer:
@@ -186,55 +197,50 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        for state in getattr(self, "_states", {}).values():
-            state.moves.clear()  # states lead to each other; now nothing holds them
-        self._compiled = 0
-        self.start = _State(b"", b"", (), (0,), b"")
+        self.start = _State(0, b"", b"", [], [0])
         self._states = {(b"", b""): self.start}
+        self._moves: dict[int, tuple[_State, bytes]] = {}
 
     def _move(self, state: _State, byte: int) -> tuple[_State, bytes]:
         pending, lengths = state.pending + self._bytes[byte], state.lengths
         growing, ranks, stay = self._growing, self._ranks, self._neighbours.stay
         live, length, end = [], 0, len(pending)
         for at in state.live:
-            part = pending[at:]
+            part = pending[at:] if at else pending
             if part in growing:
                 live.append(at)
             # Merging gives one sequence only, so one token ends here.
             if not length and part in ranks and stay(pending[at - lengths[at - 1] : at] if at else state.before, part):
                 length = end - at
-        lengths += (length,)
+        lengths = [*lengths, length]
         live.append(end)
-        told = live[0]  # the last border that all hypotheses share
-        for at in live:
-            while at != told:
-                if at > told:
-                    at -= lengths[at - 1]
-                else:
-                    told -= lengths[told - 1]
-        ids, before = b"", state.before
-        if told:
-            ids = self._chain(pending, lengths, told)
-            before = pending[told - lengths[told - 1] : told]
-            pending, lengths, live = pending[told:], lengths[told:], [at - told for at in live]
-        if live[0]:
-            before = b""  # no token that is not complete begins behind it
-        following = self._states.get((before, pending))
+        told, ids, before = live[0], b"", state.before
+        if told:  # the last border that all hypotheses share
+            for at in live:
+                while at != told:
+                    if at > told:
+                        at -= lengths[at - 1]
+                    else:
+                        told -= lengths[told - 1]
+            if told:
+                ids = self._chain(pending, lengths, told)
+                before = pending[told - lengths[told - 1] : told]
+                pending, lengths, live = pending[told:], lengths[told:], [at - told for at in live]
+            if live[0]:
+                before = b""  # no token that is not complete begins behind it
+        place = (before, pending)
+        following = self._states.get(place)
         if following is None:
-            rest = self._chain(pending, lengths, len(pending))
-            following = self._states[before, pending] = _State(before, pending, lengths, tuple(live), rest)
-        move = state.moves[byte] = (following, ids)
-        self._compiled += 1
+            following = self._states[place] = _State(len(self._states), before, pending, lengths, live)
+        move = self._moves[state.base + byte] = (following, ids)
         return move
 
-    def _chain(self, pending: bytes, lengths: tuple, end: int) -> bytes:
+    def _chain(self, pending: bytes, lengths, end: int) -> bytes:
         """Ids of the tokens up to a border."""
-        out = []
-        while end:
-            at = end - lengths[end - 1]
-            out.append(self._ids[pending[at:end]])
-            end = at
-        return b"".join(reversed(out))
+        at = end - lengths[end - 1] if end else 0
+        if not at:
+            return self._ids[pending[:end]] if end else b""
+        return self._chain(pending, lengths, at) + self._ids[pending[at:end]]
 
     def encode(self, data: bytes) -> bytes:
         """Ids of one byte string. A string that is a token is that token, whatever merging would make of it."""
@@ -243,48 +249,54 @@ class Transducer:
         whole = self._ranks.get(data)
         if whole is not None:
             return whole.to_bytes(4, "little")
-        if self._compiled > self._limit:
+        if len(self._moves) > self._limit:
             self._forget()
         return b"".join(self.stream(data))
 
     def stream(self, data: Iterable[int]) -> Iterator[bytes]:
         """Ids as soon as no later byte can change them."""
-        state = self.start
+        state, known = self.start, self._moves.get
         for byte in data:
-            state, told = state.moves.get(byte) or self._move(state, byte)
+            state, told = known(state.base + byte) or self._move(state, byte)
             if told:
                 yield told
+        if state.rest is None:
+            state.rest = self._chain(state.pending, state.lengths, len(state.pending))
         yield state.rest
 
 
-class TextEncoder(dict):
-    """Encodes texts: every match of the pattern on its own. Keeps the ids of short matches, as a dict of them."""
+class TextEncoder:
+    """Encodes texts: every match of the pattern on its own. Keeps the ids of short matches."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
+        self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._transducer = Transducer(ranks)
         self._latin, self._any = splitter(pattern, _LATIN_END), splitter(pattern)
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self._older.get(piece)
-        if found is None:
-            found = self._transducer.encode(piece.encode())
+    def _learn(self, piece: str) -> bytes:
+        found = self._known.get(piece) or self._older.get(piece) or self._transducer.encode(piece.encode())
         if len(piece) <= MEMO_LENGTH:
-            if len(self) > MEMO:  # what was in use lately stays
-                self._older = dict(self)
-                self.clear()
-            self[piece] = found
+            if len(self._known) > MEMO:  # what was in use lately stays
+                self._older, self._known = self._known, {}
+            self._known[piece] = found
         return found
 
     def encode(self, text: str) -> bytes:
         pattern = self._any if _BEYOND_LATIN.search(text) else self._latin
-        matches = (m.group() for m in pattern.finditer(text)) if len(text) > 4 * PIECES else iter(pattern.findall(text))
-        parts = []
+        if len(text) <= 4 * PIECES:
+            return self._joined(pattern.findall(text))
+        matches, parts = (m.group() for m in pattern.finditer(text)), []
         while some := list(islice(matches, PIECES)):
-            parts.append(b"".join(map(self.__getitem__, some)))
+            parts.append(self._joined(some))
         return b"".join(parts)
 
+    def _joined(self, pieces: list[str]) -> bytes:
+        found = list(map(self._known.get, pieces))
+        if None in found:
+            found = [f if f is not None else self._learn(p) for f, p in zip(found, pieces)]
+        return b"".join(found)
+
 
 # --- back --------------------------------------------------------------------------------------------------
 
