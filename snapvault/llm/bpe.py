@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import TEXT, read, slices, worker_cache
+from snapvault.llm.common import TEXT, read, slices, small_batches, worker_cache
 
 MOVES = 300_000  # compiled moves that are kept; beyond, compiling starts anew
 MEMO = 120_000  # pieces of text whose ids are kept, of at most so many characters:
@@ -390,6 +390,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, *, key: str = "doc_id
     if key == "ids":
         raise ValueError("the key has the name of a column of the result: ids")
     kind = docs.schema[key].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def run(batches):
         encoder = _kept("bpe-encoder", (ranks_file, pattern), lambda: TextEncoder(read_ranks(ranks_file), pattern))

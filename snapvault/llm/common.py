@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +76,26 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(at, rows)
 
 
+def portions(column: pa.Array, most: int, rows: int = 1000):
+    """Start and end of runs of a binary column's rows that hold at most ``most`` bytes together, or one row."""
+    sizes = pc.binary_length(column).fill_null(0).to_pylist()
+    at, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > at and (held + size > most or i - at >= rows):
+            yield at, i
+            at, held = i, 0
+        held += size
+    if len(sizes) > at:
+        yield at, len(sizes)
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Batches that go to Python hold at most so many bytes, not 10,000 texts of any length. A size that the session sets by itself stays."""
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "64m", "64MB")
+    if spark.conf.get(key, default[0]) in default:
+        spark.conf.set(key, size)
+
+
 def hashed_sample(rows: DataFrame, order: Column, n: int) -> DataFrame:
     """At most ``n`` rows, those with the smallest ``order``, a 64-bit hash. Rows beyond a cut that keeps a tenth more than
     ``n`` in expectation stay where they are, so what meets does not grow with the number of tasks."""

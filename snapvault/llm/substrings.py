@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapvault.llm.common import read, slices
+from snapvault.llm.common import portions, read, slices, small_batches
 from snapvault.session import settled
 
 LENGTH = 400
-BATCH_BYTES = 1 << 20  # texts whose hashes stand in memory at a time
-SEGMENT = 1 << 22  # windows of a longer text are looked at in parts of so many
-RUN_BYTES = 24 << 20  # contexts that a task sorts at a time
+BATCH_BYTES = 1 << 19  # texts whose hashes stand in memory at a time, about 100 bytes for each
+SEGMENT = 1 << 18  # windows of a longer text are looked at in parts of so many
+RUN_BYTES = 16 << 20  # contexts that a task sorts at a time
 RANGE_BYTES = 4 << 20  # front-coded entries that a merge gets
 BLOCK_ENTRIES = 128
 END = b"\xff"  # in no UTF-8 text; parts the two sides of a context
@@ -143,16 +143,18 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
             )
 
         refs, parts, bases, size = [], [], [], 0
-        for batch in slices(batches):
-            for ref, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for base in range(0, max(0, len(text) - length + 1), SEGMENT):
-                    refs.append(ref)
-                    parts.append(text[base : base + SEGMENT + length - 1])
-                    bases.append(base)
-                    size += len(parts[-1])
-                    if size >= BATCH_BYTES:
-                        yield rows(refs, parts, bases)
-                        refs, parts, bases, size = [], [], [], 0
+        for batch in batches:
+            for low, high in portions(batch.column(1), BATCH_BYTES):
+                for ref, text in zip(batch.column(0)[low:high].to_pylist(), batch.column(1)[low:high].to_pylist()):
+                    for base in range(0, max(0, len(text) - length + 1), SEGMENT):
+                        part = text[base : base + SEGMENT + length - 1]
+                        if parts and size + len(part) > BATCH_BYTES:
+                            yield rows(refs, parts, bases)
+                            refs, parts, bases, size = [], [], [], 0
+                        refs.append(ref)
+                        parts.append(part)
+                        bases.append(base)
+                        size += len(part)
         if parts:
             yield rows(refs, parts, bases)
 
@@ -177,7 +179,7 @@ def _keys(text: bytes, packed: int, block: int) -> tuple[tuple[bytes, int], tupl
 
 
 _BLOCK = "side int, run string, block int, low binary, high binary, codes array<bigint>, data binary"
-_HEAD = np.dtype([("shared", "<u2"), ("rest", "<u2"), ("side", "<u2"), ("code", "<i8"), ("digest", "<i8")])
+_HEAD = np.dtype([("shared", "<u4"), ("rest", "<u4"), ("side", "<u4"), ("code", "<i8"), ("digest", "<i8")])
 
 
 def _encode(entries: list[tuple[bytes, int, int, int]], n_own: int) -> bytes:
@@ -232,16 +234,17 @@ def runs(contexts: DataFrame, length: int) -> DataFrame:
                 names = ["side", "run", "block", "low", "high", "codes", "data"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-        for batch in slices(batches, 500):
-            for text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for mark in marks:
-                    one, two = _keys(text, mark["pack"], block)
-                    right.append((*one, mark["code"], mark["digest"]))
-                    left.append((*two, mark["code"], mark["digest"]))
-                    size += 2 * len(one[0])
-                if size >= RUN_BYTES:
-                    yield from rows()
-                    right, left, size = [], [], 0
+        for batch in batches:
+            for low, high in portions(batch.column(0), 2 * BATCH_BYTES, 100):
+                for text, marks in zip(batch.column(0)[low:high].to_pylist(), batch.column(1)[low:high].to_pylist()):
+                    for mark in marks:
+                        one, two = _keys(text, mark["pack"], block)
+                        right.append((*one, mark["code"], mark["digest"]))
+                        left.append((*two, mark["code"], mark["digest"]))
+                        size += 2 * len(one[0])
+                        if size >= RUN_BYTES:
+                            yield from rows()
+                            right, left, size = [], [], 0
         if right:
             yield from rows()
 
@@ -396,28 +399,32 @@ def sorted_matches(blocks: DataFrame, length: int) -> DataFrame:
 # --- windows in question ---------------------------------------------------------------------------
 
 
-def counted_windows(blocks: DataFrame, codes: DataFrame, length: int) -> DataFrame:
-    """``code``, ``digest``, ``before``, ``on`` by counting all windows of the contexts of some blocks."""
+def counted_windows(blocks: DataFrame, open_: DataFrame, length: int) -> DataFrame:
+    """``code``, ``digest``, ``before``, ``on`` by counting windows of the contexts that share a block with an open one: those that
+    reach no further from the block than the longest matches of any open one (``to_left``, ``to_right``)."""
     block = max(1, length // 2)
+    codes = open_.groupBy("code").agg((length - F.max("to_right")).alias("least"), F.max("to_left").alias("most"))
     right = blocks.filter("side = 0")
     asked = right.select("run", "block", F.explode("codes").alias("code")).join(codes, "code")
-    asked = asked.groupBy("run", "block").agg(F.collect_set("code").alias("asked"))
+    asked = asked.groupBy("run", "block").agg(F.collect_list(F.struct("code", "least", "most")).alias("asked"))
     asked = right.select("run", "block", "data").join(asked, ["run", "block"]).select("data", "asked")
 
     def windows(batches):
         for batch in batches:
             for data, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                wanted, rows = set(wanted), []
+                wanted, rows = {w["code"]: (w["least"], w["most"]) for w in wanted}, []
                 own, entries = _decode(data)
                 for _, key, side, code, digest in entries[:own]:
                     if code in wanted:
                         left = key[side + 1 :][::-1]
                         context = left + key[:side]
-                        for at in range(len(context) - length + 1):
+                        least, most = wanted[code]
+                        for at in range(max(0, len(left) - most), min(len(context) - length, len(left) - least) + 1):
                             found = hashlib.blake2b(context[at : at + length], digest_size=8).digest()
                             rows.append((code, digest, len(left) - at, int.from_bytes(found, "little", signed=True)))
-                columns = list(zip(*rows, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["code", "digest", "before", "w"])
+                for low in range(0, len(rows), 50_000):
+                    columns = list(zip(*rows[low : low + 50_000], strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["code", "digest", "before", "w"])
 
     all_windows = asked.mapInArrow(windows, "code bigint, digest bigint, before bigint, w bigint")
     all_windows = settled(all_windows, "repeat-windows")
@@ -435,8 +442,10 @@ def repeated_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     A byte goes if a string of ``length`` bytes that covers it also starts elsewhere, in any text or the same one. Null text:
     empty. Repeated rows are copies of each other. Texts shorter than ``length`` stay whole. No rows: no rows. Null and
-    repeated keys are kept as they are. ``length`` is 2 to 60,000.
+    repeated keys are kept as they are. ``length`` is 2 to 60,000. Where the session leaves the size of Arrow batches at its default, it is
+    made smaller, so that few texts stand in a Python worker at a time.
     """
+    small_batches(docs.sparkSession)
     if not 2 <= length <= 60_000:
         raise ValueError("the length must be 2 to 60,000")
     block = max(1, length // 2)
@@ -473,7 +482,7 @@ def repeated_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     open_ = contexts.filter("not whole").select("code", "digest").join(
         matches.filter("before < to_left or on < to_right"), ["code", "digest"]
     )
-    counted = counted_windows(blocks, open_.select("code").distinct(), length)
+    counted = counted_windows(blocks, open_, length)
     sure = matches.filter("on > 0").select("code", "digest", "before", "on")
     reached = sure.unionByName(counted).groupBy("code", "digest").agg(F.max("before").alias("before"), F.max("on").alias("on"))
 
@@ -507,7 +516,7 @@ def repeated_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def _cut(batches):
-    for batch in slices(batches):
+    for batch in slices(batches, 100):
         refs, spans, digests = batch.column("ref"), [], []
         for text, parts in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             own, kept, at = [], hashlib.sha256(), 0

@@ -103,3 +103,16 @@ def test_merge_gives_order_and_shared_prefixes():
 
 def test_query_columns(spark):
     assert substrings.query(spark, SF).columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_long_and_periodic_texts_and_long_strings(spark):
+    """Several segments a text, one anchor every other byte, and keys beyond 65,535 bytes."""
+    draw = random.Random(2)
+    noise = "".join(draw.choices("abcdefghijklmnop", k=400_000))
+    rows = [(1, noise), (2, "x" + noise[200_000:330_000])]
+    periodic = [(3, "ab" * 20_000), (4, "b" + "ab" * 300)]
+    docs = spark.createDataFrame(rows + periodic, "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in substrings.repeated_spans(docs).collect()}
+    assert found == {1: [(200_000, 330_000)], 2: [(1, 130_001)], 3: [(0, 40_000)], 4: [(0, 601)]}
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in substrings.repeated_spans(docs.where("doc_id < 3"), length=50_000).collect()}
+    assert found == {1: [(200_000, 330_000)], 2: [(1, 130_001)]}
