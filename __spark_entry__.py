@@ -29,13 +29,13 @@ from snapvault.operators.audit import (
     read_logs,
     read_manifests,
 )
-from snapvault.operators.filecopy import copy_files, files_as_table, write_files
-from snapvault.operators.items import items_frame, sidecars
+from snapvault.operators.filecopy import copy_files, delete_paths, files_as_table, write_files
+from snapvault.operators.items import file_items, items_frame, sidecars
 from snapvault.operators.restore import restore
 from snapvault.operators.retention import retain, snapshot_catalogue
 from snapvault.operators.snapshot import Source, snapshot, snapshot_many
-from snapvault.operators.tables import copy_table, copy_tables, profile_tables
-from snapvault.operators.verify import verify_content, verify_snapshot
+from snapvault.operators.tables import copy_table, copy_tables, profile_tables, store_table
+from snapvault.operators.verify import verify_content, verify_copied_files, verify_snapshot
 from snapvault.plans import restore as restore_plans
 from snapvault.plans import retention as retention_plans
 from snapvault.plans import summary
@@ -410,6 +410,36 @@ def q_verify_files(spark, sf_dir):
     return verify_plans.verify_files(_files(spark, sf_dir), _present_files(spark, sf_dir))
 
 
+def q_verify_files_content(spark, sf_dir):
+    """Copies of which some are then changed without a change of size, and some are lost."""
+    root = _lake(spark, sf_dir).files
+    target = scratch_dir(spark, "content_target")
+    status = copy_files(spark, only_files(walk(spark, root)), root, target)
+    items = file_items(status, root, target, "file_copy", TAKEN_AT)
+    docs = _documents(spark, sf_dir)
+    altered = F.concat(F.unhex(F.lit("01")), F.substring(F.encode("text", "UTF-8"), 2, 1 << 30))
+    write_files(spark, docs.where("doc_id % 10 = 3 AND text <> ''").select("relative_path", altered.alias("content")), target)
+    delete_paths(spark, docs.where("doc_id % 10 = 4"), target, directories=False)
+    checks = verify_copied_files(spark, items, target, content=True)
+    return checks.select("relative_path", "file_exists", "size_matches", "content_matches")
+
+
+def q_table_commit_pointer(spark, sf_dir):
+    """A table of versions: rows that are not those expected change nothing, and who reads an older version can finish."""
+    path, steps = f"{scratch_dir(_session(spark), 'versioned')}/orders", []
+    orders = _table(spark, sf_dir, "orders")
+
+    def told(step):
+        rows = scan_table(spark, path).agg(F.count("*").alias("row_count"), F.sum("o_orderkey").alias("key_sum"))
+        steps.append(rows.select(F.lit(step).alias("step"), "row_count", "key_sum"))
+
+    first = {"row_count": orders.count()}
+    for step, rows, expected in (("first", orders, first), ("refused", orders.where("o_orderkey % 2 = 0"), first), ("second", orders.where("o_orderstatus = 'F'"), None)):
+        store_table(spark, "orders", rows, path, overwrite=True, expected=expected, commit="pointer")
+        told(step)
+    return steps[0].union(steps[1]).union(steps[2])
+
+
 def q_file_inventory(spark, sf_dir):
     root = _lake(spark, sf_dir).files
     return file_inventory(spark, root).select("name", "relative_path", "is_directory", "size", "type")
@@ -822,6 +852,11 @@ UNION ALL SELECT 'intact', true, count(*), count(*) FROM lineitem""",
         "verify_snapshot": f"""WITH {_LAKE_COUNTS} SELECT name, true AS verified, true AS data_matches,
   row_count AS expected_rows, row_count AS actual_rows FROM lake""",
         "verify_files": f"WITH {_FILES}, {_CHECKED_FILES} SELECT * FROM fcheck",
+        "verify_files_content": f"""WITH {_FILES} SELECT relative_path, doc_id % 10 <> 4 AS file_exists, doc_id % 10 <> 4 AS size_matches,
+  CASE WHEN doc_id % 10 <> 4 THEN doc_id % 10 <> 3 OR bytes = 0 END AS content_matches FROM ffile""",
+        "table_commit_pointer": """SELECT 'first' AS step, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders
+UNION ALL SELECT 'refused', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+UNION ALL SELECT 'second', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus = 'F'""",
         "file_inventory": f"""WITH {_FILES}
 SELECT name, relative_path, false AS is_directory, bytes AS size, type FROM ffile
 UNION ALL SELECT DISTINCT source, source, true, 0, 'directory' FROM ffile

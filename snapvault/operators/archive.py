@@ -124,16 +124,19 @@ def _chosen_entries(entries: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _stored_schema(text: str) -> T.StructType | None:
-    """Schema document of an archive: Spark's own JSON, or a list of ``name`` and ``type``."""
+    """Schema document of an archive: Spark's own JSON, or a list of ``name`` and ``type``. Any other is an error, since
+    types that are guessed instead can change values; only an empty one says nothing."""
     try:
         document = json.loads(text)
+        if not document:
+            return None
         if isinstance(document, dict) and document.get("type") == "struct":
             return T.StructType.fromJson(document)
         columns = document.get("columns") if isinstance(document, dict) else document
         parts = [f"`{c['name']}` {DTYPES.get(c['type'], c['type'])}" for c in columns]
         return T.StructType.fromDDL(", ".join(parts))
-    except Exception:
-        return None
+    except Exception as error:
+        raise ValueError(f"schema document cannot be read: {type(error).__name__}") from error
 
 
 def _read_staged(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
@@ -194,10 +197,9 @@ def restore_tables(
         plan.where("format = 'csv'").select(F.col("name").alias("table_name")), "table_name"
     )
     table_of = F.get(F.split("entry", "/"), F.lit(1)).alias("name")
-    texts = entry_documents(documents, root).where("error IS NULL").groupBy(table_of)
-    schemas = {  # one document per table: those of its archives meet on the executors
-        r["name"]: r for r in texts.agg(F.min("text").alias("text"), F.max("text").alias("other")).collect()
-    }
+    texts = entry_documents(documents, root).groupBy(table_of)
+    told = texts.agg(F.min("text").alias("text"), F.max("text").alias("other"), F.min("error").alias("error"))
+    schemas = {r["name"]: r for r in told.collect()}  # one document per table: those of its archives meet on the executors
 
     def one(name: str) -> dict:
         target, chosen_format = f"{target_tables}/{name}", wanted[name]["format"]
@@ -208,6 +210,8 @@ def restore_tables(
             return failed_table(name, reason, target_path=target, **record)
         try:
             said = schemas.get(name)
+            if said and said["error"]:
+                return failed_table(name, f"schema document cannot be read: {said['error']}", target_path=target, **record)
             if said and said["text"] != said["other"]:
                 return failed_table(name, "archives disagree on the schema", target_path=target, **record)
             schema = _stored_schema(said["text"]) if said else None

@@ -17,7 +17,7 @@ ITEMS = (
     "kind string, name string, status string, row_count bigint, column_count int, columns array<string>, "
     "schema_json string, partition_columns array<string>, size_bytes bigint, hash_sum decimal(38,0), "
     "hash_xor bigint, method string, source_path string, target_path string, started_at timestamp, "
-    "finished_at timestamp, error string"
+    "finished_at timestamp, error string, digest string"
 )
 COLUMNS = [part.split()[0] for part in ITEMS.replace("decimal(38,0)", "decimal").split(", ")]
 
@@ -53,6 +53,7 @@ def file_items(status: DataFrame, source_root: str, target_root: str, method: st
         "started_at": F.lit(started),
         "finished_at": F.lit(now()),
         "error": F.col("error"),
+        "digest": F.col("digest"),
     }
     return status.select(*conform(values))
 

@@ -92,7 +92,7 @@ def _existing(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([], "name string, path string, error string")
 
 
-def _restore_tables(spark, snapshot, target, names, overwrite, dry_run, source_fmt, fmt, width) -> list[dict]:
+def _restore_tables(spark, snapshot, target, names, overwrite, dry_run, source_fmt, fmt, width, commit) -> list[dict]:
     recorded = Folders(spark).exists(f"{snapshot}/_items")
     if recorded:
         kept = read_items(spark, snapshot).where("kind = 'table' AND status = 'success'")
@@ -112,7 +112,7 @@ def _restore_tables(spark, snapshot, target, names, overwrite, dry_run, source_f
         if r["action"] == "skip"
     ]
     paths = {r["name"]: f"{snapshot}/tables/{r['name']}" for r in rows if r["action"] == "restore"}
-    return skipped + copy_tables(spark, paths, target, source_fmt, fmt, overwrite, width, records)
+    return skipped + copy_tables(spark, paths, target, source_fmt, fmt, overwrite, width, records, commit)
 
 
 def _restore_files(spark, snapshot, target, patterns, overwrite, dry_run, started) -> DataFrame | None:
@@ -123,7 +123,7 @@ def _restore_files(spark, snapshot, target, patterns, overwrite, dry_run, starte
     files = select_files(listing.where("NOT is_directory AND error IS NULL"), patterns)
     if Folders(spark).exists(target) and not overwrite:
         there = walk(spark, target, include_hidden=True)
-        present = only_files(there).select("relative_path")
+        present = there.where("NOT is_directory").select("relative_path")
         # What stands in a folder that cannot be listed is not known, so nothing is written into it.
         unknown = settled(below_unread(files, there.where("is_directory AND error IS NOT NULL")), "unknown")
     else:
@@ -144,6 +144,9 @@ def _restore_files(spark, snapshot, target, patterns, overwrite, dry_run, starte
         skipped = files.join(present, "relative_path", "left_semi").join(unknown, "relative_path", "left_anti")
         skipped = skipped.select(*conform(values | {"status": F.lit("skipped"), "error": F.lit("exists")}))
         aside, todo = settled(aside.unionByName(skipped), "aside"), settled(todo, "todo")
+    if Folders(spark).exists(f"{snapshot}/_items"):
+        known = read_items(spark, snapshot).where("kind = 'file' AND status = 'success' AND digest IS NOT NULL")
+        todo = todo.select("relative_path", "size").join(known.select(F.col("name").alias("relative_path"), "digest"), "relative_path", "left")
     status = copy_files(spark, todo, source, target)
     return file_items(status, source, target, "file_copy", started).unionByName(aside)
 
@@ -164,12 +167,14 @@ def restore(
     source_fmt: str = "parquet",
     fmt: str = "parquet",
     width: int = 8,
+    commit: str = "rename",
 ) -> RestoreRun:
     """Restore a snapshot of any layout into a lakehouse.
 
     A dry run only returns the plan. Otherwise item records, log and manifest are written to
     ``Files/_restore_items_<time>_<id>`` and so on, and the run is checked by ``counts`` or ``content``; a run that does
-    not pass is ``failed``. Rows of a snapshot that are not those on its record never take a table's place.
+    not pass is ``failed``. Rows of a snapshot that are not those on its record never take a table's place, nor do files whose
+    bytes are not those on record a file's. ``commit`` is how tables are put in place: ``rename`` or ``pointer``.
     """
     configure(spark)
     if verify not in ("counts", "content", None):
@@ -185,7 +190,7 @@ def restore(
             raise ValueError(f"{snapshot} has no manifest: its snapshot did not finish")
         records = []
         if tables:
-            args = (snapshot, target.tables, table_names, overwrite, dry_run, source_fmt, fmt, width)
+            args = (snapshot, target.tables, table_names, overwrite, dry_run, source_fmt, fmt, width, commit)
             records = _restore_tables(spark, *args)
         items = items_frame(spark, records)
         if files:
@@ -235,7 +240,7 @@ def restore(
         if folders.exists(rows_table):
             kept = kept_files(scan_table(spark, rows_table).where(F.col("run_id") == stamp))
         table_checks = verify_tables(spark, items, verify == "content", fmt, width)
-        file_checks = verify_copied_files(spark, items, target.files, kept)
+        file_checks = verify_copied_files(spark, items, target.files, kept, verify == "content")
         table_checks = table_checks.drop("error").unionByName(refused_tables(items))
         passed = verdict(table_checks, file_checks).head()["overall_success"]
         log.add(f"verification by {verify}: {'passed' if passed else 'FAILED'}", "INFO" if passed else "ERROR")

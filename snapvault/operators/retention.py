@@ -16,7 +16,7 @@ from snapvault.plans.retention import retention_plan, retention_result, retentio
 from snapvault.session import settled
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, folder_sizes, only_files, walk
-from snapvault.sources.workers import resolve
+from snapvault.sources.workers import LINKED, resolve
 
 
 BULK_FILES = 50_000  # files of one folder that one call removes
@@ -34,16 +34,22 @@ def snapshot_catalogue(spark: SparkSession, root: str, sizes: bool = True) -> Da
     """``name``, ``path``, ``size_bytes`` and ``error`` of each snapshot folder below ``root``.
 
     Hidden folders inside a snapshot count towards its size. A snapshot that cannot be listed in
-    full has no size, but an error.
+    full has no size, but an error; so has a folder that is a link, which is never followed nor deleted.
     """
-    folders = child_directories(spark, root).where("error IS NULL").drop("error")
+    folders = child_directories(spark, root)
     if not sizes:
-        return folders.withColumn("size_bytes", F.lit(None).cast("bigint")).withColumn("error", F.lit(None).cast("string"))
-    starts = folders.select(F.col("name").alias("relative_path"))
-    found = folder_sizes(walk(spark, root, include_hidden=True, starts=starts))
-    return folders.join(found, "name", "left").withColumn(
-        "size_bytes", F.when(F.col("error").isNull(), F.coalesce("size_bytes", F.lit(0)))
-    )
+        return folders.select("name", "path", F.lit(None).cast("bigint").alias("size_bytes"), "error")
+    starts = folders.where("error IS NULL").select(F.col("name").alias("relative_path"))
+    found = folder_sizes(walk(spark, root, include_hidden=True, starts=starts)).withColumnRenamed("error", "fault")
+    error = F.coalesce("error", "fault")
+    size = F.when(error.isNull(), F.coalesce("size_bytes", F.lit(0)))
+    return folders.join(found, "name", "left").select("name", "path", size.alias("size_bytes"), error.alias("error"))
+
+
+def spare_links(plan: DataFrame) -> DataFrame:
+    """Folders that are links stay: what they lead to is not below the root."""
+    linked = F.coalesce(F.col("error") == LINKED, F.lit(False))
+    return plan.withColumn("action", F.when(linked & (F.col("action") == "delete"), F.lit("retain")).otherwise(F.col("action")))
 
 
 def delete_snapshots(spark: SparkSession, root: str, plan: DataFrame, by_file: bool | None = None) -> DataFrame:
@@ -104,7 +110,7 @@ def retain(
     """
     started, log = now(), RunLog()
     catalogue = snapshot_catalogue(spark, root, sizes)
-    plan = settled(retention_plan(catalogue, as_of or started, retention_days, pattern, strict), "plan")
+    plan = settled(spare_links(retention_plan(catalogue, as_of or started, retention_days, pattern, strict)), "plan")
     deletions = None if dry_run else delete_snapshots(spark, root, plan)
     result = retention_result(plan, deletions)
     if write_log:

@@ -72,7 +72,7 @@ def _copy_files(spark: SparkSession, source_root: str, target_root: str, started
         F.lit(None).cast("bigint").alias("written_bytes"),
         "error",
     )
-    return file_items(status.unionByName(unread), source_root, target_root, "file_copy", started)
+    return file_items(status.unionByName(unread, allowMissingColumns=True), source_root, target_root, "file_copy", started)
 
 
 def snapshot(
@@ -91,7 +91,7 @@ def snapshot(
     """Copy the tables and files of a lakehouse into a new snapshot folder below ``backup_root``.
 
     ``table_paths`` names tables that lie elsewhere; by default the folders below ``Tables/`` are
-    taken. ``verify`` is ``counts``, ``content`` or None. The manifest is written last and marks
+    taken. ``verify`` is ``counts``, ``content`` (of tables and files) or None. The manifest is written last and marks
     the snapshot as complete. Single tables or files that fail are rows with status ``failed``.
     """
     if verify not in ("counts", "content", None):

@@ -12,7 +12,7 @@ from snapvault.functions.fingerprint import checksum_aggregates, row_hash
 from snapvault.operators.items import in_parallel, item, now
 from snapvault.plans.verify import MISMATCH
 from snapvault.sources.hadoop import Folders
-from snapvault.sources.tables import replace_table, scan_exact, write_table
+from snapvault.sources.tables import replace_table, scan_exact
 
 PROFILE = (
     "name string, row_count bigint, column_count bigint, columns array<string>, schema_json string, error string"
@@ -57,12 +57,13 @@ def store_table(
     partition_by: list[str] | tuple = (),
     overwrite: bool = False,
     expected: dict | None = None,
+    commit: str = "rename",
     **record,
 ) -> dict:
     """Write a table and return its item record. Count, checksum and copy are one scan.
 
-    ``expected`` is the count and checksum that the rows must have, as far as they are known; others fail the table, and a table that stands at the
-    target stays.
+    ``expected`` is the count and checksum that the rows must have, as far as they are known; others fail the table, and nothing
+    of them is ever seen under its name. ``commit`` is ``rename`` or ``pointer``, see :func:`replace_table`.
     """
     started, folders = now(), Folders(spark)
     existed = folders.exists(target_path)
@@ -74,11 +75,9 @@ def store_table(
             if any(found[k] != v for k, v in (expected or {}).items()):
                 raise ValueError(f"{MISMATCH}: {found['row_count']}, recorded {expected['row_count']}")
 
-        if overwrite:
-            replace_table(spark, passing, target_path, fmt, partition_by, check)
-        else:
-            write_table(passing, target_path, fmt, "errorifexists", partition_by)
-            check()
+        if existed and not overwrite:
+            raise FileExistsError(target_path)
+        replace_table(spark, passing, target_path, fmt, partition_by, check if expected else None, commit)
         return item(
             "table",
             name,
@@ -113,6 +112,7 @@ def copy_table(
     fmt: str = "parquet",
     overwrite: bool = False,
     recorded: dict | None = None,
+    commit: str = "rename",
 ) -> dict:
     """Copy one table, partitions included, and return its item record.
 
@@ -132,7 +132,7 @@ def copy_table(
         df, parts = scan_exact(spark, source_path, source_fmt, known)
     except Exception as error:
         return failed_table(name, error, target_path=target_path, started_at=now(), **record)
-    return store_table(spark, name, df, target_path, fmt, parts, overwrite, expected, **record)
+    return store_table(spark, name, df, target_path, fmt, parts, overwrite, expected, commit, **record)
 
 
 def copy_tables(
@@ -144,10 +144,11 @@ def copy_tables(
     overwrite: bool = False,
     width: int = 8,
     recorded: dict[str, dict] | None = None,
+    commit: str = "rename",
 ) -> list[dict]:
     """Copy every table to ``<target_root>/<name>``; one failure does not stop the rest."""
     records = recorded or {}
     one = lambda pair: copy_table(
-        spark, pair[0], pair[1], f"{target_root}/{pair[0]}", source_fmt, fmt, overwrite, records.get(pair[0])
+        spark, pair[0], pair[1], f"{target_root}/{pair[0]}", source_fmt, fmt, overwrite, records.get(pair[0]), commit
     )
     return in_parallel(spark, one, list(paths.items()), width)

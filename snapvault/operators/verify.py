@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from snapvault.functions.fingerprint import checksum
 from snapvault.operators.audit import read_items
+from snapvault.operators.filecopy import file_digests
 from snapvault.operators.items import in_parallel
 from snapvault.operators.tables import message
 from snapvault.plans.verify import compare_checksums, compare_rows, counts_checked, same_columns, verify_files
@@ -83,9 +84,12 @@ def verify_tables(
 
 
 def verify_copied_files(
-    spark: SparkSession, items: DataFrame, root: str, rows_table: DataFrame | None = None
+    spark: SparkSession, items: DataFrame, root: str, rows_table: DataFrame | None = None, content: bool = False
 ) -> DataFrame | None:
-    """Files that a run copied against what is below ``root`` now; None if it copied none."""
+    """Files that a run copied against what is below ``root`` now; None if it copied none.
+
+    With ``content`` every file whose digest is on record is read, 64 MB a row of work, and compared with it.
+    """
     if items.where("kind = 'file' AND status = 'success'").isEmpty():
         return None
     done = items.where("kind = 'file' AND status = 'success'")
@@ -94,6 +98,11 @@ def verify_copied_files(
         present = only_files(walk(spark, root, include_hidden=True)).select("relative_path", "size")
     else:
         present = spark.createDataFrame([], "relative_path string, size bigint")
+    if content:
+        recorded = done.where("digest IS NOT NULL").select(F.col("name").alias("relative_path"), "digest")
+        found = file_digests(spark, root, present.join(recorded, "relative_path", "left_semi"))
+        present = present.join(found.select("relative_path", "digest"), "relative_path", "left")
+        expected = expected.join(recorded, "relative_path", "left")
     return verify_files(expected, present, rows_table)
 
 
@@ -104,4 +113,6 @@ def verify_snapshot(
     items = read_items(spark, snapshot)
     # The records name the folder written to at the time; the snapshot may have been moved since.
     here = items.withColumn("target_path", F.concat(F.lit(f"{snapshot}/tables/"), F.col("name")))
-    return verify_tables(spark, here, content, fmt, width), verify_copied_files(spark, items, f"{snapshot}/files")
+    return verify_tables(spark, here, content, fmt, width), verify_copied_files(
+        spark, items, f"{snapshot}/files", content=content
+    )

@@ -38,8 +38,15 @@ def refused_tables(items: DataFrame) -> DataFrame:
 
 
 def verify_files(source: DataFrame, target: DataFrame, kept_as_rows: DataFrame | None = None) -> DataFrame:
-    """Per source file: is it at the target (as a file, or as a row of the fallback table), same size?"""
+    """Per source file: is it at the target (as a file, or as a row of the fallback table), same size?
+
+    Where both sides have a ``digest``, also ``content_matches``: null for files that are not there, not as files, or without a digest
+    on record; false where the target's could not be taken.
+    """
+    content = "digest" in source.columns and "digest" in target.columns
     found = target.select("relative_path", F.col("size").alias("target_size"), F.lit("file_copy").alias("restore_method"))
+    if content:
+        digests = target.select("relative_path", F.col("digest").alias("target_digest"))
     if kept_as_rows is not None:
         rows = kept_as_rows.select(
             F.col("original_path").alias("relative_path"),
@@ -52,11 +59,17 @@ def verify_files(source: DataFrame, target: DataFrame, kept_as_rows: DataFrame |
             F.min("restore_method").alias("restore_method"),
         )
     exists = F.col("restore_method").isNotNull()
-    return source.join(found, "relative_path", "left").select(
+    joined, more = source.join(found, "relative_path", "left"), []
+    if content:
+        joined = joined.join(digests, "relative_path", "left")
+        known = (F.col("restore_method") == "file_copy") & F.col("digest").isNotNull()
+        more = [F.when(known, F.col("digest").eqNullSafe(F.col("target_digest"))).alias("content_matches")]
+    return joined.select(
         "relative_path",
         exists.alias("file_exists"),
         (exists & F.col("size").eqNullSafe(F.col("target_size"))).alias("size_matches"),
         "restore_method",
+        *more,
     )
 
 
@@ -64,10 +77,11 @@ def verdict(tables: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row over all checks; any mismatch clears ``overall_success``."""
     rows = tables.select(F.lit("table").alias("kind"), "verified", F.col("data_matches").alias("ok"))
     if files is not None:
+        same = F.coalesce("content_matches", F.lit(True)) if "content_matches" in files.columns else F.lit(True)
         checks = files.select(
             F.lit("file").alias("kind"),
             F.lit(True).alias("verified"),
-            (F.col("file_exists") & F.col("size_matches")).alias("ok"),
+            (F.col("file_exists") & F.col("size_matches") & same).alias("ok"),
         )
         rows = rows.unionByName(checks)
     is_table, is_file = F.col("kind") == "table", F.col("kind") == "file"

@@ -30,7 +30,11 @@ _own: set[str] = set()
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and Folders(spark).qualified(base).startswith("file:"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is on a local disk")
     root = f"{base.rstrip('/')}/_snapvault/{spark.sparkContext.applicationId}"
     if spark.sparkContext.master.startswith("local[") and root not in _own:
         _own.add(root)  # in local mode nobody else cleans up when the process ends
@@ -39,8 +43,8 @@ def _scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder named in ``spark.checkpoint.dir``, else under the warehouse, which all
-    executors share as well."""
+    """A new folder name under the shared folder named in ``spark.checkpoint.dir``, else under the warehouse. On a cluster a
+    warehouse on a local disk is refused: each executor would write to its own."""
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 

@@ -96,18 +96,22 @@ def child_directories(spark: SparkSession, root: str, include_hidden: bool = Fal
 
 
 def binary_file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """The files below ``root``, empty ones too; their bytes are not read (:func:`files_as_rows` does that)."""
-    return only_files(file_inventory(spark, root)).drop("error")
+    """The files below ``root``, empty ones too; their bytes are not read (:func:`files_as_rows` does that).
+
+    A folder that cannot be listed and a link that leads nowhere are rows with an ``error``.
+    """
+    return file_inventory(spark, root).where("NOT is_directory OR error IS NOT NULL")
 
 
 def only_files(inventory: DataFrame) -> DataFrame:
-    return inventory.where("NOT is_directory")
+    files = inventory.where("NOT is_directory")
+    return files.where("error IS NULL") if "error" in inventory.columns else files
 
 
 def folder_sizes(inventory: DataFrame, folder: Column | None = None) -> DataFrame:
-    """Bytes per top-level folder; null with an ``error`` when a part of it could not be listed."""
+    """Bytes per top-level folder; null with an ``error`` when a part of it could not be listed. Links to nothing have no bytes."""
     name = F.substring_index("relative_path", "/", 1) if folder is None else folder
-    error = F.max("error") if "error" in inventory.columns else F.lit(None).cast("string")
+    error = F.max(F.when(F.col("is_directory"), F.col("error"))) if "error" in inventory.columns else F.lit(None).cast("string")
     total = F.coalesce(F.sum(F.when(~F.col("is_directory"), F.col("size"))), F.lit(0))
     return (
         inventory.groupBy(name.alias("name"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapvault.sources.hadoop import Folders
+from snapvault.sources.versions import POINTERS, collect_versions, current, latest, new_version, point
 
 # Formats whose folders Spark reads by partition discovery; the others keep their own table log.
 FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
@@ -33,7 +34,7 @@ def literal(path: str) -> str:
 
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    return spark.read.format(fmt).options(**options).load(literal(path))
+    return spark.read.format(fmt).options(**options).load(literal(current(spark, path) if fmt in FILE_FORMATS else path))
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -62,6 +63,7 @@ def scan_exact(
         df = scan_table(spark, path, fmt)
         details = spark.sql(f"DESCRIBE DETAIL {fmt}.`{path}`") if fmt == "delta" else None
         return df, list(details.head()["partitionColumns"]) if details is not None else []
+    path = current(spark, path)
     options = {"ignoreCorruptFiles": False, "ignoreMissingFiles": False}
     if known is not None:
         return spark.read.format(fmt).schema(known[0]).options(**options).load(literal(path)), known[1]
@@ -81,26 +83,49 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     writer.save(path)
 
 
+COMMITS = ("rename", "pointer")
+
+
 def replace_table(
-    spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet", partition_by=(), check: Callable[[], None] | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by=(),
+    check: Callable[[], None] | None = None,
+    commit: str = "rename",
 ) -> None:
-    """Overwrite a table; the old one stays in place until the new one is complete and ``check`` has not raised.
+    """Put a table in place of what is at ``path``, which stays until the new rows are complete and ``check`` has not raised.
 
-    Formats with a table log swap atomically by themselves, before the check. File formats are written to a hidden
-    folder next to the target and renamed.
+    File formats are written to a hidden folder and renamed, or, with ``commit="pointer"`` and wherever there is a pointer
+    already, written as a new version that the next pointer names (:mod:`snapvault.sources.versions`); nothing is renamed then.
+    Formats with a table log swap atomically by themselves; where there is a check, their rows are staged and checked before.
     """
+    if commit not in COMMITS:
+        raise ValueError(f"unknown commit: {commit}")
     folders = Folders(spark)
-    check = check or (lambda: None)
-    if fmt not in FILE_FORMATS or not folders.exists(path):
-        write_table(df, path, fmt, "errorifexists" if fmt in FILE_FORMATS else "overwrite", partition_by)
-        check()
-        return
-    parent, name = path.rstrip("/").rsplit("/", 1)
+    path = path.rstrip("/")
+    parent, name = path.rsplit("/", 1)
     run = uuid.uuid4().hex
     staged, old = f"{parent}/.staging-{run}/{name}", f"{parent}/.replaced-{run}/{name}"
+    if fmt in FILE_FORMATS and (commit == "pointer" or folders.exists(f"{path}/{POINTERS}")):
+        _replace_by_pointer(spark, df, path, fmt, partition_by, check)
+        return
+    if check is None and (fmt not in FILE_FORMATS or not folders.exists(path)):
+        write_table(df, path, fmt, "errorifexists" if fmt in FILE_FORMATS else "overwrite", partition_by)
+        return
     try:
+        if fmt not in FILE_FORMATS:
+            write_table(df, staged)
+            check()
+            write_table(spark.read.schema(df.schema).parquet(literal(staged)), path, fmt, "overwrite", partition_by)
+            return
         write_table(df, staged, fmt, "errorifexists", partition_by)
-        check()
+        if check is not None:
+            check()
+        if not folders.exists(path):
+            folders.rename(staged, path)
+            return
         folders.make(f"{parent}/.replaced-{run}")
         folders.rename(path, old)
         try:
@@ -111,3 +136,16 @@ def replace_table(
         folders.delete(f"{parent}/.replaced-{run}")
     finally:
         folders.delete(f"{parent}/.staging-{run}")
+
+
+def _replace_by_pointer(spark, df, path, fmt, partition_by, check) -> None:
+    before, version = latest(spark, path), new_version()
+    try:
+        write_table(df, f"{path}/{version}", fmt, "errorifexists", partition_by)
+        if check is not None:
+            check()
+        point(spark, path, version, before)
+    except Exception:
+        Folders(spark).delete(f"{path}/{version}")
+        raise
+    collect_versions(spark, path)

@@ -8,6 +8,7 @@ already gone counts as done.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import os
 import posixpath
@@ -30,6 +31,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 4 << 20
 BATCH_ROWS = 5_000
+SEGMENT_BYTES = 64 << 20  # of a file that has a digest of its own
+LINKED = "linked folder, not followed"
+NOWHERE = "link to nothing"
 OBJECT_STORES = ("s3", "gcs", "abfs")
 # Fixed value: the largest object that S3-like stores copy in one request. A larger one passes through its task in blocks.
 STORE_COPY_LIMIT = 5 << 30
@@ -87,17 +91,19 @@ LISTING = pa.schema(
 def _directory_entries(fs: pafs.FileSystem, path: str):
     """(name, is directory, size, time, error) of each child; local folders are read as a stream.
 
-    A linked folder is not followed, since links can form a ring; it is an entry with an error.
+    A linked folder is not followed, since links can form a ring; it is an entry with an error, as is a link to nothing.
     """
     if isinstance(fs, pafs.LocalFileSystem):
         with os.scandir(path) as entries:
             for entry in entries:
                 try:
                     info = entry.stat()
-                except FileNotFoundError:  # gone since the listing, or a link to nothing
-                    continue
+                except FileNotFoundError:
+                    if entry.is_symlink():
+                        yield entry.name, False, None, None, NOWHERE
+                    continue  # else gone since the listing
                 is_dir = stat.S_ISDIR(info.st_mode)
-                linked = "linked folder, not followed" if is_dir and entry.is_symlink() else None
+                linked = LINKED if is_dir and entry.is_symlink() else None
                 when = datetime.fromtimestamp(info.st_mtime, timezone.utc)
                 yield entry.name, is_dir, 0 if is_dir else info.st_size, when, linked
         return
@@ -158,10 +164,39 @@ STATUS = pa.schema(
         ("status", pa.string()),
         ("written_bytes", pa.int64()),
         ("error", pa.string()),
+        ("digest", pa.string()),
     ]
 )
 
 
+class Digest:
+    """SHA-256 of each segment of the bytes that pass by, and of these digests in order: the digest of a file.
+
+    So a file can be checked by many tasks, a segment each, and a copy takes it while it streams.
+    """
+
+    def __init__(self, segment_bytes: int = SEGMENT_BYTES):
+        self._size, self._whole = segment_bytes, []
+        self._open, self._left = hashlib.sha256(), segment_bytes
+
+    def update(self, block) -> None:
+        rest = memoryview(block)
+        while len(rest):
+            part, rest = rest[: self._left], rest[self._left :]
+            self._open.update(part)
+            self._left -= len(part)
+            if not self._left:
+                self._whole.append(self._open.hexdigest())
+                self._open, self._left = hashlib.sha256(), self._size
+
+    def hexdigest(self) -> str:
+        last = [] if self._whole and self._left == self._size else [self._open.hexdigest()]
+        return hashlib.sha256("".join(self._whole + last).encode()).hexdigest()
+
+
+ALTERED = "content is not that of its record"
+
+
 class Target:
     """Writes whole files below a root.
 
@@ -187,13 +222,20 @@ class Target:
             if len(self.made) > 100_000:
                 self.made.clear()
 
-    def put(self, source, relative: str) -> int:
-        """Stream ``source`` into the file, block by block."""
+    def put(self, source, relative: str, digest: Digest | None = None, expected: str | None = None) -> int:
+        """Stream ``source`` into the file, block by block, past ``digest``. If that is not ``expected`` in the end, it is an error, and
+        the file does not get its place (on object stores, which are written in place, it is removed again)."""
 
         def stream(path):
             with self.fs.open_output_stream(path, compression=None) as sink:
-                shutil.copyfileobj(source, sink, BLOCK)
-                return sink.tell()
+                while block := source.read(BLOCK):
+                    if digest is not None:
+                        digest.update(block)
+                    sink.write(block)
+                written = sink.tell()
+            if expected is not None and digest.hexdigest() != expected:
+                raise OSError(ALTERED)
+            return written
 
         return self._write(stream, relative)
 
@@ -236,27 +278,30 @@ class Target:
 
 
 def copier(source_root: str, target_root: str, staging: str):
-    """Copy each file named in ``relative_path`` below one root to the same place below another."""
+    """Copy each file named in ``relative_path`` below one root to the same place below another, with a digest of its bytes.
+
+    A ``digest`` that comes with a row is the one its bytes must have. Object stores copy inside themselves, without a digest,
+    unless one is asked for.
+    """
 
-    def one(source_fs, source_base, target, relative, size):
+    def one(source_fs, source_base, target, relative, size, expected):
         try:
-            path = posixpath.join(source_base, relative)
-            if source_fs.equals(target.fs):
-                return (relative, size, "success", target.put_same_store(path, relative, size), None)
+            path, digest = posixpath.join(source_base, relative), Digest()
+            if target.in_place and not expected and source_fs.equals(target.fs):
+                return (relative, size, "success", target.put_same_store(path, relative, size), None, None)
             with source_fs.open_input_stream(path, compression=None) as source:
-                return (relative, size, "success", target.put(source, relative), None)
+                written = target.put(source, relative, digest, expected)
+            return (relative, size, "success", written, None, digest.hexdigest())
         except Exception as error:
-            return (relative, size, "failed", None, _text(error))
+            return (relative, size, "failed", None, _text(error), None)
 
     def run(batches):
         source_fs, source_base = resolve(source_root)
         target = Target(target_root, staging)
         rows = (
-            one(source_fs, source_base, target, relative, size)
+            one(source_fs, source_base, target, row["relative_path"], row["size"], row.get("digest"))
             for batch in batches
-            for relative, size in zip(
-                batch.column("relative_path").to_pylist(), batch.column("size").to_pylist()
-            )
+            for row in batch.to_pylist()
         )
         yield from _in_batches(STATUS, rows)
 
@@ -307,6 +352,34 @@ def reader(root: str):
     return run
 
 
+SEGMENTS = pa.schema([("relative_path", pa.string()), ("part", pa.int32()), ("digest", pa.string()), ("error", pa.string())])
+
+
+def hasher(root: str):
+    """SHA-256 of each part (``offset``, ``size``) of a file."""
+
+    def one(fs, base, row):
+        try:
+            digest, left = hashlib.sha256(), row["size"]
+            with fs.open_input_file(posixpath.join(base, row["relative_path"])) as source:
+                source.seek(row["offset"])
+                while left:
+                    block = source.read(min(BLOCK, left))
+                    if not block:
+                        raise OSError(f"{left} bytes less than were listed")
+                    digest.update(block)
+                    left -= len(block)
+            return (row["relative_path"], row["part"], digest.hexdigest(), None)
+        except Exception as error:
+            return (row["relative_path"], row["part"], None, _text(error))
+
+    def run(batches):
+        fs, base = resolve(root)
+        yield from _in_batches(SEGMENTS, (one(fs, base, row) for batch in batches for row in batch.to_pylist()))
+
+    return run
+
+
 def writer(target_root: str, staging: str):
     """Write each row's ``content`` to a file at ``relative_path``."""
 
@@ -315,9 +388,11 @@ def writer(target_root: str, staging: str):
         try:
             if relative is None or content is None:
                 raise ValueError("no path" if relative is None else "no content")
-            return (relative, size, "success", target.put(io.BytesIO(content), relative), None)
+            digest = Digest()
+            written = target.put(io.BytesIO(content), relative, digest)
+            return (relative, size, "success", written, None, digest.hexdigest())
         except Exception as error:
-            return (relative, size, "failed", None, _text(error))
+            return (relative, size, "failed", None, _text(error), None)
 
     def run(batches):
         target = Target(target_root, staging)

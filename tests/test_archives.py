@@ -315,3 +315,12 @@ def test_two_restores_in_the_same_second(spark, snap, tmp_path, monkeypatch):
     target = Lakehouse(str(tmp_path / "t"))
     assert len({restore(spark, snap, target).manifest.head()["restore_id"] for _ in range(2)}) == 2
     assert len([n for n in os.listdir(target.files) if n.startswith("_restore_manifest_")]) == 2
+
+
+@pytest.mark.parametrize("document", ["{not json", '{"fields": 1}', '[{"name": "id", "type": "no such type"}]'])
+def test_a_schema_document_that_cannot_be_read_fails_the_table(spark, tmp_path, document):
+    """Guessed types would turn 007 into 7 and call it success."""
+    root = write_tree(tmp_path / "s", {"1.zip": zipped([("tables/t/t.csv", "id\n007\n"), ("tables/t/schema.json", document)])})
+    row = ops.restore_tables(spark, scan(spark, root), root, str(tmp_path / "t"))[0]
+    assert row["status"] == "failed" and "schema document cannot be read" in row["error"]
+    assert not (tmp_path / "t" / "t").exists()

@@ -1,0 +1,187 @@
+"""Digests of copied files: taken while they stream, read back part by part, checked before a file gets its place; and listing
+errors that must not vanish."""
+
+import hashlib
+import os
+from datetime import datetime
+
+import pytest
+from conftest import tree_of, write_tree
+from pyspark.sql import functions as F
+
+from snapvault import Lakehouse, Source, restore, retain, snapshot, verify_snapshot
+from snapvault.operators.filecopy import copy_files, file_digests, files_as_table, kept_files
+from snapvault.operators.retention import snapshot_catalogue
+from snapvault.plans.verify import verdict, verify_files
+from snapvault.sources import workers
+from snapvault.sources.inventory import binary_file_inventory, folder_sizes, only_files, walk
+
+AT = datetime(2025, 11, 10, 14, 30, 15)
+FILES = {"a.txt": "a", "empty": "", "d/large": bytes(range(256)) * 40_000, "d/x y%.bin": b"\x00" * 1000}
+
+
+def plain(content, part):
+    content = content if isinstance(content, bytes) else content.encode()
+    pieces = [content[i : i + part] for i in range(0, len(content), part)] or [b""]
+    return hashlib.sha256("".join(hashlib.sha256(p).hexdigest() for p in pieces).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("part", [1, 7, 999, 1000, 1001, 1 << 20])
+@pytest.mark.parametrize("block", [1, 500, 4096])
+def test_digest_of_a_stream(part, block):
+    content = os.urandom(2000)
+    digest = workers.Digest(part)
+    for i in range(0, len(content), block):
+        digest.update(content[i : i + block])
+    assert digest.hexdigest() == plain(content, part)
+    assert workers.Digest(part).hexdigest() == plain(b"", part)
+
+
+def test_copies_and_parts_agree(spark, tmp_path):
+    source, target = write_tree(tmp_path / "s", FILES), str(tmp_path / "t")
+    files = only_files(walk(spark, source)).select("relative_path", "size")
+    told = {r["relative_path"]: r["digest"] for r in copy_files(spark, files, source, target).collect()}
+    assert told == {n: plain(c, workers.SEGMENT_BYTES) for n, c in FILES.items()}
+    read = {r["relative_path"]: r["digest"] for r in file_digests(spark, target, files).collect()}
+    assert read == told
+    small = {r["relative_path"]: r["digest"] for r in file_digests(spark, target, files, part_bytes=1000).collect()}
+    assert small == {n: plain(c, 1000) for n, c in FILES.items()}
+
+
+def test_files_that_cannot_be_read_have_no_digest(spark, tmp_path):
+    source = write_tree(tmp_path / "s", {"a": "abc"})
+    files = spark.createDataFrame([("a", 3), ("a2", 1), ("short", 9)], "relative_path string, size bigint")
+    write_tree(tmp_path / "s", {"short": "abc"})
+    rows = {r["relative_path"]: r for r in file_digests(spark, source, files).collect()}
+    assert rows["a"]["digest"] and not rows["a"]["error"]
+    assert rows["a2"]["digest"] is None and "FileNotFound" in rows["a2"]["error"]
+    assert rows["short"]["digest"] is None and "less than were listed" in rows["short"]["error"]
+
+
+def test_other_bytes_than_expected_do_not_get_the_place(spark, tmp_path):
+    source, target = write_tree(tmp_path / "s", {"a": "new", "b": "new"}), write_tree(tmp_path / "t", {"a": "old", "b": "old"})
+    rows = [("a", 3, plain("new", 1 << 26)), ("b", 3, plain("neW", 1 << 26))]
+    status = copy_files(spark, spark.createDataFrame(rows, "relative_path string, size bigint, digest string"), source, target)
+    got = {r["relative_path"]: (r["status"], r["error"]) for r in status.collect()}
+    assert got["a"] == ("success", None) and got["b"][0] == "failed" and workers.ALTERED in got["b"][1]
+    assert tree_of(target) == {"a": b"new", "b": b"old"}
+
+
+def test_comparison_of_contents(spark):
+    columns = "relative_path string, size bigint, digest string"
+    source = [("same", 1, "x"), ("other", 1, "x"), ("unread", 1, "x"), ("unknown", 1, None), ("lost", 1, "x"), ("row", 1, "x")]
+    target = [("same", 1, "x"), ("other", 1, "y"), ("unread", 1, None), ("unknown", 1, "x")]
+    kept = spark.createDataFrame([("row", 1)], "original_path string, size_bytes bigint")
+    checks = verify_files(spark.createDataFrame(source, columns), spark.createDataFrame(target, columns), kept)
+    got = {r["relative_path"]: r["content_matches"] for r in checks.collect()}
+    assert got == {"same": True, "other": False, "unread": False, "unknown": None, "lost": None, "row": None}
+    none = spark.createDataFrame([], "name string, verified boolean, data_matches boolean")
+    assert tuple(verdict(none, checks).head())[2:] == (6, 3, False)
+    assert verdict(none, checks.where("relative_path IN ('same', 'unknown', 'row')")).head()["overall_success"]
+
+
+def flip(path, at=0):
+    with open(path, "r+b") as f:
+        f.seek(at)
+        byte = f.read(1)
+        f.seek(at)
+        f.write(bytes([byte[0] ^ 1]))
+    crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+    assert not os.path.exists(crc)
+
+
+def test_one_flipped_byte_is_found_and_not_restored(spark, tmp_path):
+    lake, target = Lakehouse(str(tmp_path / "lake")), Lakehouse(str(tmp_path / "target"))
+    write_tree(lake.files, FILES)
+    taken = snapshot(spark, Source(lake, "l", "w"), str(tmp_path / "backups"), AT, verify="content")
+    assert taken.manifest.head()["verification_passed"]
+    assert {r["digest"] for r in taken.items.collect()} == {plain(c, 1 << 26) for c in FILES.values()}
+    flip(f"{taken.path}/files/d/large", 5_000_000)
+    _, files = verify_snapshot(spark, taken.path, content=True)
+    assert {r["relative_path"] for r in files.where("NOT content_matches").collect()} == {"d/large"}
+    assert files.where("NOT size_matches").isEmpty()
+    _, files = verify_snapshot(spark, taken.path, content=False)
+    assert "content_matches" not in files.columns
+
+    write_tree(target.files, {"d/large": "kept"})
+    run = restore(spark, taken.path, target, verify="content")
+    got = {r["name"]: (r["status"], r["error"]) for r in run.items.collect()}
+    assert got.pop("d/large") == ("failed", f"OSError: {workers.ALTERED}")
+    assert {status for status, _ in got.values()} == {"success"}
+    assert tree_of(target.files)["d/large"] == b"kept" and run.manifest.head()["status"] != "success"
+
+
+def test_records_without_digests_are_still_read(spark, tmp_path):
+    """Snapshots of earlier versions have no such column."""
+    lake = Lakehouse(str(tmp_path / "lake"))
+    write_tree(lake.files, {"a": "1"})
+    taken = snapshot(spark, Source(lake, "l", "w"), str(tmp_path / "backups"), AT)
+    rows = taken.items.drop("digest").collect()
+    old = spark.createDataFrame(rows, taken.items.drop("digest").schema)
+    old.write.mode("overwrite").parquet(f"{taken.path}/_items")
+    _, files = verify_snapshot(spark, taken.path, content=True)
+    assert [(r["file_exists"], r["content_matches"]) for r in files.collect()] == [(True, None)]
+    assert restore(spark, taken.path, Lakehouse(str(tmp_path / "t"))).manifest.head()["status"] == "success"
+
+
+# --- errors of a listing stay -------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def linked(tmp_path):
+    root = write_tree(tmp_path / "r", {"one/a": "123", "two/b": "4567"})
+    write_tree(tmp_path / "else", {"big": "x" * 100})
+    os.symlink(tmp_path / "else", f"{root}/one/away")
+    os.symlink(f"{root}/nowhere", f"{root}/two/broken")
+    return root
+
+
+def test_files_as_rows_tell_what_was_not_listed(spark, tmp_path, linked):
+    table = files_as_table(spark, linked, str(tmp_path / "table"), AT)
+    rows = {r["original_path"]: (r["content"] is not None, r["restoration_note"]) for r in table.collect()}
+    assert rows["one/away"] == (False, workers.LINKED) and rows["two/broken"] == (False, workers.NOWHERE)
+    assert rows["one/a"][0] and rows["two/b"][0] and len(rows) == 4
+    assert {tuple(r) for r in kept_files(table).collect()} == {("one/a", 3), ("two/b", 4), ("one/away", None), ("two/broken", None)}
+
+
+def test_binary_inventory_tells_what_was_not_listed(spark, linked):
+    rows = {r["relative_path"]: (r["size"], r["error"]) for r in binary_file_inventory(spark, linked).collect()}
+    assert rows == {"one/a": (3, None), "two/b": (4, None), "one/away": (0, workers.LINKED), "two/broken": (None, workers.NOWHERE)}
+    sizes = {r["name"]: (r["size_bytes"], r["error"]) for r in folder_sizes(walk(spark, linked)).collect()}
+    assert sizes == {"one": (None, workers.LINKED), "two": (4, None)}
+
+
+@pytest.mark.parametrize("sizes", [True, False])
+def test_linked_snapshots_are_told_and_never_deleted(spark, tmp_path, sizes):
+    root = write_tree(tmp_path / "r", {"x_backup_2025-01-01_00-00-00/files/a": "1"})
+    write_tree(tmp_path / "else", {"files/keep": "1", "_manifest/m": "1"})
+    os.symlink(tmp_path / "else", f"{root}/y_backup_2025-01-02_00-00-00")
+    rows = {r["name"][0]: (r["size_bytes"], r["error"]) for r in snapshot_catalogue(spark, root, sizes).collect()}
+    assert rows == {"x": (1 if sizes else None, None), "y": (None, workers.LINKED)}
+    run = retain(spark, root, datetime(2026, 1, 1), 30, dry_run=False, sizes=sizes)
+    assert {(r["name"][0], r["action"]) for r in run.plan.collect()} == {("x", "delete"), ("y", "retain")}
+    assert os.listdir(root) == ["y_backup_2025-01-02_00-00-00"] and len(tree_of(tmp_path / "else")) == 2
+
+
+def test_links_to_nothing_are_failed_items(spark, tmp_path):
+    lake = Lakehouse(str(tmp_path / "lake"))
+    write_tree(lake.files, {"a": "1"})
+    os.symlink(f"{lake.files}/nowhere", f"{lake.files}/broken")
+    run = snapshot(spark, Source(lake, "l", "w"), str(tmp_path / "b"), AT)
+    assert {(r["name"], r["status"], r["error"]) for r in run.items.collect()} == {("a", "success", None), ("broken", "failed", workers.NOWHERE)}
+    assert run.manifest.head()["status"] == "partial"
+
+
+def test_checks_read_the_session_for_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from snapvault import session
+
+    conf = {"spark.sql.warehouse.dir": "file:/x"}
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
+    monkeypatch.setattr(session, "Folders", lambda s: SimpleNamespace(qualified=lambda uri: uri))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(fake, "x")
+    conf["spark.checkpoint.dir"] = "hdfs://n/shared"
+    assert session.scratch_dir(fake, "x").startswith("hdfs://n/shared/_snapvault/a/x-")
+    assert F is not None

@@ -86,9 +86,9 @@ def test_links_do_not_loop(spark, root):
     os.symlink(f"{root}/nowhere", f"{root}/sub/broken")
     os.symlink(f"{root}/a.csv", f"{root}/sub/link.csv")
     found = _files(walk(spark, root))
-    assert found["sub/link.csv"] == 3 and len(found) == len(VISIBLE) + 1
+    assert found["sub/link.csv"] == 3 and found["sub/broken"] is None and len(found) == len(VISIBLE) + 2
     linked = walk(spark, root).where("error IS NOT NULL").collect()
-    assert [(r["relative_path"], r["error"]) for r in linked] == [("sub/loop", "linked folder, not followed")]
+    assert sorted((r["relative_path"], r["error"]) for r in linked) == [("sub/broken", "link to nothing"), ("sub/loop", "linked folder, not followed")]
 
 
 def test_listing_is_the_same_through_any_file_system(root):
