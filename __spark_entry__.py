@@ -393,6 +393,20 @@ def q_verify_content(spark, sf_dir):
     return verify_content(spark, pair, exact=True).select("name", "data_matches", "missing_rows", "extra_rows")
 
 
+def q_verify_content_screened(spark, sf_dir):
+    """One order of all has other taxes, and the last one is gone: only rows of their hash buckets meet."""
+    lines, out = _table(spark, sf_dir, "lineitem"), scratch_dir(spark, "one_damaged")
+    tax = F.when(F.col("l_orderkey") == 1, F.col("l_tax") + 1).otherwise(F.col("l_tax"))
+    last = lines.agg(F.max("l_orderkey")).head()[0]
+    lines.where(F.col("l_orderkey") < last).withColumn("l_tax", tax).write.parquet(out)
+    pairs = {
+        "damaged": (_path(sf_dir, "lineitem"), out),
+        "intact": (_path(sf_dir, "lineitem"), f"{_lake_snapshot(spark, sf_dir).path}/tables/lineitem"),
+    }
+    checks = verify_content(spark, pairs, exact=True, screen=True)
+    return checks.select("name", "data_matches", "expected_rows", "actual_rows", "missing_rows", "extra_rows")
+
+
 def q_verify_checksum(spark, sf_dir):
     pairs = {
         "damaged": (_path(sf_dir, "lineitem"), _damaged(spark, sf_dir)),
@@ -846,6 +860,10 @@ SELECT tables_verified, tables_matching, files_verified, files_matching, t.ok AN
         "verify_content": """SELECT 'lineitem' AS name, count(*) FILTER (WHERE l_returnflag = 'R') = 0 AS data_matches,
   count(*) FILTER (WHERE l_returnflag = 'R') AS missing_rows, count(*) FILTER (WHERE l_returnflag = 'R') AS extra_rows
 FROM lineitem""",
+        "verify_content_screened": """WITH l AS (SELECT *, max(l_orderkey) OVER () AS last FROM lineitem)
+SELECT 'damaged' AS name, false AS data_matches, count(*) AS expected_rows, count(*) FILTER (WHERE l_orderkey < last) AS actual_rows,
+  count(*) FILTER (WHERE l_orderkey IN (1, last)) AS missing_rows, count(*) FILTER (WHERE l_orderkey = 1) AS extra_rows FROM l
+UNION ALL SELECT 'intact', true, count(*), count(*), 0, 0 FROM l""",
         "verify_checksum": """SELECT 'damaged' AS name, count(*) FILTER (WHERE l_returnflag = 'R') = 0 AS data_matches,
   count(*) AS expected_rows, count(*) AS actual_rows FROM lineitem
 UNION ALL SELECT 'intact', true, count(*), count(*) FROM lineitem""",

@@ -93,3 +93,22 @@ def test_odd_column_names(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "odd"))
     assert seen.get["row_count"] == 3 and _sum(back) == _sum(df)
     assert tuple(compare_rows(df, back).head()) == (3, 3, 0, 0)
+
+
+def test_screened_comparison_moves_few_rows_and_counts_all(spark):
+    from snapvault.operators.verify import bucket_checksums, compare_screened, in_buckets
+    from snapvault.plans.verify import compare_rows
+
+    base = spark.range(20_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS v", "id % 2 = 0 AS even")
+    one = base.withColumn("v", F.expr("CASE WHEN id = 777 THEN -1 ELSE v END")).select("even", "v", "id")
+    assert compare_screened(base, base) == (20_000, 20_000, 0, 0)
+    assert compare_screened(base, one) == (20_000, 20_000, 1, 1) == tuple(compare_rows(base, one).head())
+    other = {r["bucket"]: tuple(r) for r in bucket_checksums(one.select(*base.columns)).collect()}
+    differing = [r["bucket"] for r in bucket_checksums(base).collect() if tuple(r) != other.get(r["bucket"])]
+    assert 1 <= len(differing) <= 2 and in_buckets(base, differing).count() < 200
+
+    hot = base.unionAll(spark.createDataFrame([(5, 5, False)] * 4000, base.schema))
+    fewer = hot.where("id <> 9").unionAll(spark.createDataFrame([(5, 5, False), (-1, None, None)], base.schema))
+    assert compare_screened(hot, fewer) == tuple(compare_rows(hot, fewer).head()) == (24_000, 24_001, 1, 2)
+    none = base.where("false")
+    assert compare_screened(none, none) == (0, 0, 0, 0) and compare_screened(none, base.limit(3)) == (0, 3, 0, 3)
