@@ -60,6 +60,17 @@ def content_address(text: Column) -> Column:
     return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _portions(values: Column, size: int = 512) -> Column:
+    """An array in parts. A fold copies what it has gathered at every step, so it gathers within a part, then the parts."""
+    starts = lambda xs: F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), F.lit(size))
+    return _bound(values, lambda xs: F.transform(starts(xs), lambda i: F.slice(xs, i, size)))
+
+
 def find_spans(text: Column, rule: Rule) -> Column:
     """Spans of the rule's leftmost non-overlapping matches, in code points; what lies between the matches gives their
     places."""
@@ -74,14 +85,19 @@ def find_spans(text: Column, rule: Rule) -> Column:
             (F.length(x["g"]) >= rule.least).alias("ok"),
         ),
     )
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("spans"))
-
     def step(s, x):
         start = s["at"] + x["gap"]
         span = F.array(F.struct(start.alias("start"), (start + x["size"]).alias("end")))
         return F.struct((start + x["size"]).alias("at"), F.when(x["ok"], F.concat(s["spans"], span)).otherwise(s["spans"]).alias("spans"))
 
-    return F.aggregate(found, state, step, lambda s: s["spans"])
+    def portion(s, xs):
+        return _bound(
+            F.aggregate(xs, F.struct(s["at"].alias("at"), F.array().cast(SPANS).alias("spans")), step),
+            lambda done: F.struct(done["at"].alias("at"), F.concat(s["spans"], F.array(done["spans"])).alias("spans")),
+        )
+
+    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPANS}>").alias("spans"))
+    return F.aggregate(_portions(found), state, portion, lambda s: F.flatten(s["spans"]))
 
 
 class Ledger:
@@ -147,6 +163,7 @@ def scan_secrets(
 
     ``docs`` holds versions: a path may come many times, with many texts, and stays one row each time. Null text: empty. A
     null path is kept. ``ledger`` is a folder that outlives the call; without one, a folder of this run. No rows: no rows.
+    A path column called ``blob`` or ``findings`` keeps its name; the column of that name made here gets a ``_`` behind it.
     """
     spark = docs.sparkSession
     book = Ledger(spark, ledger or scratch_dir(spark, "secret-ledger"))
@@ -172,23 +189,38 @@ def scan_secrets(
     )
     found = versions.select("path", "blob").join(known, "blob", "left")
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
-    return found.select(F.col("path").alias(path), "blob", F.coalesce(named, none).alias("findings"))
+    own = [name + "_" if name == path else name for name in ("blob", "findings")]
+    return found.select(F.col("path").alias(path), F.col("blob").alias(own[0]), F.coalesce(named, none).alias(own[1]))
 
 
 def redact(text: Column, findings: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every run of overlapping findings replaced by ``mark``; findings are sorted by start."""
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(s, x):
-        fresh = x["start"] >= s["at"]
-        before = F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(fresh, F.concat(s["out"], before, F.lit(mark))).otherwise(s["out"]).alias("out"),
+    """``text`` with every run of overlapping findings replaced by ``mark``; findings are sorted by start.
+
+    Places in a string are found by walking from its start, so the text is cut behind each part of the findings."""
+    strings = "array<string>"
+
+    def step(rest, base):
+        def one(s, x):
+            before = F.substring(rest, (s["at"] - base + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
+            out = F.when(x["start"] >= s["at"], F.concat(s["out"], F.array(before, F.lit(mark)))).otherwise(s["out"])
+            return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.alias("out"))
+
+        return one
+
+    def portion(s, xs):
+        gathered = F.aggregate(xs, F.struct(s["at"].alias("at"), F.array().cast(strings).alias("out")), step(s["rest"], s["at"]))
+        return _bound(
+            gathered,
+            lambda done: F.struct(
+                done["at"].alias("at"),
+                F.substring(s["rest"], (done["at"] - s["at"] + 1).cast("int"), F.length(s["rest"])).alias("rest"),
+                F.concat(s["out"], F.array(F.array_join(done["out"], ""))).alias("out"),
+            ),
         )
 
-    rest = F.aggregate(findings, state, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(findings) > 0, rest).otherwise(text)
+    state = F.struct(F.lit(0).cast("bigint").alias("at"), text.alias("rest"), F.array().cast(strings).alias("out"))
+    cut = F.aggregate(_portions(findings), state, portion, lambda s: F.concat(F.array_join(s["out"], ""), s["rest"]))
+    return F.when(F.size(findings) > 0, cut).otherwise(text)
 
 
 def _told(findings: Column) -> Column:
@@ -204,7 +236,9 @@ def _count(kind: str) -> Column:
 def query(spark, sf_dir):
     from snapvault.llm.common import read
 
-    found = scan_secrets(read(spark, sf_dir, "documents"))
+    docs, book = read(spark, sf_dir, "documents"), scratch_dir(spark, "secret-ledger")
+    scan_secrets(docs, rules=BASE, ledger=book)
+    found = scan_secrets(docs, ledger=book)  # the base pairs stand in the ledger, so only the other rules are scanned
     kinds = [r.kind for r in BASE]
     return found.select(
         "doc_id",

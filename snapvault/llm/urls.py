@@ -1,8 +1,8 @@
 """URL filters: rules by host and path, and for the rest a verdict from trust that flows over the host graph.
 
 Host edges come from absolute links of the pages and from each host to its parent domain and back. Personalised PageRank
-starts at hosts with allowed pages; distrust starts at hosts with blocked pages and runs against the edges. A host whose
-distrust outweighs its trust is blocked. DataFrame functions only.
+starts at hosts with allowed pages; distrust starts at hosts with blocked pages and runs against the edges. What reaches a
+host without way on returns to the seeds. A host whose distrust outweighs its trust is blocked. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from snapvault.session import settled
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ROUNDS = 4  # planned together: edges are shuffled once for all of them, and one table is written
 LINK = r"""(?i)\shref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -39,7 +40,7 @@ def judge_urls(
     page: str = "page_id",
     url: str = "url",
     html: str = "html",
-    iterations: int = 8,
+    tolerance: float = 1e-4,
     damping: float = 0.85,
     distrust_weight: float = 1.0,
 ) -> DataFrame:
@@ -48,7 +49,8 @@ def judge_urls(
     ``rules`` has host, path and verdict (allow or block); a rule fits its host and subdomains where the path starts with
     the rule's. The longest fitting rule wins, of equally long ones the greater text, and of one text ``block``. Rules with a
     null in them are left out. A page without host (null url, no ``://``) fits no rule and is blocked; null html has no
-    links. Repeated rows are judged one by one. No pages: no rows.
+    links. Repeated rows are judged one by one. No pages: no rows. Scores flow until every host that can be reached has some
+    and rounds add less than ``tolerance`` of either score's whole. A chain of links takes as many rounds as it is long.
     """
     parts = pages.select(
         F.col(f"`{page}`").alias("page"),
@@ -61,7 +63,7 @@ def judge_urls(
         url_host(F.col(f"`{url}`").cast("string")).alias("src"),
         F.explode(F.array_distinct(F.regexp_extract_all(F.col(f"`{html}`").cast("string"), F.lit(LINK), 1))).alias("link"),
     )
-    scores = host_scores(ruled, links, iterations=iterations, damping=damping)
+    scores = host_scores(ruled, links, tolerance=tolerance, damping=damping)
     known = hosts.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     blocked = (F.col("host") == "") | (F.col("distrust") * distrust_weight > F.col("trust"))
     known = known.withColumn("by_graph", F.when(blocked, "block").otherwise("allow"))
@@ -100,14 +102,22 @@ def _ruled(parts: DataFrame, hosts: DataFrame) -> DataFrame:
     """Pages allowed and blocked by rules, by host."""
     verdict = _best_rule()["verdict"]
     some = hosts.filter(F.size("rules") > 0).select("host", "rules")
-    by_host = parts.join(some, "host").groupBy("host").agg(
+    # Written before they are counted: one host may have a third of all pages, and a join that is grouped at once by its own key
+    # cannot be split.
+    flags = settled(parts.join(some, "host").select("host", verdict.alias("verdict")), "url-ruled")
+    verdict = F.col("verdict")
+    by_host = flags.groupBy("host").agg(
         F.sum((verdict == "allow").cast("double")).alias("allowed"), F.sum((verdict == "block").cast("double")).alias("blocked")
     )
     return by_host.na.fill(0.0)
 
 
-def host_scores(ruled: DataFrame, links: DataFrame, *, iterations: int, damping: float) -> DataFrame:
-    """``host``, ``trust``, ``distrust`` of hosts that any seed reaches; each kind's seeds sum to 1."""
+def host_scores(ruled: DataFrame, links: DataFrame, *, tolerance: float, damping: float) -> DataFrame:
+    """``host``, ``trust``, ``distrust`` of hosts that any seed reaches; each sums to 1 where it has a seed.
+
+    Rounds start from the seeds' own share and only add to it, so the sum tells how much is still to come. Returning what
+    hosts without way on receive to the seeds only scales all scores of a kind, so that is done once, at the end.
+    """
     away = links.select("src", url_host(F.regexp_replace("link", r"^(//)", "http://")).alias("dst"))
     away = away.filter("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
     known = ruled.select("host").union(away.select("src")).union(away.select("dst")).distinct()
@@ -129,12 +139,21 @@ def host_scores(ruled: DataFrame, links: DataFrame, *, iterations: int, damping:
     totals = {r["kind"]: r["t"] for r in seeds.groupBy("kind").agg(F.sum("s").alias("t")).collect()}
     scale = F.when(F.col("kind") == "trust", F.lit(totals.get("trust") or 1.0)).otherwise(F.lit(totals.get("distrust") or 1.0))
     seeds = settled(seeds.filter("s > 0").withColumn("s", F.col("s") / scale), "url-seeds")
-    state = seeds
-    for _ in range(iterations):
-        moved = state.select("kind", F.col("host").alias("src"), "s").join(shares, ["kind", "src"])
-        moved = moved.select("kind", F.col("dst").alias("host"), (F.col("s") * F.col("share") * damping).alias("s"))
-        base = seeds.withColumn("s", F.col("s") * (1 - damping))
-        state = settled(moved.union(base).groupBy("kind", "host").agg(F.sum("s").alias("s")), "url-scores")
+    state = base = seeds.withColumn("s", F.col("s") * (1 - damping))
+    before: dict[str, tuple[float, int]] = {}
+    while True:
+        for _ in range(ROUNDS):
+            moved = state.select("kind", F.col("host").alias("src"), "s").join(shares, ["kind", "src"])
+            moved = moved.select("kind", F.col("dst").alias("host"), (F.col("s") * F.col("share") * damping).alias("s"))
+            state = moved.union(base).groupBy("kind", "host").agg(F.sum("s").alias("s"))
+        state = settled(state, "url-scores")
+        sums = state.groupBy("kind").agg(F.sum("s").alias("s"), F.count("*").alias("n")).collect()  # a row a kind
+        now = {r["kind"]: (r["s"], r["n"]) for r in sums}
+        if all(k in before and n == before[k][1] and s - before[k][0] <= tolerance * s for k, (s, n) in now.items()):
+            break
+        before = now
+    whole = F.when(F.col("kind") == "trust", now.get("trust", (1.0,))[0]).otherwise(now.get("distrust", (1.0,))[0])
+    state = state.withColumn("s", F.col("s") / whole)
     return state.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("s"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("s"))), F.lit(0.0)).alias("distrust"),

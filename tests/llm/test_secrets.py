@@ -58,3 +58,26 @@ def test_redact(spark):
     found = secrets.scan_secrets(df, path="text")
     got = sorted(r[0] for r in found.select(secrets.redact(F.col("text"), F.col("findings"))).collect())
     assert got == ["clean", "x [SECRET] y", "🙂 [SECRET]"]
+
+
+def test_many_matches_in_one_text(spark):
+    text = "🙂token=abcdef ; " * 100_000
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    found = secrets.scan_secrets(docs)
+    got = {r.doc_id: (len(r.findings), tuple(r.findings[-1]) if r.findings else None) for r in found.collect()}
+    assert got == {1: (100_000, ("assign", 16 * 99_999 + 1, 16 * 99_999 + 13)), 2: (0, None)}
+    both = found.join(docs, "doc_id").select("doc_id", secrets.redact(F.col("text"), F.col("findings")).alias("t"))
+    assert {r.doc_id: r.t for r in both.collect()} == {1: "🙂[SECRET] ; " * 100_000, 2: None}
+
+
+def test_redact_merges_what_overlaps_across_parts(spark):
+    spans = [("hex", i, i + 3) for i in range(0, 1600, 2)] + [("hex", 1700, 1701)]
+    df = spark.createDataFrame([("x" * 2000, spans), ("y", [])], "t string, f array<struct<kind:string,start:bigint,end:bigint>>")
+    got = sorted(r[0] for r in df.select(secrets.redact(F.col("t"), F.col("f"))).collect())
+    assert got == ["[SECRET]" + "x" * 99 + "[SECRET]" + "x" * 299, "y"]
+
+
+def test_path_columns_called_like_the_results(spark):
+    for name in ("blob", "findings"):
+        got = secrets.scan_secrets(spark.createDataFrame([("p", "token=abcdef")], f"{name} string, text string"), path=name)
+        assert got.columns == [name, *(c + "_" if c == name else c for c in ("blob", "findings"))] and got.first()[0] == "p"

@@ -1,4 +1,4 @@
-from urllib.parse import urlsplit
+import re
 
 import pytest
 from helpers import SF, table
@@ -56,19 +56,75 @@ def test_awkward_urls(spark):
     assert {r.rule for r in judged(spark, rows, [(None, "/", "block")]).collect()} == {None}
 
 
-def scores(edges, seeds, n, damping=0.85):
-    state = dict(seeds)
+def scores(edges, seeds, damping=0.85, rounds=300):
+    """Plain PageRank on a dense state: what hosts without way on hold goes back to the seeds."""
+    total = sum(seeds.values())
+    if not total:
+        return {}
+    seeds = {h: s / total for h, s in seeds.items() if s}
     out = {}
     for (a, _), w in edges.items():
         out[a] = out.get(a, 0) + w
-    for _ in range(n):
-        new = {h: (1 - damping) * s for h, s in seeds.items()}
+    state = dict(seeds)
+    for _ in range(rounds):
+        lost = sum(s for h, s in state.items() if h not in out)
+        new = {h: (1 - damping + damping * lost) * s for h, s in seeds.items()}
         for (a, b), w in edges.items():
             new[b] = new.get(b, 0) + damping * state.get(a, 0) * w / out[a]
         state = new
     return state
 
 
+def graph(rows, rules):
+    """Edges and seeds of page rows (id, url, html), from scratch."""
+    edges, allowed, blocked, names = {}, {}, {}, set()
+    for _, url, html, *_ in rows:
+        host, path = split(url)
+        verdict = ruled(host, path, rules)[1]
+        if verdict:
+            names.add(host)
+            seeds = allowed if verdict == "allow" else blocked
+            seeds[host] = seeds.get(host, 0) + 1
+        for link in set(re.findall(r"""(?i)\shref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)""", html or "")):
+            there = split(link if "://" in link else "http:" + link)[0]
+            if host and there and host != there:
+                edges[host, there] = edges.get((host, there), 0) + 1
+                names |= {host, there}
+    parts = {".".join(h.split(".")[i:]) for h in names for i in range(h.count("."))}
+    for host in parts:
+        if host.count(".") > 1:
+            up = host.split(".", 1)[1]
+            edges[host, up] = edges.get((host, up), 0) + 1
+            edges[up, host] = edges.get((up, host), 0) + 1
+    return edges, allowed, blocked
+
+
+def verdicts(rows, rules):
+    edges, allowed, blocked = graph(rows, rules)
+    trust, distrust = scores(edges, allowed), scores({(b, a): w for (a, b), w in edges.items()}, blocked)
+    out = {}
+    for page, url, *_ in rows:
+        host, path = split(url)
+        worse = distrust.get(host, 0) - trust.get(host, 0)
+        out[page] = ruled(host, path, rules)[1] or ("block" if not host or worse > 0 else "allow"), worse
+    return out
+
+
+def test_every_verdict_of_the_given_pages(spark):
+    rows = [(r["page_id"], r["url"], r["html"]) for r in table("pages")]
+    want = verdicts(rows, urls.RULES)
+    for r in urls.query(spark, SF).collect():
+        assert r.verdict == want[r.page_id][0] or (r.rule is None and abs(want[r.page_id][1]) < 1e-3)
+
+
+def test_a_long_chain_is_blocked_to_its_end(spark):
+    name = lambda i: f"http://h{i}.edu/"
+    rows = [(i, name(i), f'<a href="{name(i + 1)}">', None, None) for i in range(30)] + [(30, "http://h30.edu/bad", None, None, None)]
+    got = judged(spark, rows, [("h30.edu", "/bad", "block")]).collect()
+    assert {r.verdict for r in got} == {"block"} and len(got) == 31
+    assert sum(r.distrust for r in got) == pytest.approx(1.0)
+
+
 def test_trust_and_distrust_flow_over_links(spark):
     good, bad = "http://good.org/fr/", "http://spam.net/x"
     rows = [
@@ -79,14 +135,14 @@ def test_trust_and_distrust_flow_over_links(spark):
         (5, "http://linker.edu/", f'<a href="{bad}"><a href="/own"><a href="http://linker.edu/self">', None, None),
         (6, "http://lonely.edu/", "", None, None),
     ]
-    got = {r.page_id: r for r in judged(spark, rows, [("org", "/fr/", "allow"), ("net", "/", "block")], iterations=6).collect()}
+    got = {r.page_id: r for r in judged(spark, rows, [("org", "/fr/", "allow"), ("net", "/", "block")], tolerance=1e-9).collect()}
     assert [got[i].verdict for i in range(1, 7)] == ["allow", "allow", "allow", "block", "block", "allow"]
     # good.org and its like have no parent domain of two labels, so only links count
     links = {("good.org", "friend.edu"): 2.0, ("friend.edu", "second.edu"): 1.0, ("linker.edu", "spam.net"): 1.0}
-    trust = scores(links, {"good.org": 1.0}, 6)
-    distrust = scores({(b, a): w for (a, b), w in links.items()}, {"spam.net": 1.0}, 6)
+    trust = scores(links, {"good.org": 1.0})
+    distrust = scores({(b, a): w for (a, b), w in links.items()}, {"spam.net": 1.0})
     for r in got.values():
-        assert r.trust == pytest.approx(trust.get(r.host, 0.0)) and r.distrust == pytest.approx(distrust.get(r.host, 0.0))
+        assert r.trust == pytest.approx(trust.get(r.host, 0.0), abs=1e-7) and r.distrust == pytest.approx(distrust.get(r.host, 0.0), abs=1e-7)
 
 
 def test_subdomains_inherit_through_their_parent(spark):
