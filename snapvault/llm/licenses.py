@@ -1,6 +1,7 @@
 """License scans: fixed phrases, and license notices by an exact set-similarity join with templates.
 
-A text is cut into blocks of words that overlap by half, so that every passage of up to half a block lies whole in one.
+For each template a text is cut into blocks of twice its words that overlap by half, so that every passage as long as the
+template lies whole in one. A template of few distinct words is not told from prose by a set: it must stand there word for word.
 Tokens are ordered by how often they stand in the corpus. A block and a template can only share enough tokens if
 their rarest ones meet (prefix filter), if the block has enough of them (length filter) and if enough are left
 behind the first meeting point (positional filter); what passes is counted exactly.
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapvault.llm.common import WORDS, field, map_texts, plain_words, slices
+from snapvault.session import settled
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -38,58 +40,72 @@ TEMPLATES = [
     ("cc-by-4.0", "licensed under cc by 4 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
-MAX_TEMPLATE_BYTES = 4 << 20
+TEMPLATE_TEXT = "__license_text"
+PART_BYTES = 4 << 20  # of templates that a task holds at a time
+FEW = 16  # distinct words; templates of fewer count word for word only
 
 
 class Matcher:
-    """Templates ready for the join: token ranks from rare to frequent, sorted token sets, and prefixes."""
+    """Templates ready for the join: token ranks from rare to frequent, sorted token sets, prefixes and block widths."""
 
     def __init__(self, templates, threshold, frequencies=None):
-        sets = [(label, sorted(set(plain_words(t.encode())))) for label, t in templates]
-        self.sets = [(label, s) for label, s in sets if s]
-        tokens = sorted({t for _, s in self.sets for t in s}, key=lambda t: ((frequencies or {}).get(t, 0), t))
+        texts = [(label, plain_words(t.encode())) for label, t in templates]
+        texts = [(label, words) for label, words in texts if words]
+        tokens = sorted({t for _, words in texts for t in words}, key=lambda t: ((frequencies or {}).get(t, 0), t))
         self.rank = {t: i for i, t in enumerate(tokens)}
-        self.ordered = [(label, sorted(self.rank[t] for t in s)) for label, s in self.sets]
-        self.need = [math.ceil(threshold * len(s) - 1e-9) for _, s in self.ordered]
+        self.label = [label for label, _ in texts]
+        self.words = [np.array([self.rank[t] for t in words], dtype=np.int64) for _, words in texts]
+        self.sets = [np.unique(words) for words in self.words]
+        self.exact = [len(s) < FEW for s in self.sets]
+        self.need = [len(s) if e else math.ceil(threshold * len(s) - 1e-9) for s, e in zip(self.sets, self.exact, strict=True)]
         self.by_prefix: dict[int, list[tuple[int, int]]] = {}
-        for k, (_, s) in enumerate(self.ordered):
+        for k, s in enumerate(self.sets):
             for i in range(len(s) - self.need[k] + 1):
-                self.by_prefix.setdefault(s[i], []).append((k, i))
+                self.by_prefix.setdefault(int(s[i]), []).append((k, i))
         self.is_prefix = np.zeros(len(tokens) + 1, dtype=bool)
         self.is_prefix[list(self.by_prefix)] = True
-        self.half = max([1, *(2 * len(plain_words(t.encode())) for _, t in templates)])
-
-    def blocks(self, n: int, places: np.ndarray):
-        """Start and end of the blocks that hold one of the places."""
-        last = max(0, math.ceil((n - self.half) / self.half) - 1)
-        first = np.minimum(places // self.half, last)
-        for b in np.unique(np.concatenate([first, np.maximum(first - 1, 0)])):
-            yield int(b) * self.half, min(n, (int(b) + 2) * self.half)
 
     def match(self, ranks: np.ndarray) -> dict[str, float]:
         """Labels of the templates that some block contains to the threshold, with the largest share contained."""
         found: dict[str, float] = {}
-        places = np.flatnonzero(self.is_prefix[ranks])
-        if not len(places):
-            return found
-        for start, end in self.blocks(len(ranks), places):
-            block = np.unique(ranks[start:end])
-            block = block[block >= 0].tolist()
-            tried = set()
-            for j, token in enumerate(block):
-                for k, i in self.by_prefix.get(token, ()):
-                    label, s = self.ordered[k]
-                    need = self.need[k]
-                    if k in tried or len(block) < need or j > len(block) - need:
+        met, blocks = set(), {}
+        for place in np.flatnonzero(self.is_prefix[ranks]).tolist():
+            token = int(ranks[place])
+            for k, i in self.by_prefix[token]:
+                width = len(self.words[k])
+                for at in {place // width, max(place // width - 1, 0)}:
+                    if (k, at, token) in met:
                         continue
-                    if 1 + min(len(s) - i - 1, len(block) - j - 1) + min(i, j) < need:
+                    met.add((k, at, token))
+                    key = (width, at)
+                    if key not in blocks:
+                        if len(blocks) > 64:
+                            blocks.clear()
+                        block = np.unique(ranks[at * width : (at + 2) * width])
+                        blocks[key] = block[block >= 0]
+                    share = self._share(k, i, token, blocks[key])
+                    if share and self.exact[k] and not _stands(ranks[at * width : (at + 2) * width], self.words[k]):
                         continue
-                    tried.add(k)
-                    shared = len(set(s).intersection(block))
-                    if shared >= need:
-                        found[label] = max(found.get(label, 0.0), shared / len(s))
+                    if share:
+                        found[self.label[k]] = max(found.get(self.label[k], 0.0), share)
         return found
 
+    def _share(self, k: int, i: int, token: int, block: np.ndarray) -> float:
+        """The part of template ``k`` that the block holds, if it is enough; ``token``, the template's ``i``-th, is in both."""
+        s, need = self.sets[k], self.need[k]
+        j = int(np.searchsorted(block, token))
+        if len(block) < need or j > len(block) - need or 1 + min(len(s) - i - 1, len(block) - j - 1) + min(i, j) < need:
+            return 0.0
+        shared = len(np.intersect1d(s, block, assume_unique=True))
+        return shared / len(s) if shared >= need else 0.0
+
+
+def _stands(ranks: np.ndarray, words: np.ndarray) -> bool:
+    """Whether the words stand somewhere one behind the other."""
+    if len(ranks) < len(words):
+        return False
+    return bool((np.lib.stride_tricks.sliding_window_view(ranks, len(words)) == words).all(axis=1).any())
+
 
 def _ranks(words, rank):
     get = rank.get
@@ -123,12 +139,41 @@ def scan_licenses(
     """``docs`` with ``n_words``, places of the phrases (``n_base``, ``first_word``, ``last_word``), labels and ``score``.
 
     Null and empty texts have no words, no labels and score 0. ``score`` is 1 for a phrase, else the largest share of a
-    template's distinct words that one block holds, if that reaches ``threshold``; else 0. Several labels at one place all
-    count. The templates go to every task, so their size is checked; pass fewer at a time if they are more.
+    template's distinct words that one block holds, if that reaches ``threshold``; else 0. Templates of fewer than 16 distinct
+    words must stand word for word. Several labels at one place all count. A block has twice the words of its template. Tasks
+    hold 4 MB of templates at a time; more are joined part by part, with the texts written once a part.
     """
-    if sum(len(t) for _, t in templates) > MAX_TEMPLATE_BYTES:
-        raise ValueError(f"templates above {MAX_TEMPLATE_BYTES} bytes: scan them in several calls")
-    matcher = Matcher(templates, threshold, token_counts(docs, templates, text=text) if templates else {})
+    kept = list(docs.columns if keep is None else keep)
+    parts = _parts(templates)
+    own = [f"__labels_{i}" for i in range(len(parts))], [f"__score_{i}" for i in range(len(parts))]
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels"]
+    found = _with_phrases(docs.withColumn(TEMPLATE_TEXT, F.col(f"`{text}`")), phrases, [c for c in kept if c not in names])
+    for i, part in enumerate(parts):
+        matcher = Matcher(part, threshold, token_counts(docs, part, text=text))
+        last = i == len(parts) - 1
+        columns = [c for c in found.columns if c != TEMPLATE_TEXT or not last]
+        found = _with_templates(found, matcher, own[0][i], own[1][i], columns)
+        found = found if last else settled(found, "licenses")
+    base = F.filter(F.split("base_labels", ","), lambda c: c != "")
+    labels = F.array_sort(F.array_distinct(F.concat(base, *own[0])))
+    score = F.when(F.col("base_labels") != "", 1.0).otherwise(F.greatest(F.lit(0.0), F.lit(0.0), *own[1]))
+    shown = [F.col(f"`{c}`") for c in kept if c not in (*names, "labels", "score")]
+    return found.select(*shown, *names, F.array_join(labels, ",").alias("labels"), score.alias("score"))
+
+
+def _parts(templates) -> list[list[tuple[str, str]]]:
+    """The templates in groups of at most ``PART_BYTES``, or one template."""
+    parts, held = [], 0
+    for label, template in templates:
+        if not parts or held + len(template) > PART_BYTES:
+            parts.append([])
+            held = 0
+        parts[-1].append((label, template))
+        held += len(template)
+    return parts
+
+
+def _with_phrases(docs: DataFrame, phrases, keep: list[str]) -> DataFrame:
     wanted = [(tuple(plain_words(p.encode())), label) for p, label in phrases.items()]
 
     def make():
@@ -141,20 +186,27 @@ def scan_licenses(
                     if hits:
                         places += hits
                         base.add(label)
-            labels = matcher.match(_ranks(words, matcher.rank)) if words else {}
-            score = 1.0 if base else max(labels.values(), default=0.0)
-            return (
-                len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
-                ",".join(sorted(base | set(labels))), score,
-            )
+            return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base))
 
-        return lambda texts: list(zip(*map(one, texts), strict=True)) or [[]] * 7
+        return lambda texts: list(zip(*map(one, texts), strict=True)) or [[]] * 5
 
     fields = [
         field("n_words", "bigint"), field("n_base", "bigint"), field("first_word", "bigint"), field("last_word", "bigint"),
-        field("base_labels", "string"), field("labels", "string"), field("score", "double"),
+        field("base_labels", "string"),
     ]
-    return map_texts(docs, text, make, fields, keep)
+    return map_texts(docs, TEMPLATE_TEXT, make, fields, [*keep, TEMPLATE_TEXT])
+
+
+def _with_templates(docs: DataFrame, matcher: Matcher, labels: str, score: str, keep: list[str]) -> DataFrame:
+    def make():
+        def one(value):
+            words = plain_words(value) if value else []
+            found = matcher.match(_ranks(words, matcher.rank)) if words else {}
+            return sorted(found), max(found.values(), default=0.0)
+
+        return lambda texts: list(zip(*map(one, texts), strict=True)) or [[]] * 2
+
+    return map_texts(docs, TEMPLATE_TEXT, make, [field(labels, "array<string>"), field(score, "double")], keep)
 
 
 def _places(words, phrase):

@@ -4,7 +4,7 @@ from snapvault.llm import licenses
 
 
 def brute(text):
-    """Phrases by slicing; templates by counting shared words in every block of the same cut."""
+    """Phrases by slicing; templates by counting shared words in the blocks cut for each template; short ones by slicing."""
     words = plain_words(text)
     places, base = [], set()
     for phrase, label in licenses.PHRASES.items():
@@ -13,12 +13,16 @@ def brute(text):
         places += hits
         base |= {label} if hits else set()
     sets = [(label, set(plain_words(t))) for label, t in licenses.TEMPLATES]
-    half = max(2 * len(plain_words(t)) for _, t in licenses.TEMPLATES)
     shares = {}
-    for start in range(0, max(1, len(words)), half):
-        block = set(words[start : start + 2 * half])
-        for label, s in sets:
-            share = len(block & s) / len(s)
+    for (label, s), (_, template) in zip(sets, licenses.TEMPLATES, strict=True):
+        wanted = plain_words(template)
+        n = len(wanted)
+        if len(s) < 16:
+            if any(words[i : i + n] == wanted for i in range(len(words))):
+                shares[label] = 1.0
+            continue
+        for start in range(0, len(words), n):
+            share = len(set(words[start : start + 2 * n]) & s) / len(s)
             if share >= 0.8:
                 shares[label] = max(share, shares.get(label, 0))
     score = 1.0 if base else max(shares.values(), default=0.0)
@@ -45,3 +49,31 @@ def test_awkward_texts(spark):
     assert got == sorted(repr((r[0], *brute(r[1]))) for r in rows)
     assert licenses.scan_licenses(docs.limit(0)).collect() == []
     assert {r.labels for r in licenses.scan_licenses(docs, templates=[], keep=["doc_id"]).collect()} >= {"", "mit"}
+
+
+def labels_of(spark, texts, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.labels for r in licenses.scan_licenses(docs, keep=["doc_id"], **options).orderBy("doc_id").collect()]
+
+
+def test_prose_and_other_licenses_have_no_label(spark):
+    prose = [
+        "the students under the age of nine were released, and the driver got a license from the city",
+        "he is a licensed guide, by the river cc 4 people drowned, under 0 degrees",
+        "the work of this commons is under a license; creative people are licensed by attribution",
+    ]
+    assert labels_of(spark, prose) == ["", "", ""]
+    gpl = "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"
+    assert labels_of(spark, [gpl, "under the terms of the GNU Lesser General Public License"]) == ["gpl,gpl-notice", "gpl,lgpl"]
+
+
+def test_templates_in_parts_and_long_ones(spark, monkeypatch):
+    long = " ".join(f"word{i}" for i in range(3000))
+    filler = " ".join(f"other{i}" for i in range(1700))
+    templates = [*licenses.TEMPLATES, ("long", long)]
+    texts = [f"{filler} {long} {filler}", " ".join(long.split()[:2500]), " ".join(long.split()[:2300]), licenses.TEMPLATES[0][1], None]
+    whole = labels_of(spark, texts, templates=templates)
+    assert whole == ["long", "long", "", "mit-notice", ""]
+    monkeypatch.setattr(licenses, "PART_BYTES", 300)
+    assert len(licenses._parts(templates)) > 3
+    assert labels_of(spark, texts, templates=templates) == whole
