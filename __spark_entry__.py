@@ -649,6 +649,10 @@ def q_archive_table_restore_csv(spark, sf_dir):
     return _table_through_archives(spark, sf_dir, "customer", "csv")
 
 
+def q_archive_table_restore_csv_breaks(spark, sf_dir):
+    return _table_through_archives(spark, sf_dir, "documents", "csv")
+
+
 def q_archive_file_restore(spark, sf_dir):
     return _files_through_archives(spark, sf_dir, None)
 
@@ -944,6 +948,7 @@ UNION ALL SELECT cleanup_timestamp, CAST(user_id AS INTEGER), event_type = 'view
   ELSE 'none' END AS restore_format FROM part""",
         "archive_table_restore": "SELECT * FROM orders",
         "archive_table_restore_csv": "SELECT * FROM customer",
+        "archive_table_restore_csv_breaks": "SELECT * FROM documents",
         "archive_file_restore": f"""WITH {_FILES} SELECT relative_path AS name, 'success' AS status, bytes AS size_bytes,
   md5(text) AS content_md5 FROM ffile""",
         "archive_file_select": f"""WITH {_FILES} SELECT relative_path AS name, 'success' AS status, bytes AS size_bytes,

@@ -26,6 +26,7 @@ from snapvault.session import scratch_dir, settled
 from snapvault.sources.archives import RAW, archive_entries, entry_contents, entry_documents
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.inventory import child_directories, only_files, walk
+from snapvault.sources.quoted_csv import read_quoted_csv
 from snapvault.sources.spreading import spread_by_size
 from snapvault.sources.tables import literal
 from snapvault.sources.workers import extractor
@@ -142,6 +143,10 @@ def _stored_schema(text: str) -> T.StructType | None:
 def _read_staged(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
     if fmt == "parquet":
         return spark.read.option("mergeSchema", True).parquet(literal(path))
+    if multi_line:
+        rows = read_quoted_csv(spark, path, schema)
+        if rows is not None:
+            return rows
     strict = {"mode": "FAILFAST", "enforceSchema": False}  # a value or header that does not fit is an error
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, **strict)
     return reader.schema(schema).csv(literal(path)) if schema else reader.option("inferSchema", True).csv(literal(path))

@@ -1,0 +1,64 @@
+import random
+
+import pytest
+
+from snapvault.sources.quoted_csv import read_quoted_csv
+
+VALUES = ["a", "", '"b"', "x\ny", 'q""uote', "c,d", "\r\nz", "é🙂\n\n", "\n", '"', "long " * 40, " "]
+
+
+def quoted(value):
+    return '"' + value.replace('"', '""') + '"' if any(c in value for c in '",\r\n') or value == "" else value
+
+
+def written(folder, texts):
+    folder.mkdir()
+    for i, text in enumerate(texts):
+        (folder / f"{i}.csv").write_bytes(text.encode())
+    return str(folder)
+
+
+@pytest.mark.parametrize("range_bytes,many,end", [(3, 12, "\n"), (64, 60, "\r\n"), (8 << 20, 60, "\n")])
+def test_rows_come_back_as_they_went_in(spark, tmp_path, range_bytes, many, end):
+    """An empty value is null, as Spark reads CSV."""
+    draw = random.Random(range_bytes)
+    texts, want = [], []
+    for last in ("", end):
+        rows = [(n, draw.choice(VALUES), draw.choice(VALUES)) for n in range(many)]
+        texts.append(end.join(["n,a,b", *(f"{n},{quoted(a)},{quoted(b)}" for n, a, b in rows)]) + last)
+        want += [(n, a or None, b or None) for n, a, b in rows]
+    path = written(tmp_path / "t", [*texts, "", "n,a,b" + end])
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=True, mode="FAILFAST")
+    for schema in (None, "n long, a string, b string"):
+        known = spark.createDataFrame([], schema).schema if schema else None
+        got = read_quoted_csv(spark, path, known, range_bytes)
+        assert got.columns == ["n", "a", "b"] and rows(got) == sorted(want, key=repr)
+        if end == "\n":  # the reader that takes a file in one task turns the others into these
+            other = (reader.schema(known) if known else reader.option("inferSchema", True)).csv(path)
+            assert got.schema.simpleString() == other.schema.simpleString() and rows(other) == sorted(want, key=repr)
+
+
+def test_a_file_is_many_tasks(spark, tmp_path):
+    path = written(tmp_path / "t", ["n,a\n" + "".join(f'{n},"x\n{n}"\n' for n in range(20_000))])
+    schema = spark.createDataFrame([], "n long, a string").schema
+    rows = read_quoted_csv(spark, path, schema, 1024)
+    assert rows.rdd.getNumPartitions() > 4
+    assert rows.where("a <> concat('x\n', n)").isEmpty() and rows.agg({"n": "sum"}).first()[0] == 20_000 * 19_999 // 2
+
+
+@pytest.mark.parametrize(
+    "text", ['n,a\n1,5" pipe\n2,"x\ny"\n', 'n,a\n1,"open\n2,x\n', 'n,a\n1,"a" b\n', "n,a\n1,x\ry\n", 'n,a\n1,a""b\n', 'n,\n1,"x\ny"\n', 'n,N\n1,"x\ny"\n']
+)
+def test_what_cannot_be_told_by_counting_is_left_to_the_other_way(spark, tmp_path, text):
+    for range_bytes in (3, 1 << 20):
+        assert read_quoted_csv(spark, written(tmp_path / str(range_bytes), [text]), None, range_bytes) is None
+
+
+def test_headers_and_values_that_do_not_fit(spark, tmp_path):
+    path = written(tmp_path / "t", ['n,a\n1,"x\ny"\nz,b\n'])
+    with pytest.raises(ValueError, match="header"):
+        read_quoted_csv(spark, path, spark.createDataFrame([], "n long, b string").schema)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_quoted_csv(spark, path, spark.createDataFrame([], "n long, a string").schema).collect()
+    assert read_quoted_csv(spark, written(tmp_path / "two", ['n,a\n1,"x\ny"\n', 'a,n\n"x\ny",1\n']), None) is None
