@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapvault.functions.files import base_name, file_type
+from snapvault.session import settled
+from snapvault.sources import directory
 from snapvault.sources.hadoop import Folders
 from snapvault.sources.spreading import spread, spread_by_size
-from snapvault.sources.workers import binary_entry_lister, content_reader, file_entry_lister
+from snapvault.sources.workers import content_reader
 
-ENTRIES = (
-    "archive string, entry string, size bigint, compressed_size bigint, crc bigint, method int, flags int, "
-    "offset bigint, error string"
-)
 CONTENT = "archive string, entry string, part int, offset bigint, content binary, error string"
 PART_BYTES = 64 << 20
 
@@ -48,19 +46,44 @@ def classify_entries(raw: DataFrame) -> DataFrame:
     return named.where(path.isNull() | ~path.endswith("/"))
 
 
-def archive_entries(spark: SparkSession, root: str, archives: DataFrame) -> DataFrame:
+def archive_entries(
+    spark: SparkSession, root: str, archives: DataFrame, run_bytes: int = directory.RUN_BYTES
+) -> DataFrame:
     """Entries of the archives named in ``archives.relative_path``; only central directories are read.
 
-    When an archive holds a name twice, the last one counts. An archive that cannot be read gives
-    one row with ``error``.
+    A directory is read in runs of whole entries by many tasks; no task holds more than a run of it. When an archive holds a
+    name twice, the last one counts. An archive that cannot be read gives one row with ``error``; so does one in which a run
+    cannot be understood, next to the entries of its other runs. An archive that is named twice is read as one.
     """
-    todo = spread(archives.select("relative_path"), archives.count())
-    return classify_entries(todo.mapInArrow(file_entry_lister(Folders(spark).qualified(root)), ENTRIES))
+    root = Folders(spark).qualified(root)
+    todo = spread(archives.select("relative_path").distinct(), archives.count())
+    ends = directory.located(todo.mapInArrow(directory.tail_reader(root), directory.TAILS))
+    runs = settled(ends.mapInArrow(directory.run_lister(root, run_bytes), directory.RUNS), "runs")
+    todo = spread_by_size(runs, F.concat_ws(":", "archive", "start"), directory.TASK_BYTES)
+    rows = todo.mapInArrow(directory.entry_reader(root), directory.ENTRIES)
+    last = F.max_by(F.struct(*RAW[2:], "error"), "number").alias("last")
+    return classify_entries(rows.groupBy("archive", "entry").agg(last).select("archive", "entry", "last.*"))
 
 
 def archive_entries_binary(archives: DataFrame) -> DataFrame:
-    """Entries of archives held in a table: every row of ``archive``, ``zip_binary``."""
-    return classify_entries(archives.select("archive", "zip_binary").mapInArrow(binary_entry_lister(), ENTRIES))
+    """Entries of archives held in a table: every row of ``archive``, ``zip_binary``.
+
+    The directory is found and cut out by Spark expressions, so that no other byte of an archive reaches Python. One task
+    reads the whole directory of an archive, which is a value of one row. Each row is an archive of its own, whatever its name.
+    """
+    value = F.col("zip_binary")
+    ends = directory.located(
+        archives.select(
+            "archive",
+            "zip_binary",
+            F.length(value).cast("bigint").alias("size"),
+            directory.tail_of(value).alias("tail"),
+            F.lit(None).cast("string").alias("error"),
+        )
+    )
+    cut = F.when(F.col("error").isNull(), F.substr(value, (F.col("start") + 1).cast("int"), F.col("bytes").cast("int")))
+    rows = ends.select("archive", "start", "shift", cut.alias("directory"), "error")
+    return classify_entries(rows.mapInArrow(directory.directory_parser(), directory.ENTRIES).drop("number"))
 
 
 RAW = ["archive", "entry", "size", "compressed_size", "crc", "method", "flags", "offset"]

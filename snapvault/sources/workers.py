@@ -437,86 +437,6 @@ def deleter(root: str, directories: bool):
 
 # --- archives -------------------------------------------------------------------------------------
 
-ENTRIES = pa.schema(
-    [
-        ("archive", pa.string()),
-        ("entry", pa.string()),
-        ("size", pa.int64()),
-        ("compressed_size", pa.int64()),
-        ("crc", pa.int64()),
-        ("method", pa.int32()),
-        ("flags", pa.int32()),
-        ("offset", pa.int64()),
-        ("error", pa.string()),
-    ]
-)
-
-
-def _central_directory(archive: str, handle):
-    try:
-        with zipfile.ZipFile(handle) as zipped:
-            # A name that stands twice in an archive means its last entry.
-            for info in {info.filename: info for info in zipped.infolist()}.values():
-                yield (
-                    archive,
-                    info.filename,
-                    info.file_size,
-                    info.compress_size,
-                    info.CRC,
-                    info.compress_type,
-                    info.flag_bits,
-                    info.header_offset,
-                    None,
-                )
-    except Exception as error:
-        yield (archive, None, None, None, None, None, None, None, _text(error))
-
-
-def file_entry_lister(root: str):
-    """One row per entry of each archive; only the central directory is read."""
-
-    def entries(fs, base, relative):
-        try:
-            handle = fs.open_input_file(posixpath.join(base, relative))
-        except Exception as error:
-            yield (relative, None, None, None, None, None, None, None, _text(error))
-            return
-        with handle:
-            yield from _central_directory(relative, handle)
-
-    def run(batches):
-        fs, base = resolve(root)
-        rows = (
-            row
-            for batch in batches
-            for relative in batch.column("relative_path").to_pylist()
-            for row in entries(fs, base, relative)
-        )
-        yield from _in_batches(ENTRIES, rows)
-
-    return run
-
-
-def binary_entry_lister():
-    """One row per entry of each archive held in the binary column ``zip_binary``."""
-
-    def entries(archive, value):
-        if not value.is_valid:
-            return [(archive, None, None, None, None, None, None, None, "archive without content")]
-        return _central_directory(archive, pa.BufferReader(value.as_buffer()))
-
-    def run(batches):
-        rows = (
-            row
-            for batch in batches
-            for i in range(batch.num_rows)
-            for row in entries(batch.column("archive")[i].as_py(), batch.column("zip_binary")[i])
-        )
-        yield from _in_batches(ENTRIES, rows)
-
-    return run
-
-
 class _Archives:
     """Opens entries straight at their offset; keeps the handle of the archive used last."""
 
