@@ -81,9 +81,9 @@ def retention_summary(plan: DataFrame) -> DataFrame:
     )
 
 
-def delete_list(plan: DataFrame) -> DataFrame:
-    """Snapshots to delete, oldest first."""
-    return plan.where(F.col("action") == "delete").orderBy("ts", "name")
+def delete_list(plan: DataFrame, *ties: str) -> DataFrame:
+    """Snapshots to delete, oldest first; ``ties`` orders those of the same second and name."""
+    return plan.where(F.col("action") == "delete").orderBy("ts", "name", *ties)
 
 
 def keep_list(plan: DataFrame, newest: int = 10, ties: str = "name") -> DataFrame:

@@ -7,7 +7,7 @@ from conftest import tree_of, write_tree
 from snapvault import retain, snapshot_catalogue
 from snapvault.operators.audit import read_cleanup_logs
 from snapvault.operators.filecopy import delete_paths
-from snapvault.plans.retention import keep_list, newest_as_of, retention_plan, retention_result
+from snapvault.plans.retention import delete_list, keep_list, newest_as_of, retention_plan, retention_result
 
 AS_OF = datetime(2025, 3, 1, 12)
 OLD, LIMIT, OVER = "a_backup_2024-01-01_00-00-00", "a_backup_2025-01-29_12-00-01", "a_backup_2025-01-29_12-00-00"
@@ -115,6 +115,14 @@ def test_lists(spark):
     assert newest == {"a": "a_backup_2025-02-10_00-00-00", "b": "b_backup_2025-02-03_00-00-00"}
 
 
+def test_delete_list_is_in_one_order(spark):
+    """Snapshots of the same second and name, too many for the order they came in to hold by chance."""
+    rows = [(2000 - i, OLD, 1) for i in range(2000)] + [(5000, OTHER, 1)]
+    df = spark.createDataFrame(rows, "no int, name string, size_bytes bigint").repartition(8, "no")
+    listed = [r["no"] for r in delete_list(retention_plan(df, AS_OF), "no").collect()]
+    assert listed == [*range(1, 2001), 5000]
+
+
 def test_result_with_failures(spark):
     df = spark.createDataFrame([(OLD, 1), (OTHER, 2), (NEW, 4)], "name string, size_bytes bigint")
     plan = retention_plan(df, AS_OF)
