@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from snapvault.operators.filecopy import copy_files, files_as_table, write_files
 from snapvault.plans.verify import verdict, verify_counts, verify_files
 from snapvault.sources.inventory import only_files, walk
-from snapvault.sources.spreading import FILE_COST, spread_by_size
+from snapvault.sources.spreading import FILE_COST, spread_by_size, useful_tasks
 
 FILES = {"a.txt": "a", "empty": "", "d/x y%.bin": b"\x00" * 10_000_000, "d/e/f": "f", "ü": "u"}
 
@@ -71,6 +71,17 @@ def test_spread_by_size_balances_bytes(spark):
     assert spread_by_size(df.where("false"), F.col("relative_path")).count() == 0
 
 
+def test_spread_by_size_gives_many_small_files_no_more_tasks(spark):
+    """Tasks that grow with the number of files cost its square in shuffle blocks."""
+    few, many = [
+        spark.range(n).select(F.col("id").cast("string").alias("relative_path"), (F.col("id") % 3000).alias("size")) for n in (40_000, 400_000)
+    ]
+    tasks = [spread_by_size(df, F.col("relative_path")).rdd.getNumPartitions() for df in (few, many)]
+    assert tasks[0] > 4 and max(tasks) <= useful_tasks(spark) + 2
+    load = spread_by_size(many, F.col("relative_path")).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in load) == 400_000 and max(r["count"] for r in load) < 2 * 400_000 / tasks[1]
+
+
 def test_spread_keeps_unknown_sizes(spark):
     df = spark.createDataFrame([("a", None), ("b", 0), ("c", 10)], "relative_path string, size bigint")
     assert spread_by_size(df, F.col("relative_path")).count() == 3
