@@ -1,3 +1,4 @@
+import io
 import os
 from datetime import datetime
 
@@ -103,6 +104,17 @@ def test_checks(spark):
     assert verdict(rows.where("false")).head()["overall_success"]
 
 
+def test_each_task_stages_in_a_folder_of_its_own(tmp_path):
+    """In one folder for all, tasks that write at the same moment wait for one another."""
+    from snapvault.sources import workers
+
+    targets = [workers.Target(str(tmp_path), ".staging") for _ in range(2)]
+    for i, target in enumerate(targets):
+        target.put(io.BytesIO(b"x"), f"a/{i}")
+    assert len(os.listdir(tmp_path / ".staging")) == 2 and sorted(os.listdir(tmp_path / "a")) == ["0", "1"]
+    assert not any(files for _, _, files in os.walk(tmp_path / ".staging"))
+
+
 @pytest.mark.parametrize("text", ["x", "ä" * 10])
 def test_write_files_needs_a_path_below_the_root(spark, tmp_path, text):
     rows = spark.createDataFrame([("../out", bytearray(text.encode())), ("/abs", bytearray(b"x"))], "relative_path string, content binary")
