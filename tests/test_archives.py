@@ -324,3 +324,23 @@ def test_a_schema_document_that_cannot_be_read_fails_the_table(spark, tmp_path,
     row = ops.restore_tables(spark, scan(spark, root), root, str(tmp_path / "t"))[0]
     assert row["status"] == "failed" and "schema document cannot be read" in row["error"]
     assert not (tmp_path / "t" / "t").exists()
+
+
+def test_small_contents_share_a_batch(tmp_path):
+    """A batch for each entry costs far more than a small entry does."""
+    import pyarrow as pa
+
+    from snapvault.sources import workers
+
+    (tmp_path / "a.zip").write_bytes(zipped([(f"files/{i}", f"text {i}") for i in range(50)]))
+    with zipfile.ZipFile(tmp_path / "a.zip") as z:
+        rows = [
+            {"archive": "a.zip", "entry": i.filename, "size": i.file_size, "compressed_size": i.compress_size, "crc": i.CRC,
+             "method": i.compress_type, "flags": i.flag_bits, "offset": i.header_offset}
+            for i in z.infolist()
+        ]
+    out = list(workers.content_reader(str(tmp_path), 4)(iter([pa.RecordBatch.from_pylist(rows)])))
+    parts = [row for batch in out for row in batch.to_pylist()]
+    found = {e["entry"]: b"".join(p["content"] for p in parts if p["entry"] == e["entry"]) for e in rows}
+    assert len(out) == 1 and found == {f"files/{i}": f"text {i}".encode() for i in range(50)}
+    assert not any(p["error"] for p in parts)
