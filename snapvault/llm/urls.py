@@ -14,6 +14,9 @@ from snapvault.session import settled
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROUNDS = 4  # planned together: edges are shuffled once for all of them, and one table is written
+# Fixed value: linked pairs and hosts with rules, some 100 bytes each, up to which the graph takes one partition and so needs no
+# shuffle. Adaptive execution would merge as much anyway, but only after the driver has planned and run several stages a round.
+SMALL_GRAPH = 50_000
 LINK = r"""(?i)\shref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -112,6 +115,15 @@ def _ruled(parts: DataFrame, hosts: DataFrame) -> DataFrame:
     return by_host.na.fill(0.0)
 
 
+def _sums(state: DataFrame) -> dict[str, tuple[float, int]]:
+    """Whole and number of hosts of each kind that has any."""
+    kinds = ("trust", "distrust")
+    of = lambda kind: F.col("kind") == kind
+    sums = [c for k in kinds for c in (F.sum(F.when(of(k), F.col("s"))), F.count_if(of(k)))]
+    row = state.agg(*sums).head()
+    return {k: (row[2 * i], row[2 * i + 1]) for i, k in enumerate(kinds) if row[2 * i + 1]}
+
+
 def host_scores(ruled: DataFrame, links: DataFrame, *, tolerance: float, damping: float) -> DataFrame:
     """``host``, ``trust``, ``distrust`` of hosts that any seed reaches; each sums to 1 where it has a seed.
 
@@ -120,35 +132,40 @@ def host_scores(ruled: DataFrame, links: DataFrame, *, tolerance: float, damping
     """
     away = links.select("src", url_host(F.regexp_replace("link", r"^(//)", "http://")).alias("dst"))
     away = away.filter("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
-    known = ruled.select("host").union(away.select("src")).union(away.select("dst")).distinct()
+    away, ruled = settled(away, "url-links"), settled(ruled, "url-seeds")
+    small = away.count() + ruled.count() <= SMALL_GRAPH
+    dealt = lambda df: df.coalesce(1) if small else df
+    kept = lambda df, label: dealt(settled(df, label))
+    away, ruled = dealt(away), dealt(ruled)
+    known = dealt(ruled.select("host").union(away.select("src")).union(away.select("dst"))).distinct()
     parents = known.select("host", F.explode(_suffixes(F.col("host"))).alias("up")).filter("contains(up, '.')")
-    parents = parents.select(F.explode(_suffixes(F.col("up"))).alias("host")).distinct()
+    parents = kept(parents.select(F.explode(_suffixes(F.col("up"))).alias("host")).distinct(), "url-parents")
     parents = parents.select("host", F.substring_index("host", ".", -1).alias("top"), F.regexp_replace("host", r"^[^.]*\.", "").alias("up"))
     parents = parents.filter("up <> top and contains(host, '.')")
     kin = parents.select(F.col("host").alias("src"), F.col("up").alias("dst")).union(parents.select("up", "host"))
-    edges = away.union(kin.withColumn("w", F.lit(1.0))).groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    edges = kept(dealt(away.union(kin.withColumn("w", F.lit(1.0)))).groupBy("src", "dst").agg(F.sum("w").alias("w")), "url-kin")
     edges = edges.select(F.lit("trust").alias("kind"), "src", "dst", "w").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "w")
     )
+    edges = dealt(edges)
     shares = edges.join(edges.groupBy("kind", "src").agg(F.sum("w").alias("total")), ["kind", "src"])
-    spark = ruled.sparkSession
-    shares = settled(shares.select("kind", "src", "dst", (F.col("w") / F.col("total")).alias("share")), "url-edges")
+    shares = kept(shares.select("kind", "src", "dst", (F.col("w") / F.col("total")).alias("share")), "url-edges")
     seeds = ruled.select(F.lit("trust").alias("kind"), "host", F.col("allowed").alias("s")).union(
         ruled.select(F.lit("distrust"), "host", "blocked")
     )
-    totals = {r["kind"]: r["t"] for r in seeds.groupBy("kind").agg(F.sum("s").alias("t")).collect()}
+    seeds = dealt(seeds.filter("s > 0"))
+    totals = {kind: total for kind, (total, _) in _sums(seeds).items()}
     scale = F.when(F.col("kind") == "trust", F.lit(totals.get("trust") or 1.0)).otherwise(F.lit(totals.get("distrust") or 1.0))
-    seeds = settled(seeds.filter("s > 0").withColumn("s", F.col("s") / scale), "url-seeds")
+    seeds = kept(seeds.withColumn("s", F.col("s") / scale), "url-seeds")
     state = base = seeds.withColumn("s", F.col("s") * (1 - damping))
     before: dict[str, tuple[float, int]] = {}
     while True:
         for _ in range(ROUNDS):
             moved = state.select("kind", F.col("host").alias("src"), "s").join(shares, ["kind", "src"])
             moved = moved.select("kind", F.col("dst").alias("host"), (F.col("s") * F.col("share") * damping).alias("s"))
-            state = moved.union(base).groupBy("kind", "host").agg(F.sum("s").alias("s"))
-        state = settled(state, "url-scores")
-        sums = state.groupBy("kind").agg(F.sum("s").alias("s"), F.count("*").alias("n")).collect()  # a row a kind
-        now = {r["kind"]: (r["s"], r["n"]) for r in sums}
+            state = dealt(moved.union(base)).groupBy("kind", "host").agg(F.sum("s").alias("s"))
+        state = kept(state, "url-scores")
+        now = _sums(state)
         if all(k in before and n == before[k][1] and s - before[k][0] <= tolerance * s for k, (s, n) in now.items()):
             break
         before = now
