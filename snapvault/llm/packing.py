@@ -25,7 +25,7 @@ from snapvault.session import settled
 
 CAPACITY = 4096
 END_ID = 1
-MEMO = 400_000  # distinct words whose ids a worker remembers
+MEMO = 800_000  # distinct words whose ids a worker remembers, and as many runs of letters; some 200 bytes each
 _MARKS = b".,;:!?#$%&*|"
 
 
@@ -54,23 +54,26 @@ class WordIds:
             known.clear()
         if len(letters) > MEMO:
             letters.clear()
-        new = {w for words in texts for w in words if w not in known}
-        parts, whole, runs = [], [], set()
+        new = set().union(*texts)
+        new = [w for w in new if w not in known]
+        by_letters, whole, runs = [], [], set()
         for word in new:
             run = word.rstrip(_MARKS)
             text = run.decode()
-            if text.isalpha() and max(text) <= "\xff":
+            if text.isalpha() and (text.isascii() or max(text) <= "\xff"):
                 text = text.lower()
-                parts.append((word, text, word[len(run) :]))
+                by_letters += word, text, len(run)  # flat: a tuple a word would keep the garbage collector busy
                 if text not in letters:
                     runs.add(text)
             else:
                 whole.append(word)
-        whole += {marks for _, _, marks in parts if marks and marks not in known}
+        ends = {word[n:] for word, n in zip(by_letters[::3], by_letters[2::3]) if n < len(word)}
+        whole += [marks for marks in ends if marks not in known]
         known.update(zip(whole, self._encode([w.decode() for w in whole])))
-        self._learn_letters(sorted(runs))
-        for word, text, marks in parts:
-            known[word] = letters[text] + known[marks] if marks else letters[text]
+        self._learn_letters(list(runs))
+        flat = iter(by_letters)
+        for word, text, n in zip(flat, flat, flat):
+            known[word] = letters[text] + known[word[n:]] if n < len(word) else letters[text]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -88,7 +91,7 @@ class WordIds:
 
     def ids(self, words: list[bytes]) -> bytes:
         known = self._known
-        return b"".join([known[w] for w in words])
+        return b"".join(map(known.__getitem__, words))
 
 
 def _word_ids(tokenizer_file: str) -> WordIds:

@@ -95,3 +95,20 @@ def test_ids_of_words_are_those_of_the_whole_text():
     words.learn(split)
     for text, own in zip(texts, split):
         assert np.frombuffer(words.ids(own), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_seen_half_a_million_words_ago_are_not_tokenized_again():
+    words = packing.WordIds(packing.tokenizer_path())
+    asked, encode = [], words._encode
+    words._encode = lambda texts: asked.append(sum(t.count(" ") + 1 for t in texts)) or encode(texts)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = [(a + b + c + d).encode() for a in letters for b in letters for c in letters for d in letters]  # 456,976
+    for at in range(0, len(made), 50_000):
+        words.learn([made[at : at + 50_000]])
+    before = sum(asked)
+    words.learn([made[:50_000]])
+    assert before == len(made) and sum(asked) == before
+    one = packing.WordIds(packing.tokenizer_path())
+    one.learn([[b"abcd", b"zzzz,"]])
+    words.learn([[b"zzzz,"]])
+    assert words.ids([b"abcd", b"zzzz,"]) == one.ids([b"abcd", b"zzzz,"])
