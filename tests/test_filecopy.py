@@ -203,3 +203,10 @@ def test_tasks_can_run_again(tmp_path):
     for _ in range(2):
         assert statuses(workers.deleter(target, False)) == {"success"}
     assert tree_of(target) == {}
+
+
+def test_rows_of_one_partition_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"a/{i}.txt", b"x" * i) for i in range(200)], "relative_path string, content binary").coalesce(1)
+    done = write_files(spark, rows, str(tmp_path / "many"), str(tmp_path / "status"))
+    assert {(r["status"], r["written_bytes"]) for r in done.collect()} == {("success", i) for i in range(200)}
+    assert len(list((tmp_path / "status").glob("part-*"))) > 1
