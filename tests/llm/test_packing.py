@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, SF, awkward_rows, table
 
@@ -112,3 +113,28 @@ def test_words_seen_half_a_million_words_ago_are_not_tokenized_again():
     one.learn([[b"abcd", b"zzzz,"]])
     words.learn([[b"zzzz,"]])
     assert words.ids([b"abcd", b"zzzz,"]) == one.ids([b"abcd", b"zzzz,"])
+
+
+def test_remembered_words_are_bounded_and_words_in_use_stay(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 1000)
+    words = packing.WordIds(packing.tokenizer_path())
+    asked, encode = [], words._encode
+    words._encode = lambda texts: asked.extend(w for t in texts for w in t.split()) or encode(texts)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = [a + b + c for a in letters for b in letters for c in letters]
+    for at in range(0, 10_000, 400):
+        words.learn([[w.encode() for word in made[at : at + 400] for w in (word, word.title() + ",")], [b"Inuse."]])
+        remembered = [d for d in vars(words).values() if isinstance(d, dict)]
+        assert sum(map(len, remembered)) <= 1000
+    assert asked.count("inuse") == 1 and len(asked) == 10_000 + 3  # each run once, and "." and ","
+
+
+def test_ids_of_a_column_are_those_of_each_text():
+    texts = [None, "", "One, two.\x0bthree\n", " \t", "two. Élan\x1cx  two", "a퟿ b", "ÉLAN élan Élan!"]
+    plain, words = tokenizer(), packing.WordIds(packing.tokenizer_path())
+    column = pa.array([b"before", *[t if t is None else t.encode() for t in texts], b"behind"], pa.binary())
+    for part in (column.slice(1, len(texts)), column.slice(1, 2), column.slice(0, 0)):
+        ids, ends = words.of(part)
+        assert len(ends) == len(part) + 1 and ends[-1] == len(ids)
+        for text, a, b in zip(texts, ends, ends[1:]):
+            assert ids[a:b].tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
