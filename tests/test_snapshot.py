@@ -1,3 +1,4 @@
+import json
 import os
 from datetime import datetime, timezone
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from snapvault import Lakehouse, Source, restore, snapshot, snapshot_many, verify_content, verify_snapshot
 from snapvault.operators.audit import read_items, read_logs, read_manifests
+from snapvault.operators.items import sidecars
 from snapvault.operators.tables import copy_table, profile_tables
 from snapvault.plans.verify import compare_rows
 from snapvault.sources.tables import scan_exact, scan_table
@@ -283,3 +285,17 @@ def test_linked_folders_are_failures(spark, tmp_path):
     assert run.manifest.head()["status"] == "partial"
     info = {r["name"]: r for r in run.manifest.head()["tables_info"]}
     assert info["elsewhere"]["error"] and info["one"]["columns"] == ["id"]
+
+
+def test_every_record_has_its_document_files_too(spark, tmp_path):
+    lake = Lakehouse(str(tmp_path / "lake"))
+    spark.sql("SELECT id, id a FROM range(3)").write.parquet(f"{lake.tables}/t")
+    write_tree(lake.files, {"a.csv": "1", "s/empty": ""})
+    run = snapshot(spark, source(lake.root), str(tmp_path / "backups"), AT)
+    cards = {(r["kind"], r["name"]): json.loads(r["metadata_json"]) for r in sidecars(run.items).collect()}
+    assert set(cards) == {("table", "t"), ("file", "a.csv"), ("file", "s/empty")}
+    assert all(card["table_name"] == name and card["backup_timestamp"] for (_, name), card in cards.items())
+    assert (cards["table", "t"]["row_count"], cards["table", "t"]["columns"]) == (3, ["id", "a"])
+    file = cards["file", "s/empty"]
+    assert (file["backup_method"], file["backup_path"]) == ("file_copy", f"{run.path}/files/s/empty")
+    assert not {"row_count", "columns"} & set(file)
